@@ -13,11 +13,23 @@ UNITS = ["B", "KB", "MB", "GB"]
 LONG_UNITS = ["B", "KB", "MB", "GB", "TB", "PB", "EB", "ZB", "YB"]
 
 
+def _one(x: Column, unit: str) -> Column:
+    """One decimal, by the exact value of the double: only what is a half exactly goes to even."""
+    x = x.cast("double")
+    r = x * 10.0
+    # Split x in two so that ten times each part is exact, and what r was rounded by is known.
+    c = x * 134217729.0
+    high = c - (c - x)
+    off = (high * 10.0 - r) + (x - high) * 10.0
+    tenths = F.when((r - F.floor(r) == 0.5) & (off != 0), F.floor(r).cast("double") + F.when(off > 0, 1.0).otherwise(0.0)).otherwise(F.rint(r))
+    return F.format_string(f"%.1f {unit}", tenths / 10.0)
+
+
 def format_size(n: Column) -> Column:
     """Bytes with a unit, from 1024 on with one decimal; N/A for null."""
-    out = F.format_string("%.1f GB", n / 2.0**30)
+    out = _one(n / 2.0**30, "GB")
     for k in (2, 1):
-        out = F.when(n < 1024 ** (k + 1), F.format_string(f"%.1f {UNITS[k]}", n / 1024.0**k)).otherwise(out)
+        out = F.when(n < 1024 ** (k + 1), _one(n / 1024.0**k, UNITS[k])).otherwise(out)
     return F.when(n.isNull(), "N/A").when(n < 1024, F.format_string("%d B", n.cast("bigint"))).otherwise(out)
 
 
@@ -33,9 +45,9 @@ def format_size_long(n: Column) -> Column:
 def format_speed(n: Column, sec: Column) -> Column:
     """Bytes per second with a unit; N/A unless the time is positive."""
     s = n / sec
-    out = F.format_string("%.1f GB/s", s / 2.0**30)
+    out = _one(s / 2.0**30, "GB/s")
     for k in (2, 1, 0):
-        out = F.when(s < 1024.0 ** (k + 1), F.format_string(f"%.1f {UNITS[k]}/s", s / 1024.0**k)).otherwise(out)
+        out = F.when(s < 1024.0 ** (k + 1), _one(s / 1024.0**k, f"{UNITS[k]}/s")).otherwise(out)
     return F.when((sec <= 0) | sec.isNull() | n.isNull(), "N/A").otherwise(out)
 
 

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewell.operators.normalize import pad
 from tidewell.schema import SORT_KEYS, master_schema
+from tidewell.session import cut
 
 ROW_GROUP = 100_000
 
@@ -28,6 +29,20 @@ def sort_global(df: DataFrame, keys: list[str] | None = None, partitions: int |
     return ranged.sortWithinPartitions(*o)
 
 
+def rank_global(df: DataFrame, keys: list[str], name: str = "place") -> DataFrame:
+    """Adds each row's place, from 1, in the global order, without a task that holds all rows.
+
+    Rows are placed within their range partition and moved on by the rows of the partitions before it; the table of
+    partition sizes has a row for each partition. Rows equal in all keys are placed in any order.
+    """
+    o = order(keys)
+    parted = cut(sort_global(df, keys).withColumn("_part", F.spark_partition_id()))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = parted.groupBy("_part").agg(F.count("*").alias("_n")).withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    own = parted.withColumn("_own", F.row_number().over(Window.partitionBy("_part").orderBy(*o)))
+    return own.join(F.broadcast(sizes), "_part").withColumn(name, F.col("_before") + F.col("_own")).drop("_part", "_own", "_before")
+
+
 def write_table(df: DataFrame, path: str, *, partition_by: list[str] | None = None, mode: str = "error") -> None:
     """zstd Parquet with bounded row groups; the order of df's partitions is the order of the files."""
     w = df.write.mode(mode).option("compression", "zstd").option("parquet.block.row.count.limit", str(ROW_GROUP))
