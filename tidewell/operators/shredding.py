@@ -3,8 +3,8 @@
 A record becomes one column chunk per leaf path, ``[]`` standing for an array's elements. A chunk's entries carry a
 repetition level (at which array of the path a new element begins; 0: the record begins), a definition level (how many
 steps of the path are there), a run length, a kind and a value. Elements that lack the leaf are entries of kind
-``absent``; a run of them is one entry, so a chunk is no longer than what is present. Every array element also has an
-entry in the chunk of its own path, ending in ``[]``, that says its kind. Positions are not stored: they follow from the
+``absent``; a run of them is one entry, so a chunk is no longer than what is present. An object that is an array element
+has an entry in the chunk of its own path, ending in ``[]``, beside the chunks of what it holds. Positions are not stored: they follow from the
 level sequence of the chunk alone, and objects that are array elements form one flat table per path.
 """
 
@@ -137,7 +137,9 @@ class _Chunk:
             r = level + 1
         for j in range(level, len(pos)):
             skipped = pos[j] - (old[j] + 1 if old is not None and j == level else 0)
-            if skipped:
+            if skipped and r == j + 1:
+                self._put(r, self.steps[j], skipped, "absent", None)
+            elif skipped:
                 self._put(r, self.steps[j], 1, "absent", None)
                 if skipped > 1:
                     self._put(j + 1, self.steps[j], skipped - 1, "absent", None)
@@ -160,7 +162,8 @@ def shred_value(root) -> list[_Chunk]:
     while todo:
         x, path, pos = todo.pop()
         kind = kind_of(x)
-        if path and (path[-1] is _EL or kind not in ("object", "array") or not x):
+        # A filled array says no more than the chunks of what is in it.
+        if path and (kind == "object" and path[-1] is _EL or kind not in ("object", "array") or not x):
             at = chunks.get(path)
             if at is None:
                 at = chunks[path] = _Chunk(path)
