@@ -59,6 +59,29 @@ def myers(pattern: list[int] | np.ndarray, text: list[int] | np.ndarray, limit:
     return best, where
 
 
+def reach(x: list[int], y: list[int], edits: int) -> list[int]:
+    """How many words of x can be matched to y from the start with 0, 1, .. edits: furthest-reaching points on each diagonal."""
+    n, m = len(x), len(y)
+    i = 0
+    while i < n and i < m and x[i] == y[i]:
+        i += 1
+    out, front = [i], {0: i}
+    for _ in range(edits):
+        grown: dict[int, int] = {}
+        for d, i in front.items():
+            for to, at in ((d, i + 1), (d + 1, i), (d - 1, i + 1)):
+                j = at + to
+                if at <= n and 0 <= j <= m:
+                    while at < n and j < m and x[at] == y[j]:
+                        at += 1
+                        j += 1
+                    if at > grown.get(to, -1):
+                        grown[to] = at
+        out.append(max(grown.values(), default=out[-1]))
+        front = grown
+    return out
+
+
 class Matcher:
     """The pieces of a block of items, and the search for them in documents."""
 
@@ -112,58 +135,56 @@ class Matcher:
         w, e, p = self.window, self.budget, self.piece
         best: dict[int, tuple[int, int, int]] = {}
         tried: set[tuple[int, int, int]] = set()
-        n = len(doc)
         for b, h in found:
+            before = doc[max(0, b - w - e) : b][::-1]
+            after = doc[b + p : b + w + e]
             for k, a in self.places[h]:
                 if k in best and best[k][0] == 0:
                     continue
                 ids = self.items[k][1]
                 if doc[b : b + p] != ids[a : a + p]:
                     continue
-                m = len(ids)
-                lo = 0
-                while lo < a and lo < b and ids[a - lo - 1] == doc[b - lo - 1] and lo < w:
-                    lo += 1
-                hi = p
-                while a + hi < m and b + hi < n and ids[a + hi] == doc[b + hi] and lo + hi < w:
-                    hi += 1
-                if lo + hi >= w:
-                    best[k] = (0, a - lo, b - lo)
+                left = reach(ids[max(0, a - w) : a][::-1], before, e)
+                right = reach(ids[a + p : a + w], after, e)
+                if left[0] + p + right[0] >= w:
+                    best[k] = (0, a - min(left[0], w - p), b - min(left[0], w - p))
                     continue
-                if not e:
+                # Edits left of the piece take from those allowed right of it; most hits end here.
+                if max(left[x] + right[e - x] for x in range(e + 1)) + p < w:
                     continue
-                # With edits: the passage has at most e breaks, so what is intact around the piece bounds what can be.
-                for s in range(max(0, a + p - w), min(m - w, a) + 1):
+                for s in range(max(0, a + p - w, a - left[e]), min(len(ids) - w, a, a + p + right[e] - w) + 1):
                     key = (k, s, b - a)
                     if key in tried:
                         continue
                     tried.add(key)
-                    # A break on both sides of the piece within the passage takes two edits at least.
-                    if e == 1 and s < a - lo and s + w > a + hi:
-                        continue
                     d0 = max(0, b - (a - s) - e)
                     dist, end = myers(ids[s : s + w], doc[d0 : b - (a - s) + w + e], e)
                     if dist <= e and (k not in best or dist < best[k][0]):
                         best[k] = (dist, s, max(0, d0 + end - w))
-                        if dist == 0:
-                            break
         return best
 
     def run(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         get = self.vocab.get
         for batch in batches:
-            docs, texts = batch["doc_id"].to_pylist(), batch["text"].to_pylist()
+            flat: list[int] = []
+            ids, starts = [], []
+            for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist(), strict=True):
+                if text:
+                    ids.append(doc_id)
+                    starts.append(len(flat))
+                    flat.extend([get(x, 0) for x in words_of(text)])
+                    flat.append(0)  # no piece reaches from one document into the next
+            starts.append(len(flat))
+            at, k = self.hits(np.array(flat, dtype=np.uint64))
+            owner = np.searchsorted(np.array(starts), at, side="right") - 1
             out: list[tuple] = []
-            for doc_id, text in zip(docs, texts, strict=True):
-                if not text:
-                    continue
-                ids = [get(x, 0) for x in words_of(text)]
-                if len(ids) < self.window - self.budget:
-                    continue
-                at, k = self.hits(np.array(ids, dtype=np.uint64))
-                if len(at):
-                    for item, (dist, s, d) in self.verify(ids, list(zip(at.tolist(), k.tolist(), strict=True))).items():
-                        out.append((doc_id, self.items[item][0], dist, s, d))
+            first = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]]).tolist() if len(at) else []
+            at, k, owner = at.tolist(), k.tolist(), owner.tolist()
+            for i, f in enumerate(first):
+                to = first[i + 1] if i + 1 < len(first) else len(at)
+                lo, hi = starts[owner[f]], starts[owner[f] + 1] - 1
+                for item, (dist, s, d) in self.verify(flat[lo:hi], [(at[x] - lo, k[x]) for x in range(f, to)]).items():
+                    out.append((ids[owner[f]], self.items[item][0], dist, s, d))
             cols = list(zip(*out, strict=True)) if out else [()] * 5
             yield pa.RecordBatch.from_pydict({n: pa.array(c, t) for n, c, t in zip(("doc_id", "item_id", "distance", "item_word", "doc_word"), cols, (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()), strict=True)})
 
