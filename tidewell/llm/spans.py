@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewell.session import cut
@@ -279,16 +279,13 @@ def shared_spans(df: DataFrame, id_col: str, text_col: str, *, length: int = 200
     for f in found:
         ranges = ranges.unionByName(f.join(single, ["h", "around"], "left_semi"))
     hits = seeds.join(ranges, ["h", "around"]).select("doc", "n", F.greatest(F.col("place") + F.col("a"), F.lit(0)).alias("start"), (F.least(F.col("place") + F.col("b"), F.col("n") - length) + length).alias("end"))
-    own = F.sort_array(F.collect_set(F.struct("start", "end")))
-    zero = F.array().cast("array<struct<start:int,end:int>>")
-
-    def join_up(acc, x):
-        last = F.element_at(acc, -1)
-        return F.when((F.size(acc) > 0) & (x.start <= last.end), F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(last.start.alias("start"), F.greatest(last.end, x.end).alias("end"))))).otherwise(F.concat(acc, F.array(x)))
-
-    spans = hits.groupBy("doc").agg(F.max("n").alias("n_chars"), own.alias("r")).withColumn("spans", F.aggregate("r", zero, join_up))
-    shared = F.aggregate("spans", F.lit(0), lambda a, x: a + x.end - x.start)
-    return spans.select(F.col("doc").alias("doc_id"), "n_chars", shared.alias("shared_chars"), "spans")
+    # Ranges of a record in order; a gap to all that came before begins a new span.
+    over = Window.partitionBy("doc").orderBy("start", "end")
+    reached = F.max("end").over(over.rowsBetween(Window.unboundedPreceding, -1))
+    marked = hits.withColumn("fresh", F.coalesce((F.col("start") > reached).cast("int"), F.lit(1)))
+    numbered = marked.withColumn("span", F.sum("fresh").over(over.rowsBetween(Window.unboundedPreceding, 0)))
+    joined = numbered.groupBy("doc", "span").agg(F.max("n").alias("n"), F.min("start").alias("start"), F.max("end").alias("end"))
+    return joined.groupBy(F.col("doc").alias("doc_id")).agg(F.max("n").alias("n_chars"), F.sum(F.col("end") - F.col("start")).cast("int").alias("shared_chars"), F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans"))
 
 
 def _by_shuffle(parts: DataFrame, length: int, gram: int) -> DataFrame:
