@@ -34,35 +34,33 @@ def _among(rows: DataFrame, kept: DataFrame, groups: list[str], bits: int, finer
 
 
 def _hashed(df: DataFrame, groups: list[str], value: str) -> DataFrame:
-    return df.filter(F.col(value).isNotNull()).select(*groups, F.col(value).alias("_v"), F.xxhash64(value).alias("_h")).dropna(subset=groups or None)
+    return df.filter(F.col(value).isNotNull()).select(*groups, F.col(value).alias("_v"), F.xxhash64(value).alias("_h")).dropna(subset=groups)
 
 
-def _refine(rows: DataFrame, groups: list[str], first: DataFrame, bound: DataFrame | None, value: str, bits: tuple[int, ...]) -> DataFrame:
+def _refine(rows: DataFrame, groups: list[str], first: DataFrame, bound: DataFrame, value: str, bits: tuple[int, ...]) -> DataFrame:
     """(groups, value, n) of all values that reach the group's bound; ``first`` has the counts of the shortest prefixes, with _least."""
     kept = cut(first.filter(F.col("n") >= F.col("_least")).select(*groups, "_p", "_least"))
     for short, long in zip(bits, bits[1:], strict=False):
         counted = _among(rows, kept, groups, short, [_prefix(long).alias("_q")])
-        kept = cut(_bounded(counted, bound, groups).filter(F.col("n") >= F.col("_least")).select(*groups, F.col("_q").alias("_p"), "_least"))
-    full = _bounded(_among(rows, kept, groups, bits[-1], ["_v"]), bound, groups)
+        kept = cut(counted.join(bound, groups).filter(F.col("n") >= F.col("_least")).select(*groups, F.col("_q").alias("_p"), "_least"))
+    full = _among(rows, kept, groups, bits[-1], ["_v"]).join(bound, groups)
     return full.filter(F.col("n") >= F.col("_least")).select(*groups, F.col("_v").alias(value), "n")
 
 
-def _bounded(counted: DataFrame, bound: DataFrame, groups: list[str]) -> DataFrame:
-    return counted.join(bound, groups) if groups else counted.crossJoin(bound)
-
-
 def frequent_share(df: DataFrame, groups: list[str], value: str, share: float, *, bits: tuple[int, ...] = BITS) -> DataFrame:
     """groups, value, n, total: values with at least ``share`` of their group's rows in which the value isn't null.
 
     A group keeps at most 1 / share prefixes in each pass, which is all the memory it takes. Counts are exact. Nulls are
     no values and rows with a null group are left out; ties all come out; an empty table gives an empty result.
     """
+    if not groups:  # all rows are one group
+        return frequent_share(df.withColumn("_all", F.lit(0)), ["_all"], value, share, bits=bits).drop("_all")
     rows = _hashed(df, groups, value)
     first = cut(rows.groupBy(*groups, _prefix(bits[0]).alias("_p")).agg(F.count("*").alias("n")))
     total = first.groupBy(*groups).agg(F.sum("n").alias("total"))
     bound = cut(total.withColumn("_least", F.ceil(F.col("total") * F.lit(share) - 1e-9)))
-    found = _refine(rows, groups, _bounded(first, bound, groups), bound.select(*groups, "_least"), value, bits)
-    return found.join(bound.drop("_least"), groups) if groups else found.crossJoin(bound.drop("_least"))
+    found = _refine(rows, groups, first.join(bound, groups), bound.select(*groups, "_least"), value, bits)
+    return found.join(bound.drop("_least"), groups)
 
 
 def top_values(df: DataFrame, groups: list[str], value: str, k: int, *, bits: tuple[int, ...] = BITS) -> DataFrame:
@@ -72,6 +70,8 @@ def top_values(df: DataFrame, groups: list[str], value: str, k: int, *, bits: tu
     k-th, and prefixes below it are dropped; where they hold fewer than k values, nothing is. Groups with fewer than k
     values give all. Nulls are no values; an empty table gives an empty result.
     """
+    if not groups:
+        return top_values(df.withColumn("_all", F.lit(0)), ["_all"], value, k, bits=bits).drop("_all")
     rows = _hashed(df, groups, value)
     first = cut(rows.groupBy(*groups, _prefix(bits[0]).alias("_p")).agg(F.count("*").alias("n")))
     fullest = Window.partitionBy(*groups).orderBy(F.desc("n"), "_p")
@@ -79,6 +79,6 @@ def top_values(df: DataFrame, groups: list[str], value: str, k: int, *, bits: tu
     seen = _among(rows, seeds, groups, bits[0], ["_v"])
     kth = seen.withColumn("_r", F.row_number().over(Window.partitionBy(*groups).orderBy(F.desc("n"), "_v"))).filter(F.col("_r") <= k).groupBy(*groups).agg(F.count("*").alias("_k"), F.min("n").alias("_n"))
     bound = cut(kth.select(*groups, F.when(F.col("_k") == k, F.col("_n")).otherwise(1).alias("_least")))
-    found = _refine(rows, groups, _bounded(first, bound, groups), bound, value, bits)
+    found = _refine(rows, groups, first.join(bound, groups), bound, value, bits)
     order = Window.partitionBy(*groups).orderBy(F.desc("n"), value)
     return found.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= k)

@@ -24,8 +24,8 @@ from tidewell.session import cut
 
 #: Characters hashed at a time; bounds memory, not results. A longer text is one pass of its own.
 PASS_CHARS = 400_000
-#: Rows of (anchor, place) that may be sent to every executor, some 40 bytes each; more are joined by a shuffle.
-BROADCAST_ROWS = 500_000
+#: Rows of (anchor, place) that may be sent to every executor, some 150 bytes each; more are joined by a shuffle.
+BROADCAST_ROWS = 100_000
 #: Classes of one anchor that are compared within one task; those of a more frequent anchor are compared by a shuffle.
 TASK_CLASSES = 20_000
 #: Classes, of some 3 KB each while compared, that a task compares at a time.
