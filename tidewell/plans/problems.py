@@ -162,7 +162,7 @@ v AS (SELECT month, 'filename' AS column_name, filename AS value FROM m UNION AL
 a AS (SELECT t.month, v.column_name, v.value, count(*) AS n FROM v JOIN (SELECT DISTINCT month, column_name FROM v) t ON v.month <= t.month AND v.column_name = t.column_name GROUP BY ALL),
 x AS (SELECT *, sum(n) FILTER (value IS NOT NULL) OVER (PARTITION BY month, column_name) AS g FROM a)
 SELECT month, column_name, CAST(sum(n) AS BIGINT) AS n_rows, CAST(coalesce(sum(n) FILTER (value IS NULL), 0) AS BIGINT) AS n_null, round(coalesce(sum(n) FILTER (value IS NULL), 0) / sum(n), 6) AS null_rate, count(value) AS n_distinct, min(value) AS least, max(value) AS most,
- round(coalesce(-sum(CASE WHEN value IS NOT NULL THEN n / g * ln(n / g) END), 0), 6) AS entropy,
+ round(abs(coalesce(sum(CASE WHEN value IS NOT NULL THEN n / g * ln(n / g) END), 0)), 6) AS entropy,
  CAST(coalesce(sum(n) FILTER (column_name = 'filename' AND NOT regexp_matches(value, '^new-(R[CS])_(\d{4}-\d{2})_(\d+)\.parquet$') OR column_name = 'last_modified' AND NOT regexp_matches(value, '^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(Z|\+00:00)?$') OR column_name = 'row_count' AND NOT regexp_matches(value, '^\d+$')), 0) AS BIGINT) AS n_violations
 FROM x GROUP BY month, column_name""",
 }
