@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tidewell.functions import formats as fm
 from tidewell.operators import audit, fleet, layout, profiling
 from tidewell.operators.normalize import normalize, parse, quarantine
+from tidewell.schema import master_schema
 from tidewell.session import tune
 from tidewell.sources.archives import CLAIM, MANIFEST, catalog, footers, read_json_files, read_lines, read_zstd
 
@@ -58,7 +59,7 @@ def convert(spark: SparkSession, source: str, out: str, *, only: str | None = No
         lines = lines.repartition(partitions or spark.sparkContext.defaultParallelism)
         path = f"{out.rstrip('/')}/{table}"
         layout.write_table(layout.sort_global(normalize(lines, f["kind"])), path, mode="overwrite")
-        quarantine(parse(lines)).write.mode("overwrite").text(f"{path}.bad")
+        quarantine(parse(lines, master_schema(f["kind"]))).write.mode("overwrite").text(f"{path}.bad")
         wide = spark.read.parquet(path)
         n_lines = lines.filter(F.trim("value") != "").count()
         stats = audit.full_manifest(wide).first()

@@ -1,8 +1,8 @@
 """From JSON lines to one fixed wide schema without losing a field.
 
-Known fields are promoted and cast, missing ones are null, all others stay in one JSON column. A line is parsed once, as
-a map of variants, which tells a text from a number and keeps the unknown fields; all columns share that parse. JSON text
-made from a variant is canonical: no blanks between tokens, 1.50 as 1.5.
+Known fields are promoted and cast, missing ones are null, all others stay in one JSON column. A line is parsed once for
+all known fields; fields with a type of their own come as variants, which tell a text from a number. Unknown fields are
+parsed only where a line has some. JSON text is canonical: no blanks between tokens, 1.50 as 1.5.
 """
 
 from __future__ import annotations
@@ -15,24 +15,52 @@ from tidewell.functions.coerce import coerce, edited
 from tidewell.schema import EXTRA, MASTER, master_schema
 
 
-def parse(lines: DataFrame, text: str = "value") -> DataFrame:
-    """Adds ``record``, the line's top-level fields as variants; null for lines that hold no JSON object.
+BAD = "_bad"
 
-    Blank lines are skipped, as are null ones.
+
+def _read_as(f: T.StructField) -> T.DataType:
+    """Flat columns are read as text, of which nearly all need no more; others as variants."""
+    return T.StringType() if f.name != "edited" and isinstance(f.dataType, (T.StringType, T.LongType, T.BooleanType)) else T.VariantType()
+
+
+def parse(lines: DataFrame, schema: T.StructType, text: str = "value") -> DataFrame:
+    """text, record and rest of lines, for tables of the given schema.
+
+    record has the schema's fields as they are read and is null for lines that hold no JSON object; rest names the fields
+    that the schema doesn't have. Blank and null lines are skipped. Of repeated keys the last holds.
     """
-    return lines.filter(F.trim(F.col(text)) != "").withColumn("record", F.from_json(text, "map<string,variant>"))
+    fields = [T.StructField(f.name, _read_as(f)) for f in schema if f.name != EXTRA]
+    known = F.array(*[F.lit(f.name) for f in fields]) if fields else F.array().cast("array<string>")
+    raw = F.from_json(text, T.StructType([*fields, T.StructField(BAD, T.StringType())]), {"columnNameOfCorruptRecord": BAD})
+    # A filter on the outcome would be pushed below the parse and repeat it; a generator keeps it in one place.
+    once = F.explode(F.array(F.struct(raw.alias("r"), F.array_except(F.json_object_keys(text), known).alias("rest")))).alias("p")
+    rows = lines.filter(F.trim(F.col(text)) != "").select(F.col(text).alias("text"), once)
+    good = F.col("p.rest").isNotNull() & F.col(f"p.r.{BAD}").isNull()
+    return rows.select("text", F.when(good, F.col("p.r")).alias("record"), F.col("p.rest").alias("rest"))
 
 
-def quarantine(parsed: DataFrame, text: str = "value") -> DataFrame:
+def quarantine(parsed: DataFrame) -> DataFrame:
     """The lines that are no JSON object, for a table of their own."""
-    return parsed.filter("record IS NULL").select(text)
+    return parsed.filter("record IS NULL").select(F.col("text").alias("value"))
+
+
+def overflow(text: Column, rest: Column) -> Column:
+    """JSON text of the named fields, explicit nulls included; null if there is none.
+
+    Only lines that have such fields are parsed again for them.
+    """
+    kept = F.map_filter(F.from_json(text, "map<string,variant>"), lambda k, _: F.array_contains(rest, k))
+    return F.when(F.size(rest) > 0, F.to_json(kept, {"ignoreNullFields": "false"}))
 
 
-def overflow(record: Column, known: list[str]) -> Column:
-    """JSON text of the fields that aren't known, explicit nulls included; null if there is none."""
-    names = F.array(*[F.lit(k) for k in known]) if known else F.array().cast("array<string>")
-    rest = F.map_filter(record, lambda k, _: ~F.array_contains(names, k))
-    return F.when(F.size(F.map_keys(rest)) > 0, F.to_json(rest, {"ignoreNullFields": "false"}))
+def _flat(s: Column, f: T.StructField) -> Column:
+    """A flat column from its text. What isn't plainly of its type is read again as a variant, to tell texts from numbers."""
+    if isinstance(f.dataType, T.StringType):
+        return s
+    again = coerce(F.try_variant_get(F.try_parse_json("text"), f"$['{f.name}']", "variant"), f.dataType)
+    if isinstance(f.dataType, T.BooleanType):
+        return F.when(s.isNull(), None).when(s.isin("true", "1"), True).when(s.isin("false", "0"), False).otherwise(again)
+    return F.when(s.isNull(), None).otherwise(F.coalesce(s.try_cast("bigint"), again))
 
 
 def promote(parsed: DataFrame, schema: T.StructType, *, edited_mode: str = "record") -> DataFrame:
@@ -40,24 +68,23 @@ def promote(parsed: DataFrame, schema: T.StructType, *, edited_mode: str = "reco
 
     Absent fields and JSON nulls are null. Lines that are no object give no row (see :func:`quarantine`).
     """
-    known = [f.name for f in schema if f.name != EXTRA]
     columns = []
     for f in schema:
-        v = F.try_element_at("record", F.lit(f.name))
+        v = F.col(f"record.`{f.name}`")
         if f.name == EXTRA:
-            c = overflow(F.col("record"), known)
-        elif f.name == "edited":
-            c = edited(v, edited_mode)
+            c = overflow(F.col("text"), F.col("rest"))
+        elif isinstance(_read_as(f), T.StringType):
+            c = _flat(v, f)
         else:
-            c = coerce(v, f.dataType)
+            c = F.when(v.isNotNull(), edited(v, edited_mode) if f.name == "edited" else coerce(v, f.dataType))
         columns.append(c.alias(f.name))
-    # A filter would be pushed below the parse and repeat it; a generator keeps it in one place.
-    return parsed.select(F.explode(F.array_compact(F.array("record"))).alias("record")).select(*columns)
+    return parsed.filter("record IS NOT NULL").select(*columns)
 
 
 def normalize(lines: DataFrame, kind: str, text: str = "value", *, edited_mode: str = "record") -> DataFrame:
     """JSON lines of a record kind (rc or rs) as its wide table."""
-    return promote(parse(lines, text), master_schema(kind), edited_mode=edited_mode)
+    schema = master_schema(kind)
+    return promote(parse(lines, schema, text), schema, edited_mode=edited_mode)
 
 
 def pad(df: DataFrame, schema: T.StructType) -> DataFrame:

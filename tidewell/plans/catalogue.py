@@ -64,13 +64,13 @@ def _event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT event_id, CAST(NULL AS BIGINT) AS absent, event_type, value, '{\"user_id\":' || user_id || ',\"k\":' || (props->>'k') || '}' AS extra_json FROM events")
 def promote_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Known fields in a fixed order, one of them absent; the rest is in the overflow."""
-    return promote(parse(_event_lines(spark, sf_dir)), EVENT)
+    return promote(parse(_event_lines(spark, sf_dir), EVENT), EVENT)
 
 
 @query("SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_changed FROM events")
 def lossless_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records rebuilt from promoted columns and overflow, compared with their fields before."""
-    back = rebuild(promote(parse(_event_lines(spark, sf_dir)), EVENT)).select("event_id", F.from_json("record_json", "event_id bigint, event_type string, value double, user_id bigint, k bigint").alias("r"))
+    back = rebuild(promote(parse(_event_lines(spark, sf_dir), EVENT), EVENT)).select("event_id", F.from_json("record_json", "event_id bigint, event_type string, value double, user_id bigint, k bigint").alias("r"))
     was = table(spark, sf_dir, "events").select("event_id", F.struct("event_id", "event_type", "value", "user_id", F.from_json("props", "k bigint").k.alias("k")).alias("w"))
     both = back.join(was, "event_id")
     changed = F.to_json("r") != F.to_json("w")

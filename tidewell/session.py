@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.codegen.maxFields": "200",
+    "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
@@ -28,7 +29,7 @@ def build(master: str = "local[8]", shuffle_partitions: int = 8, **more: str) ->
 
 def tune(spark: SparkSession) -> None:
     """Sets, on a session that others made, the SQL settings that results depend on."""
-    for key in ("spark.sql.session.timeZone", "spark.sql.codegen.maxFields"):
+    for key in ("spark.sql.session.timeZone", "spark.sql.codegen.maxFields", "spark.sql.variant.allowDuplicateKeys"):
         if spark.conf.get(key, None) != SETTINGS[key]:
             spark.conf.set(key, SETTINGS[key])
 

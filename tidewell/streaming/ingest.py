@@ -7,6 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidewell.operators.layout import sort_global, write_table
 from tidewell.operators.normalize import normalize, parse, quarantine
+from tidewell.schema import master_schema
 
 
 def ingest(spark: SparkSession, source: str, kind: str, out: str, state: str, *, bad: str | None = None, glob: str = "*") -> StreamingQuery:
@@ -19,7 +20,7 @@ def ingest(spark: SparkSession, source: str, kind: str, out: str, state: str, *,
     def write(batch: DataFrame, number: int) -> None:
         write_table(sort_global(normalize(batch, kind)), f"{out}/batch={number}", mode="overwrite")
         if bad:
-            quarantine(parse(batch)).write.mode("overwrite").text(f"{bad}/batch={number}")
+            quarantine(parse(batch, master_schema(kind))).write.mode("overwrite").text(f"{bad}/batch={number}")
 
     lines = spark.readStream.option("pathGlobFilter", glob).text(source)
     return lines.writeStream.foreachBatch(write).option("checkpointLocation", state).trigger(availableNow=True).start()
