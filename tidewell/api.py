@@ -15,7 +15,7 @@ from tidewell.operators import audit, fleet, layout, profiling
 from tidewell.operators.normalize import normalize, parse, quarantine
 from tidewell.schema import master_schema
 from tidewell.session import tune
-from tidewell.sources.archives import CLAIM, MANIFEST, catalog, footers, read_json_files, read_lines, read_zstd
+from tidewell.sources.archives import CLAIM, MANIFEST, catalog, footers, read_json_files, read_lines, read_zstd, spread
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -56,7 +56,7 @@ def convert(spark: SparkSession, source: str, out: str, *, only: str | None = No
             continue
         one = spark.createDataFrame([(f["path"],)], "path string")
         lines = read_zstd(one).select("value") if f["group"] == "archive" else read_lines(spark, f["path"])
-        lines = lines.repartition(partitions or spark.sparkContext.defaultParallelism)
+        lines = lines.repartition(partitions) if partitions else spread(lines)
         path = f"{out.rstrip('/')}/{table}"
         layout.write_table(layout.sort_global(normalize(lines, f["kind"])), path, mode="overwrite")
         quarantine(parse(lines, master_schema(f["kind"]))).write.mode("overwrite").text(f"{path}.bad")

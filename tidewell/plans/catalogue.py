@@ -13,8 +13,8 @@ from tidewell.functions.coerce import coerce, edited_text, text_to_bigint, text_
 from tidewell.operators import audit, fleet, layout, profiling
 from tidewell.operators.normalize import normalize, parse, promote, rebuild
 from tidewell.schema import BIGINT, BOOLEAN, CORE, MASTER, RC, RS, USAGE, keep_simple, kept_fields
-from tidewell.sources.archives import catalog, footers
 from tidewell.session import tune
+from tidewell.sources.archives import catalog, footers, spread
 
 #: The clock of the queries that measure ages: results don't depend on when they run.
 NOW = dt.datetime(2016, 1, 1)
@@ -44,13 +44,13 @@ def query(sql: str | None = None):
 def normalize_rc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Comments written as JSON lines and brought back to the wide schema."""
     rc = table(spark, sf_dir, "master_schema_rc")
-    return normalize(rc.select(F.to_json(F.struct(*RC)).alias("value")), "rc")
+    return normalize(spread(rc.select(F.to_json(F.struct(*RC)).alias("value"))), "rc")
 
 
 @query("SELECT " + ", ".join(f"{c} AS \"{c}\"" for c in RS) + ", CAST(NULL AS VARCHAR) AS extra_json FROM master_schema_rs")
 def normalize_rs(spark: SparkSession, sf_dir: str) -> DataFrame:
     rs = table(spark, sf_dir, "master_schema_rs")
-    return normalize(rs.select(F.to_json(F.struct(*[F.col(c.lower()).alias(c) for c in RS])).alias("value")), "rs")
+    return normalize(spread(rs.select(F.to_json(F.struct(*[F.col(c.lower()).alias(c) for c in RS])).alias("value"))), "rs")
 
 
 EVENT = T.StructType.fromJson({"type": "struct", "fields": [{"name": n, "type": t, "nullable": True, "metadata": {}} for n, t in (("event_id", "long"), ("absent", "long"), ("event_type", "string"), ("value", "double"), ("extra_json", "string"))]})

@@ -39,6 +39,12 @@ def read_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return spark.read.text(paths)
 
 
+def spread(lines: DataFrame) -> DataFrame:
+    """Lines of a few files that can't be split, over all cores: parsing costs more than moving them. Others stay as they are."""
+    n = lines.sparkSession.sparkContext.defaultParallelism
+    return lines.repartition(n) if lines.rdd.getNumPartitions() < n else lines
+
+
 def _place(path: str):
     """(file system, path there) of a path as Spark spells it: file:/x, file:///x, /x or another system's URI."""
     from pyarrow import fs
