@@ -1,8 +1,11 @@
+from datetime import UTC, datetime
+
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
 from tidewell.llm.bitmaps import estimate, merge, sketch
+from tidewell.llm.queries import p7_estimates
 
 
 def test_error_is_as_stated(spark):
@@ -32,3 +35,23 @@ def test_nulls_and_empty(spark):
     assert sketch(df.limit(0), ["g"], "item").count() == 0
     with pytest.raises(ValueError):
         sketch(df, ["g"], "item", bits=100)
+
+
+def test_both_families_of_estimates(spark, tmp_path):
+    """Every combination of both families comes out, each estimate within its error of the exact number."""
+    t0, n = 1_600_000_000, 3000
+    table = [(f"a{i * i % 211}", f"s{i % 17}", f"c{i}", t0 + i * 97) for i in range(n)] + [("big", f"s{i}", f"b{i}", t0) for i in range(400)]
+    table += [("[deleted]", "s1", "d1", t0), (None, "s1", "d2", t0), ("a1", None, "d3", t0), ("a1", "s1", "d4", None)]
+    spark.createDataFrame(table, "author string, subreddit string, id string, created_utc bigint").write.parquet(f"{tmp_path}/master_schema_rc.parquet")
+    exact = {}
+    for author, subreddit, _, t in table[: n + 400]:
+        day = datetime.fromtimestamp(t, UTC).strftime("%Y-%m-%d")
+        for counted, item, key in (("author", author, (subreddit, None)), ("subreddit", subreddit, (None, author))):
+            for k in ((day, *key), (day, None, None), (None, *key), (None, None, None)):
+                exact.setdefault((counted, *k), set()).add(item)
+    got = p7_estimates(spark, str(tmp_path)).collect()
+    assert len(got) == len(exact)
+    of = {(r.counted, r.utc_day, r.subreddit, r.author): r for r in got}
+    assert set(of) == set(exact)
+    assert all(abs(of[k].estimate - len(v)) <= 4 * of[k].std_error + 1 for k, v in exact.items())
+    assert of["subreddit", "2020-09-13", None, "big"].std_error > 0

@@ -79,15 +79,27 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _day(true).select("grain", "key_value", "utc_day")
 
 
+#: What p7_estimates counts, and the combinations it counts it for; the first is sketched, the others are merged from it.
+COUNTED = {
+    "author": (["day", "subreddit"], ["day"], ["subreddit"], []),
+    "subreddit": (["day", "author"], ["day"], ["author"], []),
+}
+
+
 def p7_estimates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Distinct authors per day and subreddit, per day, per subreddit and in all, from one sketch merged to each combination."""
-    fine = cut(sketch(_known(spark, sf_dir), ["day", "subreddit"], "author"))
+    """Distinct authors per day and subreddit and distinct subreddits per day and author, each also per day, per key and in all.
+
+    ``counted`` names what is counted; a key that a combination doesn't have is null. Only finest sketches read the rows.
+    """
     out = None
-    for groups in (["day", "subreddit"], ["day"], ["subreddit"], []):
-        e = estimate(merge(fine, groups) if len(groups) < 2 else fine, groups)
-        missing = {c: F.lit(None).cast(t) for c, t in (("day", "int"), ("subreddit", "string")) if c not in groups}
-        e = e.withColumns(missing).select("day", "subreddit", F.round("estimate").cast("bigint").alias("authors"), "std_error") if missing else e.select("day", "subreddit", F.round("estimate").cast("bigint").alias("authors"), "std_error")
-        out = e if out is None else out.unionByName(e)
+    for counted, combinations in COUNTED.items():
+        finest = combinations[0]
+        fine = cut(sketch(_known(spark, sf_dir), finest, counted))
+        for groups in combinations:
+            e = estimate(fine if groups == finest else merge(fine, groups), groups)
+            key = lambda c, t: (F.col(c) if c in groups else F.lit(None)).cast(t).alias(c)  # noqa: B023, E731
+            e = e.select(F.lit(counted).alias("counted"), key("day", "int"), key("subreddit", "string"), key("author", "string"), F.round("estimate").cast("bigint").alias("estimate"), "std_error")
+            out = e if out is None else out.unionByName(e)
     return _day(out)
 
 
