@@ -3,6 +3,7 @@ import random
 import pytest
 from conftest import rows
 
+from tidewell.operators import hierarchy as module
 from tidewell.operators.hierarchy import descendants, hierarchy
 
 SCHEMA = "id string, parent_id string, link_id string, path int, component string"
@@ -78,3 +79,40 @@ def test_long_chain_and_empty(spark):
         assert got.filter("state IS NULL AND root = 't3_top'").count() == n
         assert got.agg({"depth": "max"}).first()[0] == n
     assert hierarchy(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def all_pairs(table):
+    """(ancestor, descendant, distance), by walking up from each node until nothing new is met."""
+    up = {}
+    for i, p, *_ in table:
+        if i is not None:
+            up[i] = p and p.strip().lower()
+    out = []
+    for i in up:
+        at, met, n = i, set(), 0
+        while True:
+            p = up[at]
+            q = p[3:] if p and p.startswith("t1_") else p
+            if q is None or q in met or not (q in up or q.startswith("t3_")):
+                break
+            n += 1
+            met.add(q)
+            out.append((q, i, n))
+            if q.startswith("t3_"):
+                break
+            at = q
+    return out
+
+
+@pytest.mark.parametrize("broadcast", [50_000, 0])
+@pytest.mark.parametrize("how", [{}, {"rows_per_task": 40}, {"rows_per_task": 30, "max_component": 5}])
+def test_descendants_on_and_below_cycles(spark, monkeypatch, how, broadcast):
+    monkeypatch.setattr(module, "BROADCAST_ROWS", broadcast)
+    t = [*forest(60, 3), ("self", "t1_self", "t3_a", 0, ""), ("under", "t1_self", "t3_a", 0, ""), ("a", "t1_b", "t3_a", 0, ""), ("b", "t1_a", "t3_a", 0, ""), ("c", "t1_a", "t3_a", 0, "")]
+    t += [(f"r{i}", f" T1_R{(i + 4) % 7} ", "t3_a", 0, "") for i in range(7)] + [("h0", "t1_r5", "t3_a", 0, ""), ("h1", "t1_h0", "t3_a", 0, ""), ("h2", "t1_r2", "t3_a", 0, "")]
+    got = hierarchy(spark.createDataFrame(t, SCHEMA), **how)
+    pairs = [tuple(r) for r in descendants(got).select("ancestor", "descendant", "distance").collect()]
+    assert sorted(pairs) == sorted(all_pairs(t))
+    assert {("b", "a", 1), ("a", "b", 1), ("b", "c", 2), ("a", "a", 2), ("self", "self", 1)} <= set(pairs)
+    for r in got.collect():
+        assert r.n_descendants == sum(a == r.id for a, *_ in pairs)

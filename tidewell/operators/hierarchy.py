@@ -26,6 +26,8 @@ from tidewell.functions.reading import reference
 from tidewell.session import cut, parts
 
 LOCAL = "id string, parent string, top string, link string, part_label string, away boolean"
+#: Cycle nodes sent to every executor at most; more are joined by a shuffle of so many salts.
+BROADCAST_ROWS, SALTS = 50_000, 16
 SCHEMA = "id string, state string, root string, depth int, back_edge boolean, component string"
 
 
@@ -101,6 +103,7 @@ def _traverse(ids: pa.Array, parent: pa.Array, top: list, link: list, comp: list
     colour = bytearray(n)
     depth, root, state = [None] * n, [None] * n, [None] * n
     back = bytearray(n)
+    ring_at: list = [None] * n
     path: list = [None] * n if with_path else []
     below = [0] * n
     starts = [(i, "tree") for i in range(n) if above[i] < 0]
@@ -117,7 +120,10 @@ def _traverse(ids: pa.Array, parent: pa.Array, top: list, link: list, comp: list
             for k in ring:
                 state[k] = "cycle"
                 starts.append((k, "ring"))
-            back[min(ring, key=names.__getitem__)] = 1
+            least = min(range(len(ring)), key=lambda j: names[ring[j]])
+            back[ring[least]] = 1
+            for j, k in enumerate(ring):
+                ring_at[k] = (least - j) % len(ring)
         for k in seen:
             colour[k] = 2
     colour = bytearray(n)
@@ -141,7 +147,7 @@ def _traverse(ids: pa.Array, parent: pa.Array, top: list, link: list, comp: list
                 deeper = depth[i] + 1 if d is not None else None
                 for k in order[first[i] : last[i]]:
                     if state[k] != "cycle":
-                        root[k], depth[k] = r, deeper
+                        root[k], depth[k], ring_at[k] = r, deeper, ring_at[i]
                         if with_path:
                             path[k] = [*path[i], names[k]]
                         stack.append(k)
@@ -161,7 +167,7 @@ def _traverse(ids: pa.Array, parent: pa.Array, top: list, link: list, comp: list
                 below[i] = ring_size[comp[i]]
     out = {"id": ids, "state": pa.array(state, pa.string()), "root": pa.array(root, pa.string()), "depth": pa.array(depth, pa.int32()), "back_edge": pa.array(np.frombuffer(back, np.uint8).astype(bool)), "component": pa.array(comp, pa.string())}
     if with_path:
-        out |= {"path": pa.array(path, pa.list_(pa.string())), "n_descendants": pa.array(below, pa.int64())}
+        out |= {"path": pa.array(path, pa.list_(pa.string())), "n_descendants": pa.array(below, pa.int64()), "ring_at": pa.array(ring_at, pa.int32())}
     yield from pa.table(out).to_batches(max_chunksize=20_000)
 
 
@@ -175,6 +181,7 @@ def _walker(with_path: bool):
 
 
 RING = "\0ring"
+KEPT = [*(c.split()[0] for c in SCHEMA.split(", ")), "path", "n_descendants", "ring_at"]
 
 
 def _jumps(nodes: DataFrame, n: int, with_path: bool) -> DataFrame:
@@ -216,14 +223,17 @@ def _large(nodes: DataFrame, n: int, with_path: bool) -> DataFrame:
     )
     if not with_path:
         return out
+    at = _jumps(nodes.join(ring.select("id"), "id", "left_semi").join(least.select(F.col("least").alias("id"), F.lit(RING).alias("ring")), "id", "left").withColumn("stop", F.col("ring")).drop("ring"), n, False)
+    at = at.select(F.col("id").alias("entry"), (F.col("hops") - 1).alias("ring_at"))
+    out = out.withColumn("entry", F.when(F.col("state").isin("cycle", "to_cycle"), F.element_at("path", 1))).join(at, "entry", "left").drop("entry")
     below = out.select("state", F.explode("path").alias("up"), "id").filter("up != id").groupBy("up").agg(F.count("*").alias("n_below"))
     total = out.groupBy("component").agg(F.count("*").alias("n_all"))
     out = out.join(below.withColumnRenamed("up", "id"), "id", "left").join(total, "component", "left")
-    return out.withColumn("n_descendants", F.when(F.col("state") == "cycle", F.col("n_all")).otherwise(F.coalesce("n_below", F.lit(0))).cast("bigint")).drop("n_below", "n_all")
+    return out.withColumn("n_descendants", F.when(F.col("state") == "cycle", F.col("n_all")).otherwise(F.coalesce("n_below", F.lit(0))).cast("bigint")).select(*KEPT)
 
 
 def hierarchy(df: DataFrame, id_col: str = "id", parent_col: str = "parent_id", link_col: str = "link_id", *, node_prefix: str = "t1_", root_prefix: str = "t3_", with_path: bool = True, rows_per_task: int = 150_000, max_component: int = 200_000) -> DataFrame:
-    """One row per node: id, state, root, depth, back_edge, component and, with_path, path and n_descendants.
+    """One row per node: id, state, root, depth, back_edge, component and, with_path, path, n_descendants and ring_at.
 
     A parent reference is a prefix and an id: ``node_prefix`` names another node, ``root_prefix`` a root outside the table.
     state: null (sound), ``cycle`` (on a cycle), ``to_cycle`` (its path leads into one), ``lost`` (the path ends at a null
@@ -231,7 +241,8 @@ def hierarchy(df: DataFrame, id_col: str = "id", parent_col: str = "parent_id",
     root: the root reference reached; of a lost path its topmost node; null with cycles, as is depth. depth: links to the
     root. back_edge: on each cycle the node with the least id, whose parent link closes it. path: from the root to the
     node, ends included; with cycles from the cycle node at which the path enters. n_descendants: nodes below; a cycle's
-    nodes are below each other and themselves. ``rows_per_task`` and ``max_component`` bound what one task holds.
+    nodes are below each other and themselves. ring_at: links from the node, or from the cycle node at which its path
+    enters, along the cycle to its back_edge node; null without a cycle. ``rows_per_task`` and ``max_component`` bound what one task holds.
     """
     ref = reference(parent_col)
     rows = df.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), ref.alias("p"), reference(link_col).alias("link"))
@@ -254,7 +265,7 @@ def hierarchy(df: DataFrame, id_col: str = "id", parent_col: str = "parent_id",
     else:
         nodes = nodes.withColumn("component", F.col("part_label"))
     nodes = nodes.select("id", "parent", "top", "link", "component")
-    schema = SCHEMA + (", path array<string>, n_descendants bigint" if with_path else "")
+    schema = SCHEMA + (", path array<string>, n_descendants bigint, ring_at int" if with_path else "")
     if n_rows <= max_component:
         return nodes.repartition(spread, "component").mapInArrow(_walker(with_path), schema)
     nodes = cut(nodes)
@@ -271,5 +282,27 @@ def hierarchy(df: DataFrame, id_col: str = "id", parent_col: str = "parent_id",
 
 
 def descendants(nodes: DataFrame) -> DataFrame:
-    """All (ancestor, descendant, distance) from the paths of :func:`hierarchy`; ancestors include the root reference."""
-    return nodes.select(F.col("id").alias("descendant"), F.posexplode("path").alias("at", "ancestor"), F.size("path").alias("n")).select("ancestor", "descendant", (F.col("n") - 1 - F.col("at")).alias("distance")).filter("distance > 0")
+    """All (ancestor, descendant, distance) from the result of :func:`hierarchy` with paths.
+
+    Ancestors include the root reference. Every node that is on a cycle or hangs on it is below each of the cycle's nodes,
+    a cycle's node also below itself. distance: parent links from the descendant until the ancestor is first reached, at
+    least 1, so that of a cycle's node to itself is the cycle's length. A node has as many pairs as n_descendants says.
+    """
+    along = nodes.select(F.col("id").alias("descendant"), F.posexplode("path").alias("at", "ancestor"), F.size("path").alias("n")).select("ancestor", "descendant", (F.col("n") - 1 - F.col("at")).alias("distance")).filter("distance > 0")
+    hung = cut(nodes.filter("state IN ('cycle', 'to_cycle')").select("component", F.col("id").alias("descendant"), "state", "ring_at", (F.size("path") - 1).alias("hops")))
+    ring = hung.filter("state = 'cycle'").select("component", F.col("descendant").alias("ancestor"), F.col("ring_at").alias("at"))
+    ring = ring.join(ring.groupBy("component").agg(F.count("*").cast("int").alias("length")), "component")
+    n_ring = ring.count()
+    if not n_ring:
+        return along
+    below = hung.select("component", "descendant", "ring_at", "hops")
+    if n_ring <= BROADCAST_ROWS:
+        both = below.join(F.broadcast(ring), "component")
+    else:  # a cycle may have any number of nodes below it: they are spread over salts
+        salted = ring.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        both = below.withColumn("salt", F.pmod(F.xxhash64("descendant"), F.lit(SALTS)).cast("int")).join(salted, ["component", "salt"])
+    round_ = F.pmod(F.col("ring_at") - F.col("at"), F.col("length"))
+    far = F.col("hops") + F.when((F.col("hops") == 0) & (round_ == 0), F.col("length")).otherwise(round_)
+    # The path of a node that hangs on a cycle begins with the cycle's node at which it enters: that pair is there already.
+    around = both.filter((F.col("hops") == 0) | (round_ != 0)).select("ancestor", "descendant", far.cast("int").alias("distance"))
+    return along.unionByName(around)
