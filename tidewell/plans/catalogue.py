@@ -53,6 +53,31 @@ def normalize_rs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize(spread(rs.select(F.to_json(F.struct(*[F.col(c.lower()).alias(c) for c in RS])).alias("value"))), "rs")
 
 
+def _whole_lines(df: DataFrame, names: list[str]) -> DataFrame:
+    """Each row as the JSON line it came from: the named columns, and the fields of extra_json as unknown keys.
+
+    An extra_json that isn't the text of one JSON object (invalid, or a string) has no fields to merge: it is one unknown
+    key, ``extra_json``, with the text as its value, so that neither the line nor the text is lost.
+    """
+    own, extra = F.to_json(F.struct(*[F.col(c.lower()).alias(c) for c in names])), F.col("extra_json")
+    listed = F.concat(F.lit("["), extra, F.lit("]"))  # the end of the text counts too
+    is_object = F.schema_of_variant(F.try_parse_json(listed)).startswith("ARRAY<OBJECT<") & (F.json_array_length(listed) == 1)
+    more = F.when(is_object, F.trim(extra)).when(extra.isNotNull(), F.to_json(F.struct("extra_json"))).otherwise("{}")
+    inner = lambda x: F.nullif(F.trim(F.substring(x, F.lit(2), F.length(x) - 2)), F.lit(""))
+    return df.select(F.concat(F.lit("{"), F.concat_ws(",", inner(own), inner(more)), F.lit("}")).alias("value"))
+
+
+@query()
+def normalize_rc_overflow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As normalize_rc, of whole lines: unknown fields too are written and brought back, in extra_json."""
+    return normalize(spread(_whole_lines(table(spark, sf_dir, "master_schema_rc"), RC)), "rc")
+
+
+@query()
+def normalize_rs_overflow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return normalize(spread(_whole_lines(table(spark, sf_dir, "master_schema_rs"), RS)), "rs")
+
+
 EVENT = T.StructType.fromJson({"type": "struct", "fields": [{"name": n, "type": t, "nullable": True, "metadata": {}} for n, t in (("event_id", "long"), ("absent", "long"), ("event_type", "string"), ("value", "double"), ("extra_json", "string"))]})
 
 
