@@ -50,6 +50,17 @@ def test_history(spark):
             assert all(got[k, c][x] == want[c][x] for x in ("n_rows", "n_null", "null_rate", "n_distinct")) and abs(got[k, c].entropy - want[c].entropy) < 2e-6
 
 
+def test_history_range_after_removals(spark):
+    """Values come, go and come back, also within one load: the range is that of the values then there."""
+    deltas = [("1", "m", 2), ("1", "p", 1), ("2", "a", 1), ("2", "z", 1), ("3", "a", -1), ("3", "q", 1), ("3", "q", -1), ("4", "z", -1), ("4", "a", 1), ("5", "a", -1), ("5", "m", -1), ("5", None, 1), ("6", "m", -1), ("6", "p", -1)]
+    got = {r["load"]: (r.least, r.most, r.n_distinct) for r in profile_history(spark.createDataFrame([(k, "c", v, n) for k, v, n in deltas], "load string, column_name string, value string, n bigint"), "load").collect()}
+    want = {}
+    for k in "123456":
+        now = {v for _, v, _ in deltas if v is not None and sum(n for j, w, n in deltas if w == v and j <= k) > 0}
+        want[k] = (min(now, default=None), max(now, default=None), len(now))
+    assert got == want
+
+
 LOADS = "filename string, following string, row_count bigint, column_stats map<string,struct<count:bigint,usage_ratio:double>>, issue int"
 
 

@@ -104,7 +104,8 @@ def profile_history(deltas: DataFrame, load: str, patterns: Mapping[str, str] |
     Each delta turns one maintained count into another, and with it the sums that the metrics are made of: rows, nulls,
     distinct values, n ln n and violations. Summed by load and column these changes run on over the loads, so the cost
     is that of the deltas. The windows hold a value's loads and a column's loads, never its values. least and most are
-    of all values ever given. Columns: load, column_name, n_rows, n_null, null_rate, n_distinct, least, most, entropy, n_violations.
+    of the values whose count is above 0 then: running ones of those that stay, and of those removed later, reduced to one
+    row for each pair of loads between which some were there, by a join on the loads. Columns: load, column_name, n_rows, n_null, null_rate, n_distinct, least, most, entropy, n_violations.
     """
     ok: Column = F.lit(True)
     for name, pattern in (patterns or {}).items():
@@ -114,13 +115,18 @@ def profile_history(deltas: DataFrame, load: str, patterns: Mapping[str, str] |
     now = F.col("_now")
     before = now - F.col("n")
     nlogn = lambda x: F.when(x > 0, x * F.log(x.cast("double"))).otherwise(0.0)
-    each = deltas.withColumn("_now", F.sum("n").over(one))
+    each = deltas.withColumn("_now", F.sum("n").over(one)).withColumn("_end", F.min(F.when(now <= 0, F.col(load))).over(one.rowsBetween(1, Window.unboundedFollowing)))
+    starts, stays = there & (now > 0) & (before <= 0), F.col("_end").isNull()
     step = each.groupBy(load, "column_name").agg(
         F.sum("n").alias("n_rows"), F.sum(F.when(there, 0).otherwise(F.col("n"))).alias("n_null"), F.sum(F.when(there, (now > 0).cast("int") - (before > 0).cast("int")).otherwise(0)).alias("n_distinct"),
-        F.sum(F.when(there, nlogn(now) - nlogn(before)).otherwise(0.0)).alias("_nlogn"), F.sum(F.when(there & ~ok, F.col("n")).otherwise(0)).alias("n_violations"), F.min("value").alias("least"), F.max("value").alias("most"),
+        F.sum(F.when(there, nlogn(now) - nlogn(before)).otherwise(0.0)).alias("_nlogn"), F.sum(F.when(there & ~ok, F.col("n")).otherwise(0)).alias("n_violations"), F.min(F.when(starts & stays, F.col("value"))).alias("least"), F.max(F.when(starts & stays, F.col("value"))).alias("most"),
     )
+    passing = each.filter(starts & ~stays).groupBy(F.col("column_name").alias("_c"), F.col(load).alias("_from"), "_end").agg(F.min("value").alias("_least"), F.max("value").alias("_most"))
+    during = (F.col("column_name") == F.col("_c")) & (F.col(load) >= F.col("_from")) & (F.col(load) < F.col("_end"))
+    passing = deltas.select(load, "column_name").distinct().join(passing, during).groupBy(load, "column_name").agg(F.min("_least").alias("_least"), F.max("_most").alias("_most"))
     upto = Window.partitionBy("column_name").orderBy(load).rowsBetween(Window.unboundedPreceding, 0)
     run = step.select(load, "column_name", *[F.sum(c).over(upto).alias(c) for c in ("n_rows", "n_null", "n_distinct", "_nlogn", "n_violations")], F.min("least").over(upto).alias("least"), F.max("most").over(upto).alias("most"))
+    run = run.join(passing, [load, "column_name"], "left").withColumns({"least": F.least("least", "_least"), "most": F.greatest("most", "_most")})
     given = F.col("n_rows") - F.col("n_null")
     entropy = F.when(given > 0, F.greatest(F.lit(0.0), F.log(given.cast("double")) - F.col("_nlogn") / given)).otherwise(0.0)
     return run.select(load, "column_name", "n_rows", "n_null", F.round(F.col("n_null") / F.col("n_rows"), 6).alias("null_rate"), "n_distinct", "least", "most", F.round(F.abs(entropy), 6).alias("entropy"), "n_violations")
