@@ -1,5 +1,7 @@
 import datetime as dt
+from pathlib import Path
 
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
@@ -91,3 +93,15 @@ def test_json_files(spark, tmp_path):
     assert read_json_files(spark, str(tmp_path / "*.claim.json"), CLAIM).first().machine_meta.machine == "m"
     (tmp_path / "u.json").write_text('[{"schema":{"a":[{"type":"int","usage":0.5},{"type":"string","usage":0.1}],"b":[{"type":"bool","usage":"always"}]}}]')
     assert rows(usage_statistics(spark, str(tmp_path / "u.json"))) == [("a", 0, "int", "0.5"), ("a", 1, "string", "0.1"), ("b", 0, "bool", "always")]
+
+
+def test_percent_and_minutes_are_registered(spark):
+    from tidewell.plans.catalogue import QUERIES
+
+    sf = "/root/testdata/sf0.001"
+    if not Path(sf).exists():
+        pytest.skip("no test tables here")
+    got = [r.percent for r in QUERIES["running_percent"](spark, sf).orderBy("position").collect()]
+    assert got[0] == 6.25 and max(got) <= 100
+    one = QUERIES["fleet_estimate"](spark, sf).first()
+    assert one.raw_minutes > 0 and abs(one.cautious_minutes - 1.25 * one.raw_minutes) < 2e-4

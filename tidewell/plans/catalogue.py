@@ -356,6 +356,20 @@ def running_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fleet.running_progress(_archives(spark, sf_dir), "name", "size").select("name", "position", "of_n", "running_bytes")
 
 
+@query(f"WITH {RUNS}, m AS (SELECT sum(ab) FILTER (conv <> 0 AND ab > 0) AS b, sum(dl + conv + up) AS t FROM r GROUP BY machine), v AS (SELECT coalesce(sum(CASE WHEN t > 0 THEN coalesce(b, 0) / 1048576 / t ELSE 0 END), 0) AS v FROM m), s AS (SELECT CASE WHEN v > 0 THEN v * 60 ELSE 1536 END AS x, CASE WHEN v > 0 THEN 'observed' ELSE 'static' END AS source FROM v) SELECT round(x, 2) AS mb_per_min, source, round(1024 / x, 4) AS raw_minutes, round(1024 / x * 1.25, 4) AS cautious_minutes FROM s")
+def fleet_estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As fleet_speed, with the minutes for 1 GiB."""
+    s = fleet.machine_stats(fleet.runs(table(spark, sf_dir, "manifest"), _archives(spark, sf_dir)))
+    return fleet.completion(2**30, s).withColumn("mb_per_min", F.round("mb_per_min", 2))
+
+
+@query(f"WITH a AS ({SIZES}), r AS (SELECT name, size, row_number() OVER (ORDER BY name) AS position, count(*) OVER () AS of_n, CAST(sum(size) OVER (ORDER BY name ROWS UNBOUNDED PRECEDING) AS BIGINT) AS running_bytes FROM a) SELECT name, position, of_n, running_bytes, least(100.0, round(CAST(running_bytes AS DOUBLE) * 100 / (16 * size), 2)) AS percent FROM r")
+def running_percent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As running_progress, with the percentage of 16 times the archive's compressed size."""
+    a = _archives(spark, sf_dir).withColumn("expected", F.col("size") * 16)
+    return fleet.running_progress(a, "name", "size").select("name", "position", "of_n", "running_bytes", "percent")
+
+
 # Audits
 
 _LISTS = ", ".join(f"[{', '.join(repr(c) for c in MASTER[k])}] AS {k}" for k in ("rc", "rs"))
