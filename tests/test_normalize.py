@@ -8,8 +8,8 @@ from pyspark.sql import types as T
 from tidewell.functions.coerce import coerce, edited_text, text_to_bigint
 from tidewell.operators.layout import read_union, sort_global, write_table
 from tidewell.operators.normalize import normalize, pad, parse, promote, quarantine, rebuild
-from tidewell.schema import BIGINT, BOOLEAN, RC, RS, json_type, keep_simple, kept_fields, master_schema, usage_schema
-from tidewell.sources.archives import catalog, footers, read_zstd
+from tidewell.schema import BIGINT, BOOLEAN, RC, RS, declared_schema, keep_simple, kept_fields, master_schema, shapes, sql_name
+from tidewell.sources.archives import catalog, described_types, footers, read_zstd, usage_statistics
 from tidewell.streaming.ingest import ingest
 
 
@@ -87,12 +87,18 @@ def test_coerce_nested(spark):
     assert coerce is not None
 
 
-def test_types_and_usage(spark):
-    assert json_type("int") == T.LongType() and json_type("null") == T.StringType() and json_type("odd") == T.StringType()
-    assert json_type("array") == T.ArrayType(T.StringType()) and json_type("key-value", {"schema": {"a": [{"type": "int"}]}}) == T.StringType()
-    assert json_type("object", {"schema": {"a": [{"type": "bool"}]}}) == T.StructType([T.StructField("a", T.BooleanType())])
-    stats = {"id": [{"type": "string", "usage": 0.01}], "rare": [{"type": "int", "usage": 0.05}], "edited": [{"type": "bool", "usage": "always"}], "n": [{"type": "int", "usage": 0.1}, {"type": "string", "usage": 0.9}]}
-    assert [(f.name, f.dataType.simpleString()) for f in usage_schema(stats)] == [("edited", "bigint"), ("id", "string"), ("n", "bigint"), ("extra_json", "string")]
+def test_types_and_usage(spark, tmp_path):
+    stats = {
+        "id": [{"type": "string", "usage": 0.01}], "rare": [{"type": "int", "usage": 0.05}], "edited": [{"type": "bool", "usage": "always"}], "n": [{"type": "int", "usage": 0.1}, {"type": "string", "usage": 0.9}], "z": [{"type": "null", "usage": 1}], "odd": [{"type": "??", "usage": 1}],
+        "l": [{"type": "array", "usage": 1}], "kv": [{"type": "key-value", "usage": 1, "schema": {"a": [{"type": "int"}]}}], "bare": [{"type": "object", "usage": 1}],
+        "deep": [{"type": "object", "usage": 0.5, "schema": {"b": [{"type": "bool"}], "a `x": [{"type": "array", "schema": [{"type": "object", "schema": {"f": [{"type": "float"}]}}]}]}}],
+    }
+    (tmp_path / "s.json").write_text(json.dumps([{"schema": stats}]))
+    types = described_types(spark, str(tmp_path / "s.json"))
+    got = {f.name: f.dataType.simpleString() for f in declared_schema(usage_statistics(spark, str(tmp_path / "s.json")), types)}
+    assert got == {"bare": "string", "deep": "struct<a `x:array<struct<f:double>>,b:boolean>", "edited": "bigint", "id": "string", "kv": "string", "l": "array<string>", "n": "bigint", "odd": "string", "z": "string", "extra_json": "string"} and list(got)[-1] == "extra_json"
+    assert shapes(types.limit(0)).count() == 0
+    assert rows(spark.createDataFrame([("bigint",), ("int64",), ("list<item: int64>",), ("struct<a:int>",), ("string",), ("bool",), ("timestamp",), (None,)], "t string").select("t", sql_name(F.col("t")))) == sorted([("bigint", "BIGINT"), ("int64", "BIGINT"), ("list<item: int64>", "JSON"), ("struct<a:int>", "JSON"), ("string", "VARCHAR"), ("bool", "BOOLEAN"), ("timestamp", "VARCHAR"), (None, "VARCHAR")], key=repr)
     u = spark.createDataFrame([("id", 0, "string", "0.01"), ("rare", 0, "int", "0.05"), ("n", 0, "int", "0.1"), ("n", 1, "string", "0.9"), ("all", 0, "int", "always"), ("bad", 0, "int", None)], "field string, rank int, type string, usage string")
     assert rows(kept_fields(u), "field", "type") == [("all", "int"), ("id", "string"), ("n", "int")]
     assert keep_simple(spark.createDataFrame([(1, [1], {"a": 1})], "a int, b array<int>, c map<string,int>")).columns == ["a"]

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewell.functions.coerce import coerce, edited
-from tidewell.schema import EXTRA, MASTER, master_schema
+from tidewell.schema import EXTRA, master_schema
 
 
 BAD = "_bad"
@@ -111,7 +111,3 @@ def rebuild(df: DataFrame) -> DataFrame:
     more = F.coalesce(F.col(EXTRA), F.lit("{}"))
     joined = F.concat_ws(",", F.when(own != "{}", inner(own)), F.when(more != "{}", inner(more)))
     return df.withColumn("record_json", F.concat(F.lit("{"), joined, F.lit("}")))
-
-
-def record_kinds() -> list[str]:
-    return list(MASTER)

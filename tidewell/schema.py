@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from typing import Any
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -55,6 +53,11 @@ CORE = ["id", "author", "subreddit", "link_id", "parent_id", "created_utc"]
 SORT_KEYS = ["author", "subreddit", "created_utc"]
 USAGE = 0.1
 
+# Types by their names in the usage statistics, and SQL names of flat types; all others are text.
+SCALARS = {"int": "bigint", "float": "double", "bool": "boolean"}
+SQL_NAMES = {"bigint": "BIGINT", "int64": "BIGINT", "int": "BIGINT", "int32": "BIGINT", "double": "DOUBLE", "float": "DOUBLE", "boolean": "BOOLEAN", "bool": "BOOLEAN"}
+NESTED = r"^(struct|array|list|map|variant)"
+
 EXTRA = "extra_json"
 MASTER = {"rc": RC, "rs": RS}
 
@@ -71,30 +74,6 @@ def master_schema(kind: str) -> T.StructType:
     return T.StructType([T.StructField(c, column_type(c)) for c in MASTER[kind]] + [T.StructField(EXTRA, T.StringType())])
 
 
-def json_type(name: str, nested: Any = None) -> T.DataType:
-    """The Spark type of a type name of the usage statistics; ``nested`` describes what is inside.
-
-    Types without a fixed shape, unknown names and null are text, so no column ever has a type that only nulls have.
-    """
-    inner = nested.get("schema") if isinstance(nested, dict) else None
-    if name == "array":
-        return T.ArrayType(json_type(inner[0]["type"], inner[0].get("schema")) if isinstance(inner, list) and inner else T.StringType())
-    if name == "object" and isinstance(inner, dict):
-        return T.StructType([T.StructField(k, json_type(v[0]["type"], v[0].get("schema"))) for k, v in inner.items()])
-    return {"int": T.LongType(), "float": T.DoubleType(), "bool": T.BooleanType()}.get(name, T.StringType())
-
-
-def usage_schema(statistics: dict[str, list[dict]], least: float = USAGE) -> T.StructType:
-    """A schema from usage statistics: of each field the first, most common type, if it is used enough or a core field."""
-    fields = []
-    for name in sorted(statistics):
-        best = statistics[name][0]
-        used = 1.0 if best["usage"] == "always" else float(best["usage"])
-        if used >= least or name in CORE:
-            fields.append(T.StructField(name, T.LongType() if name == "edited" else json_type(best["type"], best.get("schema"))))
-    return T.StructType([*fields, T.StructField(EXTRA, T.StringType())])
-
-
 def kept_fields(usage: DataFrame, least: float = USAGE) -> DataFrame:
     """Of rows (field, rank, type, usage) the first type of each field that is used enough or a core field.
 
@@ -105,6 +84,51 @@ def kept_fields(usage: DataFrame, least: float = USAGE) -> DataFrame:
     return best.select("field", "b.type", "b.share").filter((F.col("share") >= least) | F.col("field").isin(CORE))
 
 
+def _among(names: dict[str, str], x: Column, other: str) -> Column:
+    return F.coalesce(F.try_element_at(F.create_map(*[F.lit(v) for pair in names.items() for v in pair]), x), F.lit(other))
+
+
+def shapes(types: DataFrame) -> DataFrame:
+    """path and ddl of rows (path, type): the Spark type of every place that the usage statistics describe.
+
+    path is an array of steps, ``[]`` standing for an array's elements. A place takes its shape from the places one step
+    below it, so one grouping per level, from the deepest up, makes all types: objects become structs with their fields by
+    name, arrays take the type of their elements. Objects and arrays without a described inside are text and lists of
+    text; unknown names, key-value objects and null are text, so that no column has a type that only nulls have.
+    """
+    flat = types.select("path", F.size("path").alias("n"), "type", _among(SCALARS, F.col("type"), "string").alias("ddl"))
+    done, depth = None, flat.agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
+    for n in range(depth, 0, -1):
+        level = flat.filter(F.col("n") == n)
+        if done is not None:
+            step = F.element_at("path", -1)
+            field = F.struct(step.alias("step"), F.concat(F.lit("`"), F.replace(step, F.lit("`"), F.lit("``")), F.lit("`:"), F.col("ddl")).alias("text"))
+            inside = done.filter(F.size("path") == n + 1).groupBy(F.slice("path", 1, n).alias("path")).agg(F.min(F.when(step == "[]", F.col("ddl"))).alias("element"), F.array_join(F.transform(F.array_sort(F.collect_list(F.when(step != "[]", field))), lambda f: f.text), ",").alias("fields"))
+            level = level.join(inside, "path", "left")
+        else:
+            level = level.withColumns({"element": F.lit(None).cast("string"), "fields": F.lit("")})
+        held = F.when(F.col("type") == "array", F.concat(F.lit("array<"), F.coalesce("element", F.lit("string")), F.lit(">"))).when((F.col("type") == "object") & (F.col("fields") != ""), F.concat(F.lit("struct<"), "fields", F.lit(">"))).otherwise(F.col("ddl"))
+        level = level.select("path", held.alias("ddl"))
+        done = level if done is None else done.unionByName(level)
+    return flat.select("path", "ddl").limit(0) if done is None else done
+
+
+def declared_schema(usage: DataFrame, types: DataFrame, least: float = USAGE) -> T.StructType:
+    """The schema of kept fields (see :func:`kept_fields`) of described types (see :func:`shapes`), by name, and the overflow.
+
+    ``edited`` is a bigint whatever is stated. A schema is small: its fields are collected.
+    """
+    top = shapes(types).filter("size(path) = 1").select(F.col("path")[0].alias("field"), "ddl")
+    rows = kept_fields(usage, least).select("field").join(top, "field", "left").orderBy("field").collect()
+    kinds = [(r["field"], "bigint" if r["field"] == "edited" else r["ddl"] or "string") for r in rows]
+    return T.StructType([T.StructField(name, T.DataType.fromDDL(ddl)) for name, ddl in kinds] + [T.StructField(EXTRA, T.StringType())])
+
+
+def sql_name(kind: Column) -> Column:
+    """The SQL name of a Spark or Arrow type's name: JSON for nested types, VARCHAR for all that isn't a number or a flag."""
+    return F.when(kind.rlike(NESTED), "JSON").otherwise(_among(SQL_NAMES, kind, "VARCHAR"))
+
+
 def is_simple(kind: T.DataType) -> bool:
     return not isinstance(kind, (T.StructType, T.ArrayType, T.MapType, T.VariantType))
 

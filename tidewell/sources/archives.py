@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.functions.formats import MANIFEST_SUFFIX, archive_part, record_kind
+from tidewell.session import cut
 
 #: Windows up to 2 GiB, as long-distance matching makes them; Spark's own codec refuses them.
 MAX_WINDOW = 2**31
@@ -120,3 +121,20 @@ def usage_statistics(spark: SparkSession, path: str) -> DataFrame:
     doc = raw.select(F.from_json("value", "array<struct<schema:map<string,array<struct<type:string,usage:string>>>>>").alias("d"))
     fields = doc.select(F.explode(F.col("d")[0]["schema"]).alias("field", "types"))
     return fields.select("field", F.posexplode("types").alias("rank", "t")).select("field", "rank", "t.type", "t.usage")
+
+
+def described_types(spark: SparkSession, path: str) -> DataFrame:
+    """path and type of every place that a usage-statistics file describes, level by level; of several types the first."""
+    raw = spark.read.option("wholetext", "true").text(path)
+    first = "array<struct<type:string,schema:variant>>"
+    level = raw.select(F.from_json("value", f"array<struct<schema:map<string,{first}>>>").alias("d")).select(F.explode(F.col("d")[0]["schema"]).alias("field", "t")).select(F.array("field").alias("path"), F.col("t")[0].alias("t"))
+    out = None
+    while True:
+        level = cut(level.filter("t IS NOT NULL").select("path", "t.type", F.to_json("t.schema").alias("inner")))
+        own = level.select("path", "type")
+        out = own if out is None else out.unionByName(own)
+        if level.filter("inner IS NOT NULL").isEmpty():
+            return out
+        keyed = level.filter("type = 'object'").select("path", F.explode(F.from_json("inner", f"map<string,{first}>")).alias("key", "t")).select(F.concat("path", F.array("key")).alias("path"), F.col("t")[0].alias("t"))
+        listed = level.filter("type = 'array'").select(F.concat("path", F.array(F.lit("[]"))).alias("path"), F.from_json("inner", first)[0].alias("t"))
+        level = keyed.unionByName(listed)
