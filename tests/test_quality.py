@@ -3,7 +3,7 @@ from collections import Counter
 
 from conftest import rows
 
-from tidewell.operators.quality import CountStore, load_changes, merge_counts, profile, profile_history, shift, value_counts
+from tidewell.operators.quality import CountStore, load_changes, merge_counts, numeric_columns, profile, profile_history, shift, stated_deltas, value_counts
 
 T1 = [("a", 1, [1]), ("a", None, None), ("", 3, [1]), (None, None, [])]
 T2 = [("a", 1, [1]), ("b", 7, None)]
@@ -61,22 +61,65 @@ def test_history_range_after_removals(spark):
     assert got == want
 
 
-LOADS = "filename string, following string, row_count bigint, column_stats map<string,struct<count:bigint,usage_ratio:double>>, issue int"
+def test_history_numbers_and_shift(spark):
+    """Ranges of numbers go by number, also after a removal; shift is the distance between the states of two loads."""
+    t = [("1", "9", 1), ("1", "80", 2), ("1", "x", 1), ("2", "100", 3), ("3", "100", -3), ("3", "9", -1), ("4", None, 2), ("5", "80", -2), ("5", "x", -1), ("5", None, -2), ("6", "7", 1)]
+    deltas = spark.createDataFrame([(k, "c", v, n) for k, v, n in t], "load string, column_name string, value string, n bigint")
+    got = {r["load"]: r for r in profile_history(deltas, "load", numeric=["c"]).collect()}
+    state, before = Counter(), None
+    for k in "123456":
+        for j, v, n in t:
+            if j == k:
+                state[v] += n
+        held = {v: n for v, n in state.items() if n}
+        numbers = sorted((float(v), v) for v in held if v and v.isdigit())
+        assert (got[k].least if numbers else None, got[k].most if numbers else None) == ((held.get("x") and "x" or numbers[0][1]) if numbers else None, numbers[-1][1] if numbers else None)
+        if before is not None:
+            na, nb = sum(held.values()), sum(before.values())
+            want = sum(abs(held.get(v, 0) / na - before.get(v, 0) / nb) for v in {*held, *before}) / 2 if na and nb else float((na == 0) != (nb == 0))
+            assert abs(got[k]["shift"] - want) < 1e-4, k
+        else:
+            assert got[k]["shift"] is None
+        before = held
+    assert numeric_columns(spark.createDataFrame([], "a int, b string, c decimal(3,1), d boolean")) == ["a", "c"]
+
+
+def test_store_of_several_tables(spark, tmp_path):
+    store = CountStore(spark, str(tmp_path / "s"), "t string", "note int")
+    schema = "load string, t string, column_name string, value string, n bigint, note int"
+    store.apply_all(spark.createDataFrame([("a/1", "x", "c", "v", 2, 1), ("b", "x", "c", "v", -1, 2), ("b", "y", "c", None, 1, 3)], schema))
+    store.apply_all(spark.createDataFrame([("b", "y", "c", None, 4, 3)], schema))  # b anew; a/1 stays
+    assert rows(store.loads(), "load", "t", "value", "n", "note") == sorted([("a/1", "x", "v", 2, 1), ("b", "y", None, 4, 3)], key=repr)
+    assert rows(store.state(), "t", "value", "n") == sorted([("x", "v", 2), ("y", None, 4)], key=repr)
+
 
+LOADS = "series string, load string, row_count bigint, column_stats map<string,struct<count:bigint,usage_ratio:double>>, issue int"
 
-def test_load_changes(spark):
+
+def test_load_changes(spark, tmp_path):
     t = [
-        ("f1", "f2", 100, {"ok": (50, 0.5), "gone": (100, 1.0), "shift": (10, 0.1), "bad_before": (101, 1.0)}, 0),
-        ("f2", "f3", 201, {"ok": (101, 0.5025), "shift": (80, 0.398), "bad_before": (201, 1.0), "neg": (-1, 0.0), "null": (None, 0.5), "ratio": (100, None), "off": (100, 0.49), "above": (202, 1.0)}, 0),
-        ("f3", None, None, {"ok": (1, 0.5)}, 0),
-        ("z1", "z2", 0, {"a": (0, 0.0)}, 0),
-        ("z2", None, 10, {"a": (10, 1.0)}, 0),
-        ("e", None, 5, {}, 0),
-        ("n", None, 5, None, 0),
+        ("f", "1", 100, {"ok": (50, 0.5), "gone": (100, 1.0), "shift": (10, 0.1), "bad_before": (101, 1.0), "*": (1, 0.01)}, 0),
+        ("f", "2", 201, {"ok": (101, 0.5025), "shift": (80, 0.398), "bad_before": (201, 1.0), "neg": (-1, 0.0), "null": (None, 0.5), "ratio": (100, None), "off": (100, 0.49), "above": (202, 1.0), "*": (2, 0.01)}, 0),
+        ("f", "3", None, {"ok": (1, 0.5), "*": (2, 0.01)}, 0),
+        ("f", "4", 10, {"ok": (11, 0.5), "back": (5, 0.5), "*": (0, 0.0)}, 0),
+        ("f", "5", 10, {"ok": (9, 0.9), "back": (5, 0.5), "*": (3, 0.3)}, 0),
+        ("z", "1", 0, {"a": (0, 0.0)}, 0),
+        ("z", "2", 10, {"a": (10, 1.0)}, 0),
+        ("e", "1", 5, {}, 0),
+        ("n", "1", 5, None, 0),
     ]
-    got = set(rows(load_changes(spark.createDataFrame(t, LOADS))))
-    assert got == {
-        ("f1", "bad_before", "count_range"), ("f2", "gone", "column_gone"), ("f2", "shift", "share_shift"), ("f2", "neg", "count_range"), ("f2", "null", "count_range"), ("f2", "ratio", "ratio_off"), ("f2", "off", "ratio_off"), ("f2", "above", "count_range"), ("f2", "*", "rows_jump"),
-        *(("f3", c, "column_gone") for c in ("shift", "bad_before", "neg", "null", "ratio", "off", "above")), ("z2", "a", "share_shift"), ("z2", "*", "rows_jump"),
-    }
-    assert load_changes(spark.createDataFrame([], LOADS)).count() == 0
+
+    def changes(data, name):
+        store = CountStore(spark, str(tmp_path / name), "series string", "usage_ratio double")
+        store.apply_all(stated_deltas(spark.createDataFrame(data, LOADS), "series", "load"))
+        return load_changes(store), store
+
+    got, store = changes(t, "a")
+    assert rows(got) == sorted([
+        ("f", "1", "bad_before", "count_range"), ("f", "2", "gone", "column_gone"), ("f", "2", "shift", "share_shift"), ("f", "2", "neg", "count_range"), ("f", "2", "null", "count_range"), ("f", "2", "ratio", "ratio_off"), ("f", "2", "off", "ratio_off"), ("f", "2", "above", "count_range"), ("f", "2", "*", "rows_jump"),
+        *(("f", "3", c, "column_gone") for c in ("shift", "bad_before", "neg", "null", "ratio", "off", "above")), ("f", "4", "ok", "count_range"), ("f", "5", "*", "share_shift"), ("z", "2", "a", "share_shift"), ("z", "2", "*", "rows_jump"),
+    ], key=repr)
+    # What the store holds in the end is the last load of each series.
+    assert rows(store.state().filter("series = 'f' AND column_name = 'ok'"), "value", "n") == sorted([("given", 9), (None, 1), ("stated", 1)], key=repr)
+    # A store without the deltas finds nothing: the rows come from the maintained counts.
+    assert changes([], "b")[0].count() == 0

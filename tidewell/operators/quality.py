@@ -11,24 +11,35 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tidewell.session import cut
 
 COUNTS = "column_name string, value string, n bigint"
 
 
-def value_counts(df: DataFrame, columns: list[str] | None = None, by: list[str] | None = None, sign: int = 1) -> DataFrame:
+def value_counts(df: DataFrame, columns: list[str] | None = None, by: list[str] | None = None, sign: int = 1, weight: str | None = None) -> DataFrame:
     """(by..., column_name, value, n): counts of the values, as text, of each column; null is a value. ``sign`` -1: a removal.
 
-    Nested columns count by their JSON text. An empty table has no values. Partial aggregation shrinks hot values before
-    the shuffle, and the shuffle spreads a column by its values.
+    ``weight`` names a column that says how often a row counts, and with which sign; it isn't counted itself. Nested
+    columns count by their JSON text. An empty table has no values. Partial aggregation shrinks hot values before the
+    shuffle, and the shuffle spreads a column by its values.
     """
     by = by or []
-    names = columns if columns is not None else [c for c in df.columns if c not in by]
+    names = columns if columns is not None else [c for c in df.columns if c not in by and c != weight]
     kinds = dict(df.dtypes)
     text = [F.to_json(c) if kinds[c].startswith(("struct", "array", "map")) else F.col(f"`{c}`").cast("string") for c in names]
     pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), t.alias("value")) for c, t in zip(names, text, strict=True)]))
     if not names:
         return df.sparkSession.createDataFrame([], COUNTS)
-    return df.select(*by, pairs.alias("_p")).select(*by, "_p.column_name", "_p.value").groupBy(*by, "column_name", "value").agg((F.count("*") * sign).alias("n"))
+    times = F.col(weight).cast("bigint") if weight else F.lit(1).cast("bigint")
+    rows = df.select(*by, (times * sign).alias("_w"), pairs.alias("_p")).select(*by, "_w", "_p.column_name", "_p.value")
+    return rows.groupBy(*by, "column_name", "value").agg(F.sum("_w").alias("n"))
+
+
+def numeric_columns(df: DataFrame) -> list[str]:
+    """The columns whose values are ordered as numbers."""
+    return [f.name for f in df.schema if isinstance(f.dataType, T.NumericType)]
 
 
 def merge_counts(*states: DataFrame) -> DataFrame:
@@ -43,12 +54,16 @@ def merge_counts(*states: DataFrame) -> DataFrame:
 class CountStore:
     """Value counts kept as Parquet in a shared folder, one folder per load within a generation.
 
-    Applying a load again replaces its folder, so a retry after a lost executor or driver changes nothing. Compaction
-    writes the next generation whole before it counts, so a reader never sees a load twice or not at all.
+    ``keys`` are columns, as DDL, that tell apart tables kept in one store; ``notes`` are stored with a delta and play no
+    part in the counts. Applying a load again replaces its folder, so a retry after a lost executor or driver changes
+    nothing. Compaction writes the next generation whole before it counts, so a reader never sees a load twice or not at
+    all; it drops the notes.
     """
 
-    def __init__(self, spark: SparkSession, path: str):
+    def __init__(self, spark: SparkSession, path: str, keys: str = "", notes: str = ""):
         self.spark, self.path = spark, path
+        self.schema = ", ".join(x for x in (keys, COUNTS, notes) if x)
+        self.notes = T.StructType.fromDDL(notes).names if notes else []
         self._jpath = spark._jvm.org.apache.hadoop.fs.Path
         self._fs = self._jpath(path).getFileSystem(spark._jsc.hadoopConfiguration())
 
@@ -59,15 +74,21 @@ class CountStore:
         return sorted({0, *(g for g in found if self._fs.exists(self._jpath(f"{self.path}/gen={g}/load=base/_SUCCESS")))})
 
     def apply(self, load: str, delta: DataFrame) -> None:
-        delta.select("column_name", "value", "n").write.mode("overwrite").parquet(f"{self.path}/gen={self._generations()[-1]}/load={load}")
+        """Adds the signed counts of one load, or replaces them."""
+        self.apply_all(delta.withColumn("load", F.lit(load)))
+
+    def apply_all(self, deltas: DataFrame) -> None:
+        """The same for several loads at once, told apart by the column ``load``; other loads stay as they are."""
+        columns = T.StructType.fromDDL(self.schema).names
+        deltas.select(*columns, "load").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy("load").parquet(f"{self.path}/gen={self._generations()[-1]}")
 
     def loads(self) -> DataFrame:
-        """The counts of every load kept apart: column_name, value, n, load."""
+        """The deltas of every load kept apart: the counts' columns and load."""
         now = f"{self.path}/gen={self._generations()[-1]}"
-        return self.spark.read.schema(COUNTS + ", load string").option("basePath", now).parquet(now)
+        return self.spark.read.schema(self.schema + ", load string").option("basePath", now).parquet(now)
 
     def state(self) -> DataFrame:
-        return merge_counts(self.loads().drop("load"))
+        return merge_counts(self.loads().drop("load", *self.notes))
 
     def compact(self) -> None:
         """Sums all loads to one, ``base``, in a new generation, and removes the old ones."""
@@ -98,14 +119,17 @@ def profile(counts: DataFrame, patterns: Mapping[str, str] | None = None, by: li
     return agg.select(*by, "column_name", "n_rows", "n_null", F.round(F.col("n_null") / F.col("n_rows"), 6).alias("null_rate"), "n_distinct", "least", "most", "least_number", "most_number", F.round(F.abs(entropy), 6).alias("entropy"), F.col("_top.v").alias("top_value"), (-F.col("_top.n")).alias("top_n"), "n_violations")
 
 
-def profile_history(deltas: DataFrame, load: str, patterns: Mapping[str, str] | None = None) -> DataFrame:
+def profile_history(deltas: DataFrame, load: str, patterns: Mapping[str, str] | None = None, numeric: list[str] | None = None) -> DataFrame:
     """The profile of each column after each load, in order of ``load``, from the signed counts (load, column_name, value, n).
 
     Each delta turns one maintained count into another, and with it the sums that the metrics are made of: rows, nulls,
     distinct values, n ln n and violations. Summed by load and column these changes run on over the loads, so the cost
     is that of the deltas. The windows hold a value's loads and a column's loads, never its values. least and most are
-    of the values whose count is above 0 then: running ones of those that stay, and of those removed later, reduced to one
-    row for each pair of loads between which some were there, by a join on the loads. Columns: load, column_name, n_rows, n_null, null_rate, n_distinct, least, most, entropy, n_violations.
+    of the values whose count is above 0 then, by number for the ``numeric`` columns (what is no number comes first) and by text for others: running ones
+    of those that stay, and of those removed later, reduced to one row for each pair of loads between which some were
+    there, by a join on the loads. shift is the distance (see :func:`shift`) from the load before, null for a column's
+    first: values that a load leaves as they are count together, by what is left of the rows. Columns: load, column_name,
+    n_rows, n_null, null_rate, n_distinct, least, most, entropy, n_violations, shift.
     """
     ok: Column = F.lit(True)
     for name, pattern in (patterns or {}).items():
@@ -115,21 +139,31 @@ def profile_history(deltas: DataFrame, load: str, patterns: Mapping[str, str] |
     now = F.col("_now")
     before = now - F.col("n")
     nlogn = lambda x: F.when(x > 0, x * F.log(x.cast("double"))).otherwise(0.0)
+    number = F.when(F.col("column_name").isin(numeric or []), F.expr("try_cast(value AS double)"))
+    ranked = F.struct(number.alias("number"), F.col("value").alias("value"))
     each = deltas.withColumn("_now", F.sum("n").over(one)).withColumn("_end", F.min(F.when(now <= 0, F.col(load))).over(one.rowsBetween(1, Window.unboundedFollowing)))
+    each = cut(each)
     starts, stays = there & (now > 0) & (before <= 0), F.col("_end").isNull()
     step = each.groupBy(load, "column_name").agg(
         F.sum("n").alias("n_rows"), F.sum(F.when(there, 0).otherwise(F.col("n"))).alias("n_null"), F.sum(F.when(there, (now > 0).cast("int") - (before > 0).cast("int")).otherwise(0)).alias("n_distinct"),
-        F.sum(F.when(there, nlogn(now) - nlogn(before)).otherwise(0.0)).alias("_nlogn"), F.sum(F.when(there & ~ok, F.col("n")).otherwise(0)).alias("n_violations"), F.min(F.when(starts & stays, F.col("value"))).alias("least"), F.max(F.when(starts & stays, F.col("value"))).alias("most"),
+        F.sum(F.when(there, nlogn(now) - nlogn(before)).otherwise(0.0)).alias("_nlogn"), F.sum(F.when(there & ~ok, F.col("n")).otherwise(0)).alias("n_violations"), F.min(F.when(starts & stays, ranked)).alias("least"), F.max(F.when(starts & stays, ranked)).alias("most"),
     )
-    passing = each.filter(starts & ~stays).groupBy(F.col("column_name").alias("_c"), F.col(load).alias("_from"), "_end").agg(F.min("value").alias("_least"), F.max("value").alias("_most"))
+    passing = each.filter(starts & ~stays).groupBy(F.col("column_name").alias("_c"), F.col(load).alias("_from"), "_end").agg(F.min(ranked).alias("_least"), F.max(ranked).alias("_most"))
     during = (F.col("column_name") == F.col("_c")) & (F.col(load) >= F.col("_from")) & (F.col(load) < F.col("_end"))
-    passing = deltas.select(load, "column_name").distinct().join(passing, during).groupBy(load, "column_name").agg(F.min("_least").alias("_least"), F.max("_most").alias("_most"))
-    upto = Window.partitionBy("column_name").orderBy(load).rowsBetween(Window.unboundedPreceding, 0)
-    run = step.select(load, "column_name", *[F.sum(c).over(upto).alias(c) for c in ("n_rows", "n_null", "n_distinct", "_nlogn", "n_violations")], F.min("least").over(upto).alias("least"), F.max("most").over(upto).alias("most"))
-    run = run.join(passing, [load, "column_name"], "left").withColumns({"least": F.least("least", "_least"), "most": F.greatest("most", "_most")})
+    passing = each.select(load, "column_name").distinct().join(passing, during).groupBy(load, "column_name").agg(F.min("_least").alias("_least"), F.max("_most").alias("_most"))
+    column = Window.partitionBy("column_name").orderBy(load)
+    upto = column.rowsBetween(Window.unboundedPreceding, 0)
+    run = step.select(load, "column_name", F.row_number().over(column).alias("_k"), F.col("n_rows").alias("_more"), *[F.sum(c).over(upto).alias(c) for c in ("n_rows", "n_null", "n_distinct", "_nlogn", "n_violations")], F.min("least").over(upto).alias("least"), F.max("most").over(upto).alias("most"))
+    run = cut(run.join(passing, [load, "column_name"], "left").withColumns({"least": F.least("least", "_least"), "most": F.greatest("most", "_most")}))
+    # Of the values that a load changes; the others, n in all, differ by n times the difference of one row's share.
+    sizes = run.select(load, "column_name", F.col("n_rows").cast("double").alias("_na"), (F.col("n_rows") - F.col("_more")).cast("double").alias("_nb")).filter("_na > 0 AND _nb > 0")
+    moved = each.join(sizes, [load, "column_name"]).groupBy(load, "column_name").agg(F.sum(F.abs(F.try_divide(now, F.col("_na")) - F.try_divide(before, F.col("_nb")))).alias("_d"), F.sum(before).alias("_b"), F.first("_na").alias("_na"), F.first("_nb").alias("_nb"))
+    same = (F.col("_nb") - F.col("_b")) * F.abs(F.try_divide(F.lit(1.0), F.col("_na")) - F.try_divide(F.lit(1.0), F.col("_nb")))
+    moved = moved.select(load, "column_name", F.round((F.col("_d") + same) / 2, 4).alias("shift"))
+    run = run.join(moved, [load, "column_name"], "left")
     given = F.col("n_rows") - F.col("n_null")
     entropy = F.when(given > 0, F.greatest(F.lit(0.0), F.log(given.cast("double")) - F.col("_nlogn") / given)).otherwise(0.0)
-    return run.select(load, "column_name", "n_rows", "n_null", F.round(F.col("n_null") / F.col("n_rows"), 6).alias("null_rate"), "n_distinct", "least", "most", F.round(F.abs(entropy), 6).alias("entropy"), "n_violations")
+    return run.select(load, "column_name", "n_rows", "n_null", F.round(F.try_divide("n_null", "n_rows"), 6).alias("null_rate"), "n_distinct", F.col("least.value").alias("least"), F.col("most.value").alias("most"), F.round(F.abs(entropy), 6).alias("entropy"), "n_violations", F.when(F.col("_k") > 1, F.coalesce("shift", F.when((F.col("n_rows") == 0) != (F.col("n_rows") == F.col("_more")), 1.0).otherwise(0.0))).alias("shift"))
 
 
 def shift(before: DataFrame, after: DataFrame) -> DataFrame:
@@ -145,38 +179,72 @@ def shift(before: DataFrame, after: DataFrame) -> DataFrame:
     return gap.select("column_name", F.when((F.col("nb") == 0) | (F.col("na") == 0), 1.0).otherwise(F.round(F.col("d") / 2, 6)).alias("distance"))
 
 
-def load_changes(loads: DataFrame) -> DataFrame:
-    """Wrong figures and changes of stated loads: (filename, column_name, issue).
+#: Values that stated loads are counted by, besides null: rows in which a column is given, loads that state it, loads whose
+#: statement lacks the count, and loads without a row_count.
+GIVEN, STATED, UNCOUNTED, UNBOUNDED = "given", "stated", "uncounted", "unbounded"
+_STATES = "map<string,struct<count:bigint,usage_ratio:double>>"
 
-    ``loads`` has filename, following (the filename of the next load of its series, or null), row_count and column_stats,
-    one row per load. The value counts that a load states (each column's given values; the rest of its rows is null) are
-    applied with sign +1 to itself and with sign -1 to the load that follows, so that one grouping holds, for each load
-    and column, what came and what went; there is no join. A null row_count bounds no count and gives no share; of zero
-    rows every share is 0. Null or empty column_stats state no column.
+
+def stated_deltas(loads: DataFrame, series: str, load: str) -> DataFrame:
+    """The signed value counts (series, load, column_name, value, n, usage_ratio) by which each load of a series changes them.
+
+    ``loads`` has series, load, row_count and column_stats, one row per load; the statement of a load takes the place of
+    the one before in its series. A column's values are known as ``given`` or null, so its counts are those two, beside
+    what says whether and how it is stated; the load as a whole is the null column_name, with its rows as given. A column
+    that a load states has a row for ``given`` even where the count stays. usage_ratio is the load's own, as stated.
+    """
+    own = Window.partitionBy(series).orderBy(load)
+    stats = F.coalesce("column_stats", F.create_map().cast(_STATES))
+    side = F.struct(F.col("row_count").alias("rows"), stats.alias("stats"))
+    both = loads.select(F.col(series).alias("series"), F.col(load).alias("load"), side.alias("now"), F.lag(side).over(own).alias("was"))
+    names = F.array_union(F.map_keys("now.stats"), F.coalesce(F.map_keys("was.stats"), F.array().cast("array<string>")))
+
+    def counts(at: str, name: Column) -> Column:
+        s, n = F.col(at)["stats"][name], F.col(at)["rows"]
+        there, counted = F.coalesce(F.map_contains_key(F.col(at)["stats"], name), F.lit(False)), s["count"].isNotNull()
+        flag = lambda c: F.when(there & c, 1).otherwise(0).cast("bigint")
+        zero = F.lit(0).cast("bigint")
+        return F.struct(F.coalesce(s["count"], zero).alias("given"), F.when(there & counted, F.coalesce(n - s["count"], zero)).otherwise(zero).alias("rest"), flag(F.lit(True)).alias("stated"), flag(~counted).alias("uncounted"), flag(n.isNull()).alias("unbounded"))
+
+    def whole(at: str) -> Column:
+        n, there = F.col(at)["rows"], F.col(at).isNotNull()
+        zero = F.lit(0).cast("bigint")
+        return F.struct(F.coalesce(n, zero).alias("given"), zero.alias("rest"), there.cast("bigint").alias("stated"), zero.alias("uncounted"), (there & n.isNull()).cast("bigint").alias("unbounded"))
+
+    column = F.transform(names, lambda c: F.struct(c.alias("column_name"), counts("now", c).alias("a"), counts("was", c).alias("b"), F.col("now.stats")[c]["usage_ratio"].alias("usage_ratio")))
+    all_ = F.struct(F.lit(None).cast("string").alias("column_name"), whole("now").alias("a"), whole("was").alias("b"), F.lit(None).cast("double").alias("usage_ratio"))
+    each = both.select("series", "load", F.explode(F.concat(F.array(all_), column)).alias("c")).select("series", "load", "c.*")
+    change = lambda v, f, always=False: F.when(F.lit(always) | (F.col(f"a.{f}") != F.col(f"b.{f}")), F.struct(F.lit(v).cast("string").alias("value"), (F.col(f"a.{f}") - F.col(f"b.{f}")).alias("n")))
+    moves = F.array_compact(F.array(change(GIVEN, "given", True), change(None, "rest"), change(STATED, "stated"), change(UNCOUNTED, "uncounted"), change(UNBOUNDED, "unbounded")))
+    return each.select("series", "load", "column_name", "usage_ratio", F.explode(moves).alias("m")).select("series", "load", "column_name", "m.value", "m.n", "usage_ratio")
+
+
+def load_changes(store: CountStore) -> DataFrame:
+    """Wrong figures and changes of stated loads: (series, load, column_name, issue), from the store of :func:`stated_deltas`.
+
+    The counts after each load are the running sums of the deltas of its series and column, which the window holds: a
+    column's loads. A count is out of range if it is missing or makes a value's count negative. A load without a
+    row_count bounds no count and gives no share; of zero rows every share is 0. Null or empty column_stats state no
+    column. column_name is ``*`` for the load as a whole.
     """
-    target = F.filter(F.array(F.struct(F.col("filename").alias("load"), F.lit(1).alias("sign")), F.struct(F.col("following").alias("load"), F.lit(-1).alias("sign"))), lambda x: x.load.isNotNull())
-    whole = F.struct(F.lit(None).cast("string").alias("column_name"), F.col("row_count").alias("given"), F.lit(None).cast("double").alias("ratio"))
-    own = F.transform(F.map_entries(F.coalesce("column_stats", F.create_map().cast("map<string,struct<count:bigint,usage_ratio:double>>"))), lambda e: F.struct(e.key.alias("column_name"), e.value["count"].alias("given"), e.value.usage_ratio.alias("ratio")))
-    signed = loads.select(F.explode(target).alias("t"), "row_count", F.concat(F.array(whole), own).alias("c")).select("t.load", "t.sign", "row_count", F.explode("c").alias("c")).select("load", "sign", "row_count", "c.*")
-    side = lambda s: F.max(F.when(F.col("sign") == s, F.struct("given", "ratio", "row_count")))
-    both = signed.groupBy("load", "column_name").agg(side(1).alias("now"), side(-1).alias("was"))
-
-    def bad(x: str) -> Column:
-        return F.col(f"{x}.given").isNull() | (F.col(f"{x}.given") < 0) | F.coalesce(F.col(f"{x}.given") > F.col(f"{x}.row_count"), F.lit(False))
-
-    def share(x: str) -> Column:
-        return F.when(F.col(f"{x}.row_count") == 0, 0.0).otherwise(F.col(f"{x}.given") / F.col(f"{x}.row_count"))
-
-    column, there, before = F.col("column_name").isNotNull(), F.col("now").isNotNull(), F.col("was").isNotNull()
-    ok = there & ~bad("now")
-    jump = ~column & there & before & ((F.col("now.row_count") > 2 * F.col("was.row_count")) | (2 * F.col("now.row_count") < F.col("was.row_count")))
+    own = Window.partitionBy("series", "column_name").orderBy("load")
+    total = lambda v: F.sum(F.when(F.col("value").eqNullSafe(F.lit(v)), F.col("n")).otherwise(0)).over(own.rangeBetween(Window.unboundedPreceding, 0))
+    after = store.loads().withColumns({"given": total(GIVEN), "rest": total(None), "is_stated": total(STATED) > 0, "uncounted": total(UNCOUNTED), "unbounded": total(UNBOUNDED)}).filter(F.col("value") == GIVEN)
+    bad = (F.col("uncounted") > 0) | (F.col("given") < 0) | (F.col("rest") < 0)
+    n = F.col("given") + F.col("rest")
+    share = F.when(F.col("unbounded") > 0, None).when(n == 0, 0.0).otherwise(F.try_divide(F.col("given"), n))
+    state = after.select("series", "load", "column_name", "usage_ratio", "is_stated", "given", "unbounded", F.when(~bad, share).alias("share"), bad.alias("bad"))
+    was = lambda c: F.lag(c).over(own)
+    both = state.withColumns({"stated_before": F.coalesce(was("is_stated"), F.lit(False)), "share_before": was("share"), "rows_before": F.when(was("unbounded") == 0, was("given")), "rows": F.when(F.col("unbounded") == 0, F.col("given"))})
+    column, there, before = F.col("column_name").isNotNull(), F.col("is_stated"), F.col("stated_before")
+    fine = column & there & ~F.col("bad")
     issues = F.array_compact(
         F.array(
-            F.when(column & there & bad("now"), "count_range"),
-            F.when(column & ok & F.coalesce(F.abs(F.col("now.ratio") - share("now")) > 0.0005, F.col("now.ratio").isNull()), "ratio_off"),
-            F.when(column & ok & before & ~bad("was") & (F.abs(share("now") - share("was")) > 0.2), "share_shift"),
-            F.when(column & ~there, "column_gone"),
-            F.when(jump, "rows_jump"),
+            F.when(column & there & F.col("bad"), "count_range"),
+            F.when(fine & F.coalesce(F.abs(F.col("usage_ratio") - F.col("share")) > 0.0005, F.col("usage_ratio").isNull()), "ratio_off"),
+            F.when(fine & before & (F.abs(F.col("share") - F.col("share_before")) > 0.2), "share_shift"),
+            F.when(column & ~there & before, "column_gone"),
+            F.when(~column & there & before & ((F.col("rows") > 2 * F.col("rows_before")) | (2 * F.col("rows") < F.col("rows_before"))), "rows_jump"),
         )
     )
-    return both.select(F.col("load").alias("filename"), F.coalesce("column_name", F.lit("*")).alias("column_name"), F.explode(issues).alias("issue"))
+    return both.select("series", "load", F.coalesce("column_name", F.lit("*")).alias("column_name"), F.explode(issues).alias("issue"))

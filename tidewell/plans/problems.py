@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewell.functions.reading import known_author, seconds, utc_day
 from tidewell.operators.hierarchy import descendants, hierarchy
-from tidewell.operators.quality import load_changes, profile_history, value_counts
+from tidewell.operators.quality import CountStore, load_changes, numeric_columns, profile_history, stated_deltas, value_counts
 from tidewell.operators.sessions import sessions
 from tidewell.operators.shredding import assemble, element_objects, shred
 from tidewell.operators.skewed import key_profile, middle_ids
-from tidewell.session import tune
+from tidewell.session import scratch, tune
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -78,32 +78,52 @@ def p4_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 MONTH = r"^new-(R[CS])_(\d{4}-\d{2})_(\d+)\.parquet$"
 
 
+def _stamp() -> Column:
+    """last_modified, UTC in several notations; an unreadable one counts as the earliest."""
+    return F.coalesce(F.expr("try_cast(last_modified AS timestamp)"), F.timestamp_seconds(F.lit(0)))
+
+
 def stated_loads(manifest: DataFrame) -> DataFrame:
-    """filename, series, month, following, row_count, column_stats of the latest stated version of each load.
+    """series, load (its month), row_count, column_stats of the latest stated version of each load.
 
-    Stamps are UTC in several notations; an unreadable one counts as the earliest. Names that aren't those of a load are
-    left out. A series has a load a month at most, which bounds the window.
+    Names that aren't those of a load are left out. A series has a load a month at most, which bounds its window.
     """
-    stamp = F.coalesce(F.expr("try_cast(last_modified AS timestamp)"), F.timestamp_seconds(F.lit(0)))
     named = manifest.filter(F.col("column_stats").isNotNull() & F.col("filename").rlike(MONTH))
-    latest = named.groupBy("filename").agg(F.max_by(F.struct("row_count", "column_stats"), stamp).alias("v"))
+    latest = named.groupBy("filename").agg(F.max_by(F.struct("row_count", "column_stats"), _stamp()).alias("v"))
     part = lambda i: F.regexp_extract("filename", MONTH, i)
-    rows = latest.select("filename", F.concat(part(1), F.lit("_"), part(3)).alias("series"), part(2).alias("month"), "v.row_count", "v.column_stats")
-    return rows.withColumn("following", F.lead("filename").over(Window.partitionBy("series").orderBy("month")))
+    return latest.select(F.concat(part(1), F.lit("_"), part(3)).alias("series"), part(2).alias("load"), "v.row_count", "v.column_stats")
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return load_changes(stated_loads(table(spark, sf_dir, "manifest")))
+    store = CountStore(spark, scratch(spark), "series string", "usage_ratio double")
+    store.apply_all(stated_deltas(stated_loads(table(spark, sf_dir, "manifest")), "series", "load"))
+    kind, number = F.substring_index("series", "_", 1), F.substring_index("series", "_", -1)
+    filename = F.concat(F.lit("new-"), kind, F.lit("_"), "load", F.lit("_"), number, F.lit(".parquet"))
+    return load_changes(store).select(filename.alias("filename"), "column_name", "issue")
 
 
-PROFILED = ["filename", "file_size", "last_modified", "row_count", "conversion_method"]
+PROFILED = ["filename", "file_size", "last_modified", "row_count", "conversion_method", "schema_types", "column_stats", "conversion_history"]
 PATTERNS = {"filename": MONTH, "last_modified": r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(Z|\+00:00)?$", "row_count": r"^\d+$"}
 
 
 def p5_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Profile of the manifest's own columns after each month's loads, from value counts kept by signed deltas."""
-    m = table(spark, sf_dir, "manifest").withColumn("month", F.regexp_extract("filename", MONTH, 2))
-    return profile_history(value_counts(m.select("month", *PROFILED), PROFILED, ["month"]), "month", PATTERNS)
+    """Profile of the manifest's columns after each month of conversions, from a store of value counts.
+
+    A version of a file adds its values in the month of its last_modified and takes away those of the version before
+    (the one of an earlier time; at the same time by size, rows and method), so that reruns and copies replace. Of nested
+    columns the range is left out: it would be one of JSON texts.
+    """
+    m = table(spark, sf_dir, "manifest").withColumns({"_stamp": _stamp()}).withColumn("load", F.date_format("_stamp", "yyyy-MM"))
+    order = Window.partitionBy("filename").orderBy("_stamp", F.asc_nulls_first("file_size"), F.asc_nulls_first("row_count"), F.asc_nulls_first("conversion_method"))
+    move = lambda at, sign: F.struct(F.col(at).alias("load"), F.lit(sign).alias("weight"))
+    moves = F.filter(F.array(move("load", 1), move("until", -1)), lambda x: x.load.isNotNull())
+    signed = m.withColumn("until", F.lead("load").over(order)).select(F.explode(moves).alias("_m"), *PROFILED).select("_m.*", *PROFILED)
+    store = CountStore(spark, scratch(spark))
+    store.apply_all(value_counts(signed, PROFILED, ["load"], weight="weight").filter("n != 0"))
+    nested = [c for c, t in signed.dtypes if t.startswith(("map", "struct"))]
+    p = profile_history(store.loads(), "load", PATTERNS, numeric_columns(signed)).withColumnRenamed("load", "month")
+    bare = lambda c: F.when(~F.col("column_name").isin(nested), F.col(c)).alias(c)
+    return p.withColumns({c: bare(c) for c in ("least", "most")})
 
 
 QUERIES = {f.__name__: f for f in (p1_found, p1_paths, p1_descendants, p2_found, p2_sessions, p3_found, p3_profiles, p4_found, p4_tables, p5_found, p5_profile)}
@@ -156,13 +176,21 @@ UNION ALL SELECT filename, column_name, 'share_shift' FROM j WHERE NOT bad AND N
 UNION ALL SELECT b.filename, p.column_name, 'column_gone' FROM b JOIN d p ON p.filename = b.before WHERE NOT EXISTS (SELECT 1 FROM d WHERE d.filename = b.filename AND d.column_name = p.column_name)
 UNION ALL SELECT filename, '*', 'rows_jump' FROM b WHERE row_count > 2 * rows_before OR 2 * row_count < rows_before""",
     "p5_profile": r"""
-WITH m AS (SELECT regexp_extract(filename, '^new-(R[CS])_(\d{4}-\d{2})_(\d+)\.parquet$', 2) AS month, * FROM manifest),
-v AS (SELECT month, 'filename' AS column_name, filename AS value FROM m UNION ALL SELECT month, 'file_size', CAST(file_size AS VARCHAR) FROM m UNION ALL SELECT month, 'last_modified', last_modified FROM m
- UNION ALL SELECT month, 'row_count', CAST(row_count AS VARCHAR) FROM m UNION ALL SELECT month, 'conversion_method', conversion_method FROM m),
-a AS (SELECT t.month, v.column_name, v.value, count(*) AS n FROM v JOIN (SELECT DISTINCT month, column_name FROM v) t ON v.month <= t.month AND v.column_name = t.column_name GROUP BY ALL),
-x AS (SELECT *, sum(n) FILTER (value IS NOT NULL) OVER (PARTITION BY month, column_name) AS g FROM a)
-SELECT month, column_name, CAST(sum(n) AS BIGINT) AS n_rows, CAST(coalesce(sum(n) FILTER (value IS NULL), 0) AS BIGINT) AS n_null, round(coalesce(sum(n) FILTER (value IS NULL), 0) / sum(n), 6) AS null_rate, count(value) AS n_distinct, min(value) AS least, max(value) AS most,
+WITH t AS (SELECT *, coalesce(TRY_CAST(replace(replace(replace(last_modified, 'T', ' '), 'Z', ''), '+00:00', '') AS TIMESTAMP), TIMESTAMP '1970-01-01') AS stamp FROM manifest),
+m AS (SELECT *, strftime(stamp, '%Y-%m') AS month, row_number() OVER (PARTITION BY filename ORDER BY stamp, file_size NULLS FIRST, row_count NULLS FIRST, conversion_method NULLS FIRST) AS k FROM t),
+l AS (SELECT month, row_number() OVER (ORDER BY month) AS seq FROM (SELECT DISTINCT month FROM m)),
+s AS (SELECT l.month AS load, l.seq, m.* FROM l JOIN m ON m.month <= l.month QUALIFY row_number() OVER (PARTITION BY l.month, filename ORDER BY k DESC) = 1),
+v AS (SELECT load, seq, 'filename' AS column_name, filename AS value, NULL AS number FROM s UNION ALL SELECT load, seq, 'file_size', CAST(file_size AS VARCHAR), file_size FROM s UNION ALL SELECT load, seq, 'last_modified', last_modified, NULL FROM s
+ UNION ALL SELECT load, seq, 'row_count', CAST(row_count AS VARCHAR), row_count FROM s UNION ALL SELECT load, seq, 'conversion_method', conversion_method, NULL FROM s UNION ALL SELECT load, seq, 'schema_types', CAST(schema_types AS VARCHAR), NULL FROM s
+ UNION ALL SELECT load, seq, 'column_stats', CAST(column_stats AS VARCHAR), NULL FROM s UNION ALL SELECT load, seq, 'conversion_history', CAST(conversion_history AS VARCHAR), NULL FROM s),
+a AS (SELECT load, seq, column_name, value, any_value(number) AS number, count(*) AS n FROM v GROUP BY ALL),
+x AS (SELECT *, sum(n) FILTER (value IS NOT NULL) OVER w AS g, sum(n) OVER w AS total FROM a WINDOW w AS (PARTITION BY load, column_name)),
+d AS (SELECT coalesce(p.seq + 1, q.seq) AS seq, coalesce(p.column_name, q.column_name) AS column_name, sum(abs(coalesce(q.n / q.total, 0) - coalesce(p.n / p.total, 0))) / 2 AS shift FROM x p FULL JOIN x q ON q.seq = p.seq + 1 AND q.column_name = p.column_name AND q.value IS NOT DISTINCT FROM p.value GROUP BY ALL)
+SELECT load AS month, x.column_name, CAST(sum(n) AS BIGINT) AS n_rows, CAST(coalesce(sum(n) FILTER (value IS NULL), 0) AS BIGINT) AS n_null, round(coalesce(sum(n) FILTER (value IS NULL), 0) / sum(n), 6) AS null_rate, count(value) AS n_distinct,
+ CASE WHEN x.column_name IN ('file_size', 'row_count') THEN CAST(min(number) AS VARCHAR) WHEN x.column_name IN ('filename', 'last_modified', 'conversion_method') THEN min(value) END AS least,
+ CASE WHEN x.column_name IN ('file_size', 'row_count') THEN CAST(max(number) AS VARCHAR) WHEN x.column_name IN ('filename', 'last_modified', 'conversion_method') THEN max(value) END AS most,
  round(abs(coalesce(sum(CASE WHEN value IS NOT NULL THEN n / g * ln(n / g) END), 0)), 6) AS entropy,
- CAST(coalesce(sum(n) FILTER (column_name = 'filename' AND NOT regexp_matches(value, '^new-(R[CS])_(\d{4}-\d{2})_(\d+)\.parquet$') OR column_name = 'last_modified' AND NOT regexp_matches(value, '^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(Z|\+00:00)?$') OR column_name = 'row_count' AND NOT regexp_matches(value, '^\d+$')), 0) AS BIGINT) AS n_violations
-FROM x GROUP BY month, column_name""",
+ CAST(coalesce(sum(n) FILTER (x.column_name = 'filename' AND NOT regexp_matches(value, '^new-(R[CS])_(\d{4}-\d{2})_(\d+)\.parquet$') OR x.column_name = 'last_modified' AND NOT regexp_matches(value, '^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(Z|\+00:00)?$') OR x.column_name = 'row_count' AND NOT regexp_matches(value, '^\d+$')), 0) AS BIGINT) AS n_violations,
+ CASE WHEN x.seq > 1 THEN round(any_value(d.shift), 4) END AS shift
+FROM x LEFT JOIN d ON d.seq = x.seq AND d.column_name = x.column_name GROUP BY load, x.seq, x.column_name""",
 }

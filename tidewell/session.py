@@ -48,13 +48,21 @@ def shared_dir(spark: SparkSession) -> str:
 _written: list[tuple[SparkSession, str]] = []
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Writes df as a table in the shared folder and returns the table as read: lineage ends here, and a lost executor costs nothing already written."""
-    spark = df.sparkSession
+def scratch(spark: SparkSession) -> str:
+    """A new path in the shared folder, for what lives until drop_scratch()."""
     path = f"{shared_dir(spark)}/tidewell-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
     _written.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
+    return path
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Writes df as a table in the shared folder and returns the table as read: lineage ends here, and a lost executor costs nothing already written.
+
+    The table lives until drop_scratch(); store what was made of it before that.
+    """
+    path = scratch(df.sparkSession)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def drop_scratch() -> None:
