@@ -4,7 +4,7 @@ from collections import Counter, defaultdict
 from conftest import rows
 
 import tidewell.operators.skewed as skewed
-from tidewell.operators.skewed import key_profile, middle_ids
+from tidewell.operators.skewed import join_hot, key_profile, middle_ids
 
 SCHEMA = "k string, day int, v bigint, id string, n int, middle string"
 
@@ -36,6 +36,9 @@ def test_middle_ids(spark, monkeypatch):
         df = spark.createDataFrame(t, SCHEMA).repartition(3)
         want = brute(t, 20)
         assert rows(middle_ids(df, ["k"], "day", "v", "id", least=20)) == want
+    for values in (1, 3):  # windows of five ids at most
+        t = table(values, values)
+        assert rows(middle_ids(spark.createDataFrame(t, SCHEMA).repartition(3), ["k"], "day", "v", "id", least=20, window_ids=5)) == brute(t, 20)
     monkeypatch.setattr(skewed, "BROADCAST_ROWS", 0)
     t = table(3, 3)
     assert rows(middle_ids(spark.createDataFrame(t, SCHEMA), ["k"], "day", "v", "id", least=1)) == brute(t, 1)
@@ -52,3 +55,17 @@ def test_key_profile(spark):
         want.append((k, len(vs), len(c), top, c.get(top)))
     assert rows(key_profile(spark.createDataFrame(t, SCHEMA), ["k"], "v")) == sorted(want, key=repr)
     assert key_profile(spark.createDataFrame([], SCHEMA), ["k"], "v").count() == 0
+
+
+def test_join_hot(spark, monkeypatch):
+    """As a plain join, whichever way the hot keys (null among them) take."""
+    left = spark.createDataFrame([(None if k % 3 == 0 else "hot" if k % 3 == 1 else f"k{k}", k) for k in range(600)], "k string, a int")
+    right = spark.createDataFrame([("hot", 1), ("hot", 2), ("k2", 3), ("k5", 4), (None, 5), ("other", 6)], "k string, b int")
+    for how in ("inner", "left"):
+        want = rows(left.join(right, ["k"], how), "k", "a", "b")
+        assert rows(join_hot(left, right, ["k"], how), "k", "a", "b") == want
+        assert rows(join_hot(left, right, ["k"], how, hot_least=1), "k", "a", "b") == want
+        monkeypatch.setattr(skewed, "BROADCAST_ROWS", 0)
+        assert rows(join_hot(left, right, ["k"], how, hot_least=1), "k", "a", "b") == want
+        monkeypatch.undo()
+    assert join_hot(left.limit(0), right, ["k"]).count() == 0
