@@ -1,9 +1,16 @@
 """Passages of test items inside a corpus, whole or with a few edits: pigeonhole matching.
 
 A passage of ``window`` words with at most ``budget`` edits between item and document leaves one of any budget + 1
-disjoint pieces of it intact. Items are cut into aligned pieces so short that every passage holds budget + 1 of them;
-pieces are looked up in the documents by hash, and each hit is verified by Myers' bit-parallel edit distance between the
-item's passages around the piece and the document's words there. Documents are read once per block of items.
+disjoint pieces of it intact.
+
+1. Items are cut into aligned pieces so short that every passage holds budget + 1 of them. A bitmap of the pieces' hashes,
+   of bounded size whatever their number, is all that is sent to the executors; documents are read once.
+2. Where a document may have a piece, the words around it are kept. The rest of a passage around an intact piece has budget
+   edits at most in turn, so one of the smaller pieces beside it stands intact too, moved by at most as many words: piece
+   and neighbour together are the key of the join. A common phrase that many items have thus meets only the items that
+   go on alike. Equal surroundings are one row, on both sides.
+3. Every pair that the join gives is verified by Myers' bit-parallel edit distance, of each passage of the item around the
+   piece against the document's words there; there is no other way to a result.
 """
 
 from __future__ import annotations
@@ -13,13 +20,24 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewell.operators.skewed import join_hot
+from tidewell.session import cut
+
 WORD = re.compile(r"[^\W_]+")
-#: Characters of items that one pass over the documents looks for; more items make more passes.
-BLOCK_CHARS = 16_000_000
-OUT = "doc_id bigint, item_id bigint, distance int, item_word int, doc_word int"
+#: Bits of the map of pieces, as a power of two: about 16 for each piece, within these bounds (8 KB and 16 MB).
+LEAST_BITS, MOST_BITS = 16, 27
+#: Words that a task remembers the hashes of; more are hashed again.
+KNOWN_WORDS = 1_000_000
+#: Pairs of passages that a task compares at a time.
+PASS_PAIRS = 20_000
+MULT = np.uint64(0xD6E8FEB86659FD93)
+PLACES = "h bigint, item_id bigint, at int, left string, right string, keys array<bigint>"
+HITS = "h bigint, doc_id bigint, at int, left string, right string, keys array<bigint>"
+FOUND = "distance int, item_word int, doc_word int"
 
 
 def words_of(text: str) -> list[str]:
@@ -27,193 +45,213 @@ def words_of(text: str) -> list[str]:
     return " ".join(WORD.findall(text)).lower().split(" ") if text else []
 
 
-def myers(pattern: list[int] | np.ndarray, text: list[int] | np.ndarray, limit: int) -> tuple[int, int]:
-    """(least edit distance of the whole pattern to any stretch of the text, end of that stretch); stops at distance 0.
+def myers(pattern: np.ndarray, text: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(least edit distance of the whole pattern to any stretch of the text, end of the first such stretch), row by row.
 
-    Myers' bit vectors over any alphabet: one bit for each place of the pattern, whatever its length.
+    Myers' bit vectors over any alphabet, one bit for each of up to 63 places of the pattern, all rows in step. ``n``
+    are the lengths of the rows of ``text``; what is beyond them doesn't count.
     """
-    m = len(pattern)
-    peq: dict[int, int] = {}
-    for i, c in enumerate(pattern):
-        peq[c] = peq.get(c, 0) | 1 << i
-    mask, top = (1 << m) - 1, 1 << (m - 1)
-    pv, mv, dist, best, where = mask, 0, m, m, 0
-    for j, c in enumerate(text):
-        eq = peq.get(c, 0)
+    rows, m = pattern.shape
+    one = np.uint64(1)
+    mask, top = np.uint64((1 << m) - 1), np.uint64(m - 1)
+    bit = one << np.arange(m, dtype=np.uint64)
+    pv, mv = np.full(rows, mask), np.zeros(rows, np.uint64)
+    dist = np.full(rows, m, dtype=np.int64)
+    best, where = dist.copy(), np.zeros(rows, np.int64)
+    for j in range(text.shape[1]):
+        eq = ((pattern == text[:, j, None]) * bit).sum(axis=1, dtype=np.uint64)
         xv = eq | mv
         xh = (((eq & pv) + pv) ^ pv) | eq
-        ph = mv | ~(xh | pv) & mask
-        mh = pv & xh
-        if ph & top:
-            dist += 1
-        elif mh & top:
-            dist -= 1
-        ph = ph << 1 & mask
-        mh = mh << 1 & mask
-        pv = mh | ~(xv | ph) & mask
-        mv = ph & xv
-        if dist < best:
-            best, where = dist, j + 1
-            if not best:
-                break
+        ph, mh = mv | (~(xh | pv) & mask), pv & xh
+        dist += ((ph >> top) & one).astype(np.int64) - ((mh >> top) & one).astype(np.int64)
+        ph, mh = (ph << one) & mask, (mh << one) & mask
+        pv, mv = mh | (~(xv | ph) & mask), ph & xv
+        better = (dist < best) & (j < n)
+        best[better], where[better] = dist[better], j + 1
     return best, where
 
 
-def reach(x: list[int], y: list[int], edits: int) -> list[int]:
-    """How many words of x can be matched to y from the start with 0, 1, .. edits: furthest-reaching points on each diagonal."""
-    n, m = len(x), len(y)
-    i = 0
-    while i < n and i < m and x[i] == y[i]:
-        i += 1
-    out, front = [i], {0: i}
-    for _ in range(edits):
-        grown: dict[int, int] = {}
-        for d, i in front.items():
-            for to, at in ((d, i + 1), (d + 1, i), (d - 1, i + 1)):
-                j = at + to
-                if at <= n and 0 <= j <= m:
-                    while at < n and j < m and x[at] == y[j]:
-                        at += 1
-                        j += 1
-                    if at > grown.get(to, -1):
-                        grown[to] = at
-        out.append(max(grown.values(), default=out[-1]))
-        front = grown
-    return out
-
-
-class Matcher:
-    """The pieces of a block of items, and the search for them in documents."""
-
-    def __init__(self, items: list[tuple[int, str]], window: int, budget: int):
-        self.window, self.budget = window, budget
+class Pieces:
+    """The lengths that follow from window and budget, and the hashes of pieces."""
+
+    def __init__(self, window: int, budget: int):
+        self.window, self.budget, self.compare = window, budget, myers
         self.piece = (window + 1) // (budget + 2)
-        if self.piece < 1:
-            raise ValueError("the budget leaves no piece")
-        self.vocab: dict[str, int] = {}
-        self.items: list[tuple[int, list[int]]] = []
-        for item_id, text in items:
-            ids = [self.vocab.setdefault(w, len(self.vocab) + 1) for w in words_of(text)]
-            if len(ids) >= window:
-                self.items.append((item_id, ids))
-        self.mult = np.uint64(0xD6E8FEB86659FD93)
-        places: dict[int, list[tuple[int, int]]] = {}
-        for k, (_, ids) in enumerate(self.items):
-            x = np.array(ids, dtype=np.uint64)
-            starts = np.arange(0, len(ids) - self.piece + 1, self.piece)
-            for a, h in zip(starts.tolist(), self._hash(x, starts).tolist(), strict=True):
-                places.setdefault(h, []).append((k, a))
-        self.hashes = np.array(sorted(places), dtype=np.uint64)
-        self.places = [places[h] for h in self.hashes.tolist()]
-        self.maybe = np.zeros(1 << 18, dtype=bool)
-        self.maybe[(self.hashes >> np.uint64(46)).astype(np.int64)] = True
-
-    def _hash(self, x: np.ndarray, at: np.ndarray) -> np.ndarray:
-        h = np.zeros(len(at), dtype=np.uint64)
-        for i in range(self.piece):
-            h = (h + x[at + i]) * self.mult
+        if self.piece < 1 or budget < 0 or window > 63:
+            raise ValueError("the budget leaves no piece, or the window is above 63")
+        # Of the rest's words, split in any way by the piece, budget + 1 neighbours of this length must be whole.
+        rest = window - self.piece
+        self.beside = -(-(rest + 2) // (budget + 2)) - 1
+        self.sides = [(side, j) for side in (0, 1) for j in range(rest // self.beside)] if self.beside > 0 else []
+        self._known: dict[str, int] = {}
+
+    def numbers(self, words: list[str]) -> np.ndarray:
+        """A hash of each word."""
+        known = self._known
+        if len(known) > KNOWN_WORDS:
+            known.clear()
+        try:
+            return np.array([known[w] for w in words], dtype=np.uint64)
+        except KeyError:
+            for w in {*words}:
+                if w not in known:
+                    known[w] = xxhash.xxh64_intdigest(w)
+            return np.array([known[w] for w in words], dtype=np.uint64)
+
+    def roll(self, x: np.ndarray, size: int) -> np.ndarray:
+        """The hash of the ``size`` words from each place on."""
+        n = max(0, len(x) - size + 1)
+        h = np.zeros(n, dtype=np.uint64)
+        for i in range(size):
+            h = (h + x[i : i + n]) * MULT
             h ^= h >> np.uint64(29)
-        return h * self.mult
-
-    def hits(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(places, index of the hash) of pieces in a row of word numbers; 0 is a word that no item has."""
-        p = self.piece
-        if len(x) < p or not len(self.hashes):
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        # The last unknown word before each place: a piece fits where the p words from there have none.
-        bad = np.cumsum(np.r_[0, x == 0])
-        at = np.flatnonzero(bad[p:] == bad[:-p])
-        h = self._hash(x, at)
-        likely = self.maybe[(h >> np.uint64(46)).astype(np.int64)]
-        at, h = at[likely], h[likely]
-        k = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
-        same = self.hashes[k] == h
-        return at[same], k[same]
-
-    def verify(self, doc: list[int], found: list[tuple[int, int]]) -> dict[int, tuple[int, int, int]]:
-        """item -> (least distance, item word, document word) over the hits (document place, index of the hash)."""
-        w, e, p = self.window, self.budget, self.piece
-        best: dict[int, tuple[int, int, int]] = {}
-        tried: set[tuple[int, int, int]] = set()
-        for b, h in found:
-            before = doc[max(0, b - w - e) : b][::-1]
-            after = doc[b + p : b + w + e]
-            for k, a in self.places[h]:
-                if k in best and best[k][0] == 0:
-                    continue
-                ids = self.items[k][1]
-                if doc[b : b + p] != ids[a : a + p]:
-                    continue
-                left = reach(ids[max(0, a - w) : a][::-1], before, e)
-                right = reach(ids[a + p : a + w], after, e)
-                if left[0] + p + right[0] >= w:
-                    best[k] = (0, a - min(left[0], w - p), b - min(left[0], w - p))
-                    continue
-                # Edits left of the piece take from those allowed right of it; most hits end here.
-                if max(left[x] + right[e - x] for x in range(e + 1)) + p < w:
+        return h * MULT
+
+    def keys(self, h: np.ndarray, beside: np.ndarray, at: np.ndarray, lo: np.ndarray, hi: np.ndarray, moves: int) -> list[np.ndarray]:
+        """The keys of the pieces ``h`` at ``at`` with each neighbour that lies within lo .. hi, moved by up to ``moves``."""
+        if not self.sides:
+            return [h.view(np.int64)[k : k + 1] for k in range(len(h))]
+        cols, valid = [], []
+        for k, (side, j) in enumerate(self.sides):
+            base = at + self.piece + j * self.beside if side else at - (j + 1) * self.beside
+            for s in range(-moves, moves + 1):
+                place = base + s
+                ok = (place >= lo) & (place + self.beside <= hi) & ((place >= at + self.piece) if side else (place + self.beside <= at))
+                mixed = (h ^ np.uint64(k + 1)) * MULT + beside[np.where(ok, place, 0)] if len(beside) else h
+                cols.append(((mixed ^ (mixed >> np.uint64(31))) * MULT).view(np.int64))
+                valid.append(ok)
+        table, there = np.stack(cols, axis=1), np.stack(valid, axis=1)
+        return [row[t] for row, t in zip(table, there, strict=True)]
+
+    def cut_items(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The aligned pieces of items, with the words that a passage with the piece can reach."""
+        reach, p = self.window - self.piece, self.piece
+        for batch in batches:
+            rows: list[tuple] = []
+            for item, text in zip(batch["item_id"].to_pylist(), batch["text"].to_pylist(), strict=True):
+                words = words_of(text)
+                if len(words) < self.window:
                     continue
-                for s in range(max(0, a + p - w, a - left[e]), min(len(ids) - w, a, a + p + right[e] - w) + 1):
-                    key = (k, s, b - a)
-                    if key in tried:
-                        continue
-                    tried.add(key)
-                    d0 = max(0, b - (a - s) - e)
-                    dist, end = myers(ids[s : s + w], doc[d0 : b - (a - s) + w + e], e)
-                    if dist <= e and (k not in best or dist < best[k][0]):
-                        best[k] = (dist, s, max(0, d0 + end - w))
-        return best
-
-    def run(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        get = self.vocab.get
+                x = self.numbers(words)
+                at = np.arange(0, len(words) - p + 1, p)
+                h = self.roll(x, p)[at]
+                n = np.full(len(at), len(words))
+                for a, k, own in zip(at.tolist(), h.view(np.int64).tolist(), self.keys(h, self.roll(x, self.beside), at, np.maximum(at - reach, 0), np.minimum(at + p + reach, n), 0), strict=True):
+                    rows.append((k, item, a, " ".join(words[max(0, a - reach) : a]), " ".join(words[a : a + p + reach]), own))
+                if len(rows) > 5_000:
+                    yield _batch(rows, PLACES)
+                    rows = []
+            yield _batch(rows, PLACES)
+
+    def search(self, batches: Iterator[pa.RecordBatch], bits: np.ndarray, shift: int) -> Iterator[pa.RecordBatch]:
+        """The places of documents that may have a piece, with the words around them."""
+        reach, p = self.window - self.piece + self.budget, self.piece
+        for batch in batches:
+            words: list[str] = []
+            ids, starts = [], [0]
+            for doc, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist(), strict=True):
+                own = words_of(text)
+                if len(own) >= p:
+                    words += own
+                    ids.append(doc)
+                    starts.append(len(words))
+            if not ids:
+                continue
+            x, start = self.numbers(words), np.array(starts)
+            h = self.roll(x, p)
+            slot = (h >> np.uint64(shift)).astype(np.int64)
+            at = np.flatnonzero(bits[slot >> 3] >> (slot & 7).astype(np.uint8) & 1)
+            owner = np.searchsorted(start, at, side="right") - 1
+            inside = at + p <= start[owner + 1]
+            at, owner = at[inside], owner[inside]
+            lo, hi = start[owner], start[owner + 1]
+            for k in range(0, len(at), 2_000):
+                part = slice(k, k + 2_000)
+                own = self.keys(h[at[part]], self.roll(x, self.beside), at[part], np.maximum(lo[part], at[part] - reach), np.minimum(hi[part], at[part] + p + reach), self.budget)
+                rows = []
+                for a, o, first, last, hashed, keys in zip(at[part].tolist(), owner[part].tolist(), lo[part].tolist(), hi[part].tolist(), h[at[part]].view(np.int64).tolist(), own, strict=True):
+                    rows.append((hashed, ids[o], a - first, " ".join(words[max(first, a - reach) : a]), " ".join(words[a : min(last, a + p + reach)]), np.unique(keys)))
+                yield _batch(rows, HITS)
+
+    def verify(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Of each pair of surroundings the passage of the item with the least distance, if that is within the budget.
+
+        item_word and doc_word count from the piece. Words are compared themselves here, not by hash.
+        """
+        w, e, p = self.window, self.budget, self.piece
+        span = w + 2 * e
         for batch in batches:
-            flat: list[int] = []
-            ids, starts = [], []
-            for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist(), strict=True):
-                if text:
-                    ids.append(doc_id)
-                    starts.append(len(flat))
-                    flat.extend([get(x, 0) for x in words_of(text)])
-                    flat.append(0)  # no piece reaches from one document into the next
-            starts.append(len(flat))
-            at, k = self.hits(np.array(flat, dtype=np.uint64))
-            owner = np.searchsorted(np.array(starts), at, side="right") - 1
-            out: list[tuple] = []
-            first = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]]).tolist() if len(at) else []
-            at, k, owner = at.tolist(), k.tolist(), owner.tolist()
-            for i, f in enumerate(first):
-                to = first[i + 1] if i + 1 < len(first) else len(at)
-                lo, hi = starts[owner[f]], starts[owner[f] + 1] - 1
-                for item, (dist, s, d) in self.verify(flat[lo:hi], [(at[x] - lo, k[x]) for x in range(f, to)]).items():
-                    out.append((ids[owner[f]], self.items[item][0], dist, s, d))
-            cols = list(zip(*out, strict=True)) if out else [()] * 5
-            yield pa.RecordBatch.from_pydict({n: pa.array(c, t) for n, c, t in zip(("doc_id", "item_id", "distance", "item_word", "doc_word"), cols, (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()), strict=True)})
-
-
-def leaks(docs: DataFrame, items: DataFrame, *, doc_col: str = "doc_id", doc_text: str = "text", item_col: str = "item_id", item_text: str = "text", window: int = 16, budget: int = 1, block_chars: int = BLOCK_CHARS) -> DataFrame:
+            for k in range(0, batch.num_rows, PASS_PAIRS // max(1, w - p + 1)):
+                part = batch.slice(k, PASS_PAIRS // max(1, w - p + 1))
+                number: dict[str, int] = {}
+                get = lambda s: [number.setdefault(x, len(number) + 1) for x in s.split(" ")] if s else []  # noqa: B023, E731
+                owner, pattern, text, n, first, begin = [], [], [], [], [], []
+                for i, (il, ir, dl, dr) in enumerate(zip(*(part[c].to_pylist() for c in ("item_left", "item_right", "doc_left", "doc_right")), strict=True)):
+                    a, b = get(il), get(dl)
+                    item, doc = a + get(ir), b + get(dr)
+                    for s in range(max(0, len(a) + p - w), min(len(a), len(item) - w) + 1):
+                        d0 = len(b) - (len(a) - s) - e
+                        own = doc[max(0, d0) : d0 + span]
+                        owner.append(i)
+                        pattern.append(item[s : s + w])
+                        text.append(own + [0] * (span - len(own)))
+                        n.append(len(own))
+                        first.append(s - len(a))
+                        begin.append(max(0, d0) - len(b))
+                if not owner:
+                    continue
+                dist, end = self.compare(np.array(pattern, dtype=np.int32), np.array(text, dtype=np.int32), np.array(n))
+                own, first = np.array(owner), np.array(first)
+                order = np.lexsort((first, dist, own))
+                order = order[np.r_[True, own[order][1:] != own[order][:-1]]]
+                order = order[dist[order] <= e]
+                place = (np.array(begin) + end - w)[order]
+                cols = {c: part[c].take(pa.array(own[order])) for c in ("item_left", "item_right", "doc_left", "doc_right")}
+                yield pa.RecordBatch.from_pydict(cols | {"distance": pa.array(dist[order].astype(np.int32)), "item_word": pa.array(first[order].astype(np.int32)), "doc_word": pa.array(place.astype(np.int32))})
+
+
+def _batch(rows: list[tuple], ddl: str) -> pa.RecordBatch:
+    kinds = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string(), "array<bigint>": pa.list_(pa.int64())}
+    names = [c.split() for c in ddl.split(", ")]
+    cols = list(zip(*rows, strict=True)) if rows else [()] * len(names)
+    return pa.RecordBatch.from_arrays([pa.array(c, kinds[t]) for c, (_, t) in zip(cols, names, strict=True)], names=[n for n, _ in names])
+
+
+def bit_map(hashes: DataFrame, n: int) -> tuple[np.ndarray, int]:
+    """(bytes, shift) of a map with the bit of each hash's first bits set. What reaches the driver are the words of the map, 2^21 at most."""
+    power = min(MOST_BITS, max(LEAST_BITS, (16 * n).bit_length()))
+    word = F.shiftrightunsigned("h", 64 - power + 6)
+    bit = F.expr(f"shiftleft(1L, CAST(shiftrightunsigned(h, {64 - power}) & 63 AS INT))")
+    rows = hashes.select(word.alias("word"), bit.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    out = np.zeros(1 << (power - 6), dtype=np.int64)
+    out[rows["word"].to_numpy()] = rows["bits"].to_numpy()
+    return out.view(np.uint8), 64 - power
+
+
+def leaks(docs: DataFrame, items: DataFrame, *, doc_col: str = "doc_id", doc_text: str = "text", item_col: str = "item_id", item_text: str = "text", window: int = 16, budget: int = 1) -> DataFrame:
     """doc_id, item_id, distance, item_word, doc_word: documents with a passage of ``window`` consecutive words of an item.
 
     distance is the least number of word edits (insertions, deletions, substitutions), at most ``budget``, between such a
-    passage and a stretch of the document; 0: the words stand there verbatim. item_word and doc_word are where the passage
-    found begins. Words are runs of letters or digits, in lower case. Null and empty texts and items of fewer words match
-    nothing; repeated rows count once; an empty table gives an empty result; other columns are ignored. Items are sent to
-    the executors in blocks of at most ``block_chars`` characters, one pass over the documents for each, however many.
+    passage and a stretch of the document; 0: the words stand there verbatim. item_word and doc_word are about where the
+    first passage found with that distance begins. Words are runs of letters or digits, in lower case. Null and empty
+    texts and items of fewer words match nothing; repeated rows count once; an empty table gives an empty result; other
+    columns are ignored. Neither items nor documents nor pairs reach the driver. The result reads tables of
+    :func:`tidewell.session.cut`.
     """
+    pieces = Pieces(window, budget)
     test = items.select(F.col(item_col).cast("bigint").alias("item_id"), F.col(item_text).alias("text")).filter("item_id IS NOT NULL AND text IS NOT NULL").distinct()
     corpus = docs.select(F.col(doc_col).cast("bigint").alias("doc_id"), F.col(doc_text).alias("text")).filter("doc_id IS NOT NULL AND text != ''")
-    found = None
-    block: list[tuple[int, str]] = []
-    size = 0
-
-    def search() -> DataFrame:
-        matcher = Matcher(block, window, budget)
-        return corpus.mapInArrow(lambda it: matcher.run(it), OUT)
-
-    for row in test.toLocalIterator():
-        if block and size + len(row.text) > block_chars:
-            found = search() if found is None else found.unionByName(search())
-            block, size = [], 0
-        block.append((row.item_id, row.text))
-        size += len(row.text)
-    found = search() if found is None else found.unionByName(search())
-    best = F.min(F.struct("distance", "item_word", "doc_word")).alias("b")
-    return found.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "b.*")
+    places = cut(test.mapInArrow(pieces.cut_items, PLACES))
+    bits, shift = bit_map(places, places.count())
+    shared = docs.sparkSession.sparkContext.broadcast(bits)
+    hits = cut(corpus.mapInArrow(lambda it: pieces.search(it, shared.value, shift), HITS))
+    # Surroundings, each once; what follows takes as long as there are different ones.
+    side = lambda df, name: df.select("h", F.col("left").alias(f"{name}_left"), F.col("right").alias(f"{name}_right"), "keys").dropDuplicates(["h", f"{name}_left", f"{name}_right"]).select(f"{name}_left", f"{name}_right", F.explode("keys").alias("key"))
+    pairs = join_hot(cut(side(hits, "doc")), side(places, "item"), ["key"]).drop("key").distinct()
+    good = cut(pairs.mapInArrow(pieces.verify, f"item_left string, item_right string, doc_left string, doc_right string, {FOUND}"))
+    of = lambda df, name, own: df.select(own, F.col("at").alias(f"{name}_at"), F.col("left").alias(f"{name}_left"), F.col("right").alias(f"{name}_right"))
+    found = join_hot(of(hits, "doc", "doc_id"), good, ["doc_left", "doc_right"])
+    found = found.groupBy("doc_id", "item_left", "item_right").agg(F.min(F.struct("distance", "item_word", (F.col("doc_at") + F.col("doc_word")).alias("doc_word"))).alias("b"))
+    whole = join_hot(cut(found), of(places, "item", "item_id"), ["item_left", "item_right"])
+    best = F.min(F.struct("b.distance", (F.col("item_at") + F.col("b.item_word")).alias("item_word"), F.greatest(F.col("b.doc_word"), F.lit(0)).alias("doc_word"))).alias("b")
+    return whole.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "b.*")
