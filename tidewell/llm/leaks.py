@@ -3,12 +3,12 @@
 A passage of ``window`` words with at most ``budget`` edits between item and document leaves one of any budget + 1
 disjoint pieces of it intact.
 
-1. Items are cut into aligned pieces so short that every passage holds budget + 1 of them. A bitmap of the pieces' hashes,
-   of bounded size whatever their number, is all that is sent to the executors; documents are read once.
-2. Where a document may have a piece, the words around it are kept. The rest of a passage around an intact piece has budget
-   edits at most in turn, so one of the smaller pieces beside it stands intact too, moved by at most as many words: piece
-   and neighbour together are the key of the join. A common phrase that many items have thus meets only the items that
-   go on alike. Equal surroundings are one row, on both sides.
+1. Items are cut into aligned pieces so short that every passage holds budget + 1 of them. The rest of a passage around an
+   intact piece has budget edits at most in turn, so one of the smaller pieces beside it stands intact too, moved by at
+   most as many words: piece and neighbour together are a key.
+2. Bitmaps of the hashes of pieces and keys, of bounded size whatever their number, are all that is sent to the executors;
+   documents are read once, and where one may have a key the words around are kept. Keys join documents with items, so a
+   common phrase that many items have meets only those that go on alike. Equal surroundings are one row, on both sides.
 3. Every pair that the join gives is verified by Myers' bit-parallel edit distance, of each passage of the item around the
    piece against the document's words there; there is no other way to a result.
 """
@@ -143,8 +143,8 @@ class Pieces:
                     rows = []
             yield _batch(rows, PLACES)
 
-    def search(self, batches: Iterator[pa.RecordBatch], bits: np.ndarray, shift: int) -> Iterator[pa.RecordBatch]:
-        """The places of documents that may have a piece, with the words around them."""
+    def search(self, batches: Iterator[pa.RecordBatch], pieces: tuple[np.ndarray, int], pairs: tuple[np.ndarray, int]) -> Iterator[pa.RecordBatch]:
+        """The places of documents that may have a piece with a neighbour, by the maps of both, and the words around them."""
         reach, p = self.window - self.piece + self.budget, self.piece
         for batch in batches:
             words: list[str] = []
@@ -159,19 +159,22 @@ class Pieces:
                 continue
             x, start = self.numbers(words), np.array(starts)
             h = self.roll(x, p)
-            slot = (h >> np.uint64(shift)).astype(np.int64)
-            at = np.flatnonzero(bits[slot >> 3] >> (slot & 7).astype(np.uint8) & 1)
+            at = np.flatnonzero(_marked(h, pieces))
             owner = np.searchsorted(start, at, side="right") - 1
             inside = at + p <= start[owner + 1]
             at, owner = at[inside], owner[inside]
             lo, hi = start[owner], start[owner + 1]
+            beside = self.roll(x, self.beside)
             for k in range(0, len(at), 2_000):
                 part = slice(k, k + 2_000)
-                own = self.keys(h[at[part]], self.roll(x, self.beside), at[part], np.maximum(lo[part], at[part] - reach), np.minimum(hi[part], at[part] + p + reach), self.budget)
+                own = self.keys(h[at[part]], beside, at[part], np.maximum(lo[part], at[part] - reach), np.minimum(hi[part], at[part] + p + reach), self.budget)
                 rows = []
                 for a, o, first, last, hashed, keys in zip(at[part].tolist(), owner[part].tolist(), lo[part].tolist(), hi[part].tolist(), h[at[part]].view(np.int64).tolist(), own, strict=True):
-                    rows.append((hashed, ids[o], a - first, " ".join(words[max(first, a - reach) : a]), " ".join(words[a : min(last, a + p + reach)]), np.unique(keys)))
-                yield _batch(rows, HITS)
+                    keys = keys[_marked(keys.view(np.uint64), pairs)]
+                    if len(keys):
+                        rows.append((hashed, ids[o], a - first, " ".join(words[max(first, a - reach) : a]), " ".join(words[a : min(last, a + p + reach)]), np.unique(keys)))
+                if rows:
+                    yield _batch(rows, HITS)
 
     def verify(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Of each pair of surroundings the passage of the item with the least distance, if that is within the budget.
@@ -210,6 +213,12 @@ class Pieces:
                 yield pa.RecordBatch.from_pydict(cols | {"distance": pa.array(dist[order].astype(np.int32)), "item_word": pa.array(first[order].astype(np.int32)), "doc_word": pa.array(place.astype(np.int32))})
 
 
+def _marked(h: np.ndarray, map_: tuple[np.ndarray, int]) -> np.ndarray:
+    bits, shift = map_
+    slot = (h >> np.uint64(shift)).astype(np.int64)
+    return (bits[slot >> 3] >> (slot & 7).astype(np.uint8) & 1).astype(bool)
+
+
 def _batch(rows: list[tuple], ddl: str) -> pa.RecordBatch:
     kinds = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string(), "array<bigint>": pa.list_(pa.int64())}
     names = [c.split() for c in ddl.split(", ")]
@@ -242,9 +251,9 @@ def leaks(docs: DataFrame, items: DataFrame, *, doc_col: str = "doc_id", doc_tex
     test = items.select(F.col(item_col).cast("bigint").alias("item_id"), F.col(item_text).alias("text")).filter("item_id IS NOT NULL AND text IS NOT NULL").distinct()
     corpus = docs.select(F.col(doc_col).cast("bigint").alias("doc_id"), F.col(doc_text).alias("text")).filter("doc_id IS NOT NULL AND text != ''")
     places = cut(test.mapInArrow(pieces.cut_items, PLACES))
-    bits, shift = bit_map(places, places.count())
-    shared = docs.sparkSession.sparkContext.broadcast(bits)
-    hits = cut(corpus.mapInArrow(lambda it: pieces.search(it, shared.value, shift), HITS))
+    n = places.count()
+    shared = docs.sparkSession.sparkContext.broadcast((bit_map(places, n), bit_map(places.select(F.explode("keys").alias("h")), n * max(1, len(pieces.sides)))))
+    hits = cut(corpus.mapInArrow(lambda it: pieces.search(it, *shared.value), HITS))
     # Surroundings, each once; what follows takes as long as there are different ones.
     side = lambda df, name: df.select("h", F.col("left").alias(f"{name}_left"), F.col("right").alias(f"{name}_right"), "keys").dropDuplicates(["h", f"{name}_left", f"{name}_right"]).select(f"{name}_left", f"{name}_right", F.explode("keys").alias("key"))
     pairs = join_hot(cut(side(hits, "doc")), side(places, "item"), ["key"]).drop("key").distinct()
