@@ -30,7 +30,7 @@ def test_share(spark, monkeypatch):
         want = sorted(((g, v, n, sum(c.values())) for g, c in groups(t).items() for v, n in c.items() if n >= share * sum(c.values()) - 1e-9), key=repr)
         assert rows(frequent_share(df, ["g"], "v", share)) == want
         assert rows(frequent_share(df, ["g"], "v", share, bits=(1, 2, 3))) == want
-    monkeypatch.setattr(frequent, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(frequent, "BROADCAST_ROWS", 1)
     assert rows(frequent_share(df, ["g"], "v", 1.0)) == want
     assert frequent_share(df.limit(0), ["g"], "v", 0.1).count() == 0
     whole = Counter(v for _, v, *_ in t if v is not None)
@@ -44,3 +44,18 @@ def test_top(spark):
         want = [(g, v, n, i + 1) for g, c in groups(t).items() for i, (v, n) in enumerate(sorted(c.items(), key=lambda x: (-x[1], x[0]))[:k])]
         assert rows(top_values(df, ["g"], "v", k, bits=bits)) == sorted(want, key=repr)
     assert top_values(df.limit(0), ["g"], "v", 3).count() == 0
+
+
+def test_many_groups_keep_their_pruning(spark, monkeypatch):
+    """Above the bound of a broadcast prefixes go in slices, and no pass counts values outside of kept prefixes."""
+    t = [(f"day{d}", v, 1, 1, 1) for d in range(40) for v in [*["hot"] * 30, *(f"{d}-{k}" for k in range(60))]]
+    df = spark.createDataFrame(t, SCHEMA).repartition(3)
+    counted = []
+    real = frequent._among
+    monkeypatch.setattr(frequent, "_among", lambda *a: counted.append(real(*a)) or counted[-1])
+    for bound in (10**6, 15):
+        monkeypatch.setattr(frequent, "BROADCAST_ROWS", bound)
+        counted.clear()
+        assert rows(frequent_share(df, ["g"], "v", 1 / 5)) == sorted((f"day{d}", "hot", 30, 90) for d in range(40))
+        assert [x.count() for x in counted[-1:]][0] < 60  # full values within the kept prefixes, of 2,440
+        assert ("Union" in counted[-1]._jdf.queryExecution().executedPlan().toString()) == (bound == 15)

@@ -15,8 +15,8 @@ from tidewell.session import cut
 
 #: Prefix lengths in bits; the last pass counts full values.
 BITS = (12, 24)
-#: Prefixes sent to every executor at most, of some 40 bytes each. More are joined by a shuffle.
-BROADCAST_ROWS = 200_000
+#: Prefixes sent to every executor at a time, as one 64-bit hash each (some 32 MB in a hash table). More make more passes.
+BROADCAST_ROWS = 1_000_000
 
 
 def _prefix(bits: int):
@@ -24,13 +24,21 @@ def _prefix(bits: int):
 
 
 def _among(rows: DataFrame, kept: DataFrame, groups: list[str], bits: int, finer: list) -> DataFrame:
-    """Counts of ``finer`` within the kept prefixes."""
-    keys = [*groups, "_p"]
-    if kept.count() <= BROADCAST_ROWS:
-        return rows.withColumn("_p", _prefix(bits)).join(F.broadcast(kept.select(*keys)), keys).groupBy(*groups, *finer).agg(F.count("*").alias("n"))
-    # Counted before they are joined, the rows of a hot value are one.
-    counted = rows.withColumn("_p", _prefix(bits)).groupBy(*keys, *finer).agg(F.count("*").alias("n"))
-    return counted.join(kept.select(*keys), keys).drop("_p")
+    """Counts of ``finer`` within the kept prefixes: rows of others are dropped before anything is grouped.
+
+    Prefixes are told apart by a hash of group and prefix: a collision lets a few rows more be counted and changes no
+    count. Beyond BROADCAST_ROWS the prefixes are dealt to slices, with a pass over the rows for each.
+    """
+    key = lambda prefix: F.xxhash64(*groups, prefix)
+    slices = -(-kept.count() // max(1, BROADCAST_ROWS)) or 1
+    out = None
+    for i in range(slices):
+        keys, own = kept.select(key("_p").alias("_k")), rows.withColumn("_k", key(_prefix(bits)))
+        if slices > 1:
+            keys, own = (x.filter(F.pmod(F.xxhash64("_k"), F.lit(slices)) == i) for x in (keys, own))
+        one = own.join(F.broadcast(keys), "_k", "left_semi").groupBy(*groups, *finer).agg(F.count("*").alias("n"))
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 def _hashed(df: DataFrame, groups: list[str], value: str) -> DataFrame:
@@ -50,7 +58,7 @@ def _refine(rows: DataFrame, groups: list[str], first: DataFrame, bound: DataFra
 def frequent_share(df: DataFrame, groups: list[str], value: str, share: float, *, bits: tuple[int, ...] = BITS) -> DataFrame:
     """groups, value, n, total: values with at least ``share`` of their group's rows in which the value isn't null.
 
-    A group keeps at most 1 / share prefixes in each pass, which is all the memory it takes. Counts are exact. Nulls are
+    A group keeps at most 1 / share prefixes in each pass, which is all the memory it takes, however many groups there are. Counts are exact. Nulls are
     no values and rows with a null group are left out; ties all come out; an empty table gives an empty result.
     """
     if not groups:  # all rows are one group
