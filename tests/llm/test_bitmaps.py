@@ -5,7 +5,8 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from tidewell.llm.bitmaps import estimate, merge, sketch
-from tidewell.llm.queries import p7_estimates
+from tidewell.llm import queries
+from tidewell.llm.queries import p7_estimates, p7_found
 
 
 def test_error_is_as_stated(spark):
@@ -55,3 +56,26 @@ def test_both_families_of_estimates(spark, tmp_path):
     assert set(of) == set(exact)
     assert all(abs(of[k].estimate - len(v)) <= 4 * of[k].std_error + 1 for k, v in exact.items())
     assert of["subreddit", "2020-09-13", None, "big"].std_error > 0
+
+
+def test_found_near_and_far_from_the_limits(spark, tmp_path, monkeypatch):
+    """Keys just above and below every limit and far from it, with the exact count by broadcast and by shuffle."""
+    t0 = 1_600_000_000
+    table, want = [], set()
+    for n in (*range(25, 60), 200, 400):  # ids of a subreddit by one author, and by just too many
+        for authors in (1, n // 5, n // 5 + 1):
+            s = f"s{n}-{authors}"
+            table += [(f"{s}a{i % authors}", s, f"{s}i{i}", t0) for i in range(n)]
+            if n >= 40 and 5 * authors < n:
+                want.add(("subreddit", s, "2020-09-13"))
+        table += [(f"w{n}", f"w{n}s{i}", f"w{n}i{i}", t0) for i in range(n)]
+        if n >= 30:
+            want.add(("author", f"w{n}", "2020-09-13"))
+    spark.createDataFrame(table, "author string, subreddit string, id string, created_utc bigint").write.parquet(f"{tmp_path}/master_schema_rc.parquet")
+    counted = []
+    real = queries.cut
+    monkeypatch.setattr(queries, "cut", lambda df: counted.append(real(df)) or counted[-1])
+    for bound in (50_000, 0):
+        monkeypatch.setattr(queries, "BROADCAST_ROWS", bound)
+        assert set(rows(p7_found(spark, str(tmp_path)), "grain", "key_value", "utc_day")) == want
+    assert counted[0].filter("clear").count() > 5 and counted[0].filter("NOT clear").count() > 5

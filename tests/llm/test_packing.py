@@ -1,9 +1,12 @@
 import random
+import re
 
+import pyarrow as pa
 from conftest import rows
 from pyspark.sql import functions as F
 
-from tidewell.llm.packing import best_fit, cross, evolve, mutate, pack, score
+import tidewell.llm.packing as packing
+from tidewell.llm.packing import best_fit, count_tokens, cross, evolve, mutate, pack, score
 
 
 def check(bins, sizes, capacity):
@@ -54,3 +57,48 @@ def test_pack(spark):
         assert len(bins) <= need * 1.03 + (10 if how else 1)
     assert rows(pack(df, "doc_id", F.col("n"), 100), "item_id", "piece", "container") == rows(pack(df.repartition(7), "doc_id", F.col("n"), 100), "item_id", "piece", "container")
     assert pack(df.limit(0), "doc_id", F.col("n"), 100).count() == 0
+
+
+def test_tokens(spark):
+    r = random.Random(3)
+    texts = [None, "", " ", "a", "_a1 b", " .. a,b\t\n漢字é x", "a" * 5000, "é", "a é", *("".join(r.choice("ab_1 ,.é漢\t\n\r\x0b😀") for _ in range(r.randrange(40))) for _ in range(500))]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, body string").repartition(3)
+    want = [len(re.findall(r"[A-Za-z0-9_]+|[^A-Za-z0-9_ \t\r\n]+", t or "")) for t in texts]
+    assert [r.n_tokens for r in count_tokens(df, "doc_id", "body").orderBy("doc_id").collect()] == want
+    assert count_tokens(df.limit(0), "doc_id", "body").count() == 0
+    assert packing._runs(pa.array(["x y", "a b c", None, "d"]).slice(1)).tolist() == [3, 0, 1]
+
+
+def test_islands_cross_and_migrate(monkeypatch):
+    """Where best fit isn't the least possible, crossovers run, and an epoch goes on from its own and its neighbour's elite."""
+    rng = random.Random(7)
+    sizes = [rng.randrange(500, 901) for _ in range(600)]
+    crossed = []
+    real = packing.cross
+    monkeypatch.setattr(packing, "cross", lambda *a: crossed.append(1) or real(*a))
+    items = [(i, 0, s) for i, s in enumerate(sizes)]
+
+    def run(island, epoch, seeds):
+        """seeds: (island it comes from, bins of the items)"""
+        rows_ = [(0, island, i, p, s, f, b) for f, bins in seeds for (i, p, s), b in zip(items, bins, strict=True)]
+        t = pa.table(dict(zip(("block", "island", "item_id", "piece", "size", "from_island", "bin"), zip(*rows_, strict=True), strict=True)))
+        out = packing._island(2048, 6, 12, epoch)(t).to_pydict()
+        return out["bin"], out["n_bins"][0], out["score"][0]
+
+    none = [(-1, [None] * len(items))]
+    first = [run(k, 0, none) for k in range(3)]
+    greedy = best_fit(sorted(range(600), key=lambda i: -sizes[i]), sizes, [], 2048)
+    assert len(crossed) == 3 * 12 and all(n < len(greedy) for _, n, _ in first)
+    best = min((n, s) for _, n, s in first)
+    second = [run(k, 1, [(k, first[k][0]), ((k - 1) % 3, first[(k - 1) % 3][0])]) for k in range(3)]
+    assert len(crossed) == 6 * 12
+    for k, (_, n, s) in enumerate(second):
+        assert (n, s) <= min(first[k][1:], first[(k - 1) % 3][1:])
+    assert min((n, s) for _, n, s in second) <= best
+
+
+def test_pack_beats_best_fit(spark):
+    rng = random.Random(11)
+    df = spark.createDataFrame([(i, rng.randrange(500, 901)) for i in range(900)], "doc_id bigint, n int")
+    n = lambda **how: pack(df, "doc_id", F.col("n"), 2048, **how).select("container").distinct().count()
+    assert n() < n(generations=0, population=1, islands=1, epochs=1)

@@ -10,8 +10,9 @@ the sum of sizes needs.
 from __future__ import annotations
 
 import random
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,6 +23,38 @@ STATE = "block bigint, island int, item_id bigint, piece int, size int, bin int,
 Packing = list[tuple[int, tuple[int, ...]]]
 
 
+#: The class of each byte of a text: 0 blank, 1 of a word, 2 other; all bytes of other characters are of class 2.
+KIND = np.full(256, 2, np.uint8)
+KIND[[*b" \t\r\n"]] = 0
+KIND[[*b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_"]] = 1
+
+
+def _runs(texts: pa.Array) -> np.ndarray:
+    """The number of runs of bytes of one class, blanks left out, in each text."""
+    texts = texts.fill_null("").cast(pa.large_string())
+    ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    first = int(ends[0]) if len(texts) else 0
+    at = ends - first
+    kind = KIND[np.frombuffer(texts.buffers()[2] or b"", np.uint8)[first : first + int(at[-1])]] if len(texts) else KIND[:0]
+    begins = kind != 0
+    begins[1:] &= kind[1:] != kind[:-1]
+    start = at[:-1]
+    within = start[start < len(kind)]
+    begins[within] = kind[within] != 0  # a run doesn't go on from one text to the next
+    upto = np.r_[0, np.cumsum(begins)]
+    return upto[at[1:]] - upto[start]
+
+
+def count_tokens(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """id_col and n_tokens: the matches of ``[A-Za-z0-9_]+|[^A-Za-z0-9_ \\t\\r\\n]+``, counted on the bytes; 0 for a null text."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({id_col: batch[id_col], "n_tokens": pa.array(_runs(batch["_text"]).astype(np.int64))})
+
+    return df.select(id_col, F.col(text_col).alias("_text")).mapInArrow(count, f"`{id_col}` {df.schema[id_col].dataType.simpleString()}, n_tokens bigint")
+
+
 def best_fit(items: Iterable[int], sizes: list[int], bins: Packing, capacity: int) -> Packing:
     """Places the items, in the given order, each into the bin with the least room that takes it."""
     full: Packing = []

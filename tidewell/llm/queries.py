@@ -9,15 +9,15 @@ from tidewell.functions.reading import known_author, seconds, utc_day
 from tidewell.llm.bitmaps import estimate, merge, sketch
 from tidewell.llm.frequent import frequent_share, top_values
 from tidewell.llm.leaks import leaks
-from tidewell.llm.packing import pack
+from tidewell.llm.packing import count_tokens, pack
 from tidewell.llm.spans import shared_spans
 from tidewell.session import cut, tune
 
-#: Candidates of p7_found sent to every executor at most; more are joined by a salted shuffle.
+#: Keys of p7_found to be counted again that are sent to every executor at most; more are joined by a salted shuffle.
 BROADCAST_ROWS = 50_000
-#: Standard errors that a true case may be away from its estimate; with the count to spare for tiny sketches.
+#: Standard errors around an estimate, and a count more for tiny sketches, within which a condition isn't decided by it.
 SIGMAS, SPARE = 6, 2
-TOKEN = r"[A-Za-z0-9_]+|[^A-Za-z0-9_ \t\r\n]+"
+CAPACITY = 2048
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,25 +58,31 @@ def _grains(known: DataFrame) -> DataFrame:
 
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bitmaps give every key's estimates; keys that may be true cases within their error are then counted exactly."""
+    """Bitmaps give every key's estimates and decide all keys whose conditions are clear of the estimates' errors.
+
+    The others, with a condition within 6 standard errors (and 2) of its limit, are counted exactly. An estimate is farther
+    off than that for one key in 10^9 or so.
+    """
     rows = _grains(_known(spark, sf_dir))
     keys = ["grain", "key_value", "day"]
     est = estimate(sketch(rows, [*keys, "what"], "item"), [*keys, "what"])
-    low = F.greatest(F.col("estimate") - SIGMAS * F.col("std_error") - SPARE, F.lit(0.0))
-    high = F.col("estimate") + SIGMAS * F.col("std_error") + SPARE
-    of = lambda what, x: F.max(F.when(F.col("what") == what, x))
-    both = est.groupBy(*keys).agg(of("ids", high).alias("ids"), of("authors", low).alias("authors"), of("subreddits", high).alias("subreddits"))
-    maybe = cut(both.filter("(grain = 'subreddit' AND ids >= 40 AND 5 * authors < ids) OR (grain = 'author' AND subreddits >= 30)").select(*keys))
-    n = maybe.count()
+    off = SIGMAS * F.col("std_error") + SPARE
+    of = lambda what: F.max(F.when(F.col("what") == what, F.struct(F.greatest(F.col("estimate") - off, F.lit(0.0)).alias("low"), (F.col("estimate") + off).alias("high"))))
+    both = est.groupBy(*keys).agg(*[of(w).alias(w) for w in ("ids", "authors", "subreddits")])
+    maybe = F.expr("(grain = 'subreddit' AND ids.high >= 40 AND 5 * authors.low < ids.high) OR (grain = 'author' AND subreddits.high >= 30)")
+    clear = F.expr("(grain = 'subreddit' AND ids.low >= 40 AND 5 * authors.high < ids.low) OR (grain = 'author' AND subreddits.low >= 30)")
+    decided = cut(both.filter(maybe).select(*keys, clear.alias("clear")))
+    band = decided.filter("NOT clear").drop("clear")
+    n = band.count()
     if n <= BROADCAST_ROWS:
-        among = rows.join(F.broadcast(maybe), keys)
+        among = rows.join(F.broadcast(band), keys)
     else:
         salts = 16
-        salted = maybe.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        salted = band.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
         among = rows.withColumn("salt", F.pmod(F.xxhash64("item"), F.lit(salts)).cast("int")).join(salted, [*keys, "salt"])
     exact = among.groupBy(*keys, "what", "item").agg(F.lit(1).alias("one")).groupBy(*keys).agg(*[F.sum(F.when(F.col("what") == w, 1).otherwise(0)).alias(w) for w in ("ids", "authors", "subreddits")])
-    true = exact.filter("(grain = 'subreddit' AND ids >= 40 AND 5 * authors < ids) OR (grain = 'author' AND subreddits >= 30)")
-    return _day(true).select("grain", "key_value", "utc_day")
+    true = exact.filter("(grain = 'subreddit' AND ids >= 40 AND 5 * authors < ids) OR (grain = 'author' AND subreddits >= 30)").select(*keys)
+    return _day(decided.filter("clear").drop("clear").unionByName(true)).select("grain", "key_value", "utc_day")
 
 
 #: What p7_estimates counts, and the combinations it counts it for; the first is sketched, the others are merged from it.
@@ -103,8 +109,25 @@ def p7_estimates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _day(out)
 
 
+def p7_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The exact number for each of p7_estimates, and whether the estimate lies within 6 standard errors (and 2) of it."""
+    pairs = cut(_known(spark, sf_dir).select("day", "subreddit", "author").distinct())
+    exact = None
+    for counted, combinations in COUNTED.items():
+        for groups in combinations:
+            distinct = pairs.select(*groups, counted).distinct().groupBy(*groups).agg(F.count("*").alias("exact"))
+            key = lambda c, t: (F.col(c) if c in groups else F.lit(None)).cast(t).alias(c)  # noqa: B023, E731
+            one = distinct.filter("exact > 0").select(F.lit(counted).alias("counted"), key("day", "int"), key("subreddit", "string"), key("author", "string"), "exact")
+            exact = one if exact is None else exact.unionByName(one)
+    keys = ["counted", "utc_day", "subreddit", "author"]
+    e, x = p7_estimates(spark, sf_dir).alias("e"), _day(exact).alias("x")
+    same = [F.col(f"e.{k}").eqNullSafe(F.col(f"x.{k}")) for k in keys]
+    within = F.abs(F.col("estimate") - F.col("exact")) <= SIGMAS * F.col("std_error") + SPARE
+    return x.join(e, same, "left").select(*[f"x.{k}" for k in keys], "exact", F.coalesce(within, F.lit(False)).alias("within"))
+
+
 def _packed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack(table(spark, sf_dir, "documents"), "doc_id", F.size(F.regexp_extract_all("text", F.lit(TOKEN), F.lit(0))), 2048)
+    return pack(count_tokens(table(spark, sf_dir, "documents"), "doc_id", "text"), "doc_id", F.col("n_tokens"), CAPACITY)
 
 
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,6 +139,18 @@ def p8_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _packed(spark, sf_dir).withColumnRenamed("item_id", "doc_id")
 
 
+def p8_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of each document what its pieces make up, whether they and all beside them fit their containers, and whether the
+    containers are at most 1 % more than the tokens need, and one for each block."""
+    packed = cut(_packed(spark, sf_dir))
+    fill = packed.groupBy("container").agg(F.sum("size").alias("fill"))
+    total = fill.agg(F.count("*"), F.coalesce(F.sum("fill"), F.lit(0))).first()
+    least = -(-total[1] // CAPACITY)
+    close = total[0] <= least * 1.01 + 1 + packed.count() // 4096
+    each = packed.join(fill, "container").groupBy(F.col("item_id").alias("doc_id"))
+    return each.agg(F.sum("size").cast("bigint").alias("n_tokens"), F.count("*").alias("n_pieces"), F.count_distinct("piece").alias("n_numbers"), F.count(F.when(F.col("size") < CAPACITY, 1)).alias("n_rests"), (F.max("fill") <= CAPACITY).alias("fits"), F.lit(close).alias("close"))
+
+
 def _leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "heldout_items"), window=16, budget=1)
 
@@ -142,7 +177,7 @@ def p10_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _spans(spark, sf_dir).select("doc_id", "n_chars", "shared_chars", F.explode("spans").alias("s")).select("doc_id", "n_chars", "shared_chars", F.col("s.start").alias("span_start"), F.col("s.end").alias("span_end"))
 
 
-QUERIES = {f.__name__: f for f in (p6_found, p6_top, p7_found, p7_estimates, p8_found, p8_pack, p9_found, p9_leaks, p10_found, p10_spans)}
+QUERIES = {f.__name__: f for f in (p6_found, p6_top, p7_found, p7_estimates, p7_checked, p8_found, p8_pack, p8_checked, p9_found, p9_leaks, p10_found, p10_spans)}
 
 SEC = "CASE WHEN created_utc > 100000000000 THEN created_utc // 1000 ELSE created_utc END"
 DAY = f"strftime(DATE '1970-01-01' + CAST(({SEC}) // 86400 AS INTEGER), '%Y-%m-%d')"
@@ -156,6 +191,13 @@ SQL = {
 WITH k AS (SELECT author, subreddit, id, {DAY} AS utc_day FROM master_schema_rc WHERE author IS NOT NULL AND author NOT IN ('', '[deleted]') AND subreddit IS NOT NULL AND created_utc IS NOT NULL)
 SELECT 'subreddit' AS grain, subreddit AS key_value, utc_day FROM k GROUP BY ALL HAVING count(DISTINCT id) >= 40 AND 5 * count(DISTINCT author) < count(DISTINCT id)
 UNION ALL SELECT 'author', author, utc_day FROM k GROUP BY ALL HAVING count(DISTINCT subreddit) >= 30""",
+    "p7_checked": f"""
+WITH k AS (SELECT DISTINCT author, subreddit, {DAY} AS utc_day FROM master_schema_rc WHERE author IS NOT NULL AND author NOT IN ('', '[deleted]') AND subreddit IS NOT NULL AND created_utc IS NOT NULL)
+SELECT 'author' AS counted, utc_day, subreddit, NULL AS author, count(DISTINCT author) AS exact, TRUE AS within FROM k GROUP BY GROUPING SETS ((utc_day, subreddit), (utc_day), (subreddit), ()) HAVING count(*) > 0
+UNION ALL SELECT 'subreddit', utc_day, NULL, author, count(DISTINCT subreddit), TRUE FROM k GROUP BY GROUPING SETS ((utc_day, author), (utc_day), (author), ()) HAVING count(*) > 0""",
+    "p8_checked": r"""
+WITH t AS (SELECT doc_id, max(len(regexp_extract_all(text, '[A-Za-z0-9_]+|[^A-Za-z0-9_ \t\r\n]+'))) AS n FROM documents GROUP BY doc_id)
+SELECT doc_id, n AS n_tokens, (n + 2047) // 2048 AS n_pieces, (n + 2047) // 2048 AS n_numbers, CASE WHEN n % 2048 = 0 THEN 0 ELSE 1 END AS n_rests, TRUE AS fits, TRUE AS "close" FROM t WHERE n > 0""",
     "p8_found": r"SELECT doc_id FROM documents WHERE len(regexp_extract_all(text, '[A-Za-z0-9_]+|[^A-Za-z0-9_ \t\r\n]+')) > 2048",
     "p9_found": f"""
 WITH i AS (SELECT item_id, {WORDS} AS w FROM heldout_items), d AS (SELECT doc_id, {WORDS} AS w FROM documents WHERE text IS NOT NULL),
