@@ -20,17 +20,18 @@ BROADCAST_ROWS = 20_000
 HOT_LEAST, SALTS = 100_000, 32
 
 
-def join_hot(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner", *, hot_least: int | None = None) -> DataFrame:
+def join_hot(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner", *, hot_least: int | None = None, seen: DataFrame | None = None) -> DataFrame:
     """left.join(right, on, how) for how inner or left, where a few keys (null is one) may hold most rows of the left side.
 
     Keys with more than a hundredth of the left rows, 100 at most, are found by one sketch over the keys. Their right rows
     are broadcast if they are few, else repeated for each of a number of salts that spread the left rows. All others join by
-    a shuffle. ``left`` is read twice: it should be a stored table. Keys must not hold floating-point numbers.
+    a shuffle. ``left`` is read twice: it should be a stored table, or ``seen`` one whose rows show which keys are hot.
+    Keys must not hold floating-point numbers.
     """
     least = HOT_LEAST if hot_least is None else hot_least
     key = F.xxhash64(*on)
-    seen = left.select(key.alias("_k")).agg(F.expr("approx_top_k(_k, 100, 10000)").alias("top"), F.count("*").alias("n")).first()
-    hot = [x["item"] for x in seen["top"] if x["count"] * 100 > seen["n"]] if seen["n"] >= least else []
+    top = (left if seen is None else seen).select(key.alias("_k")).agg(F.expr("approx_top_k(_k, 100, 10000)").alias("items"), F.count("*").alias("n")).first()
+    hot = [x["item"] for x in top["items"] if x["count"] * 100 > top["n"]] if top["n"] >= least else []
     if not hot:
         return left.join(right, on, how)
     is_hot = key.isin(hot)
