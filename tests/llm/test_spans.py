@@ -4,7 +4,7 @@ import pytest
 from conftest import rows
 
 import tidewell.llm.spans as spans
-from tidewell.llm.spans import anchors, shared_spans
+from tidewell.llm.spans import anchors, grow, maximal_repeats, shared_spans
 
 SCHEMA = "doc_id bigint, text string, h int, place int, spans string"
 
@@ -67,3 +67,53 @@ def test_small_passes_and_empty(spark, monkeypatch):
     assert shared_spans(spark.createDataFrame([], SCHEMA), "doc_id", "text").count() == 0
     with pytest.raises(ValueError):
         shared_spans(spark.createDataFrame([], SCHEMA), "doc_id", "text", length=10, gram=10)
+
+
+def check_repeats(got, docs, length):
+    """Each span is verbatim in the other record, can't be extended there, and isn't within another; together they are what is shared."""
+    text = {d: t for d, t, *_ in docs if d is not None and t is not None}
+    by = {}
+    for d, s, e, o, p in got:
+        a, b = text[d], text[o]
+        assert d != o and e - s >= length and a[s:e] == b[p : p + e - s]
+        assert s == 0 or p == 0 or a[s - 1] != b[p - 1]
+        assert e == len(a) or p + e - s == len(b) or a[e] != b[p + e - s]
+        by.setdefault(d, []).append((s, e))
+    covered = {}
+    for d, spans_ in by.items():
+        spans_.sort()
+        assert all(x[0] < y[0] and x[1] < y[1] for x, y in zip(spans_, spans_[1:], strict=False))
+        covered[d] = len({k for s, e in spans_ for k in range(s, e)})
+    assert covered == {d: n for d, _, n, _ in brute(docs, length)}
+
+
+@pytest.mark.parametrize(("alphabet", "length", "gram", "hot"), [("abcdefgh 漢😀", 40, 10, 20_000), ("ab", 30, 8, 20_000), ("abcdefgh", 40, 10, 2), ("ab", 12, 11, 20_000)])
+def test_repeats(spark, monkeypatch, alphabet, length, gram, hot):
+    import tidewell.operators.skewed as skewed
+
+    monkeypatch.setattr(skewed, "HOT_LEAST", 10 if hot == 2 else 10**9)
+    docs = corpus(length, alphabet)
+    got = maximal_repeats(spark.createDataFrame(docs, SCHEMA).repartition(3), "doc_id", "text", length=length, gram=gram, task_classes=hot)
+    check_repeats(rows(got, "doc_id", "span_start", "span_end", "other_id", "other_start"), docs, length)
+
+
+def test_overlapping_repeats_stay_apart(spark):
+    """300 characters of record 1 stand in record 2, and 300 others, overlapping the first, in record 3: nowhere all 450."""
+    r = random.Random(1)
+    text = lambda k: "".join(r.choice("abcdefgh ") for _ in range(k))
+    for second in (150, 40):  # overlapping by 150, less than a stretch, and by 260
+        a = text(50) + text(300 + second) + text(50)
+        docs = [(1, a, 1, 1, ""), (2, text(69) + "<" + a[50:350] + ">" + text(30), 1, 1, ""), (3, text(19) + "<" + a[50 + second : 350 + second] + ">" + text(90), 1, 1, "")]
+        got = rows(maximal_repeats(spark.createDataFrame(docs, SCHEMA), "doc_id", "text").filter("doc_id = 1"), "span_start", "span_end", "other_id", "other_start")
+        assert sorted(got) == [(50, 350, 2, 70), (50 + second, 350 + second, 3, 20)]
+        check_repeats(rows(maximal_repeats(spark.createDataFrame(docs, SCHEMA), "doc_id", "text"), "doc_id", "span_start", "span_end", "other_id", "other_start"), docs, 200)
+    assert maximal_repeats(spark.createDataFrame([], SCHEMA), "doc_id", "text").count() == 0
+
+
+def test_grow():
+    r = random.Random(6)
+    for _ in range(300):
+        a = "".join(r.choice("ab") for _ in range(r.randrange(400)))
+        k = r.randrange(len(a) + 1)
+        b = a[:k] + r.choice(["", "c", "cab"]) + a[k + 1 :]
+        assert grow(a, b, 0, 0) == next((n for n, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))

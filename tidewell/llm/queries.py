@@ -10,7 +10,7 @@ from tidewell.llm.bitmaps import estimate, merge, sketch
 from tidewell.llm.frequent import frequent_share, top_values
 from tidewell.llm.leaks import leaks
 from tidewell.llm.packing import count_tokens, pack
-from tidewell.llm.spans import shared_spans
+from tidewell.llm.spans import maximal_repeats, shared_spans
 from tidewell.session import cut, tune
 
 #: Keys of p7_found to be counted again that are sent to every executor at most; more are joined by a salted shuffle.
@@ -172,12 +172,22 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _spans(spark, sf_dir).select("doc_id", F.when(2 * F.col("shared_chars") >= F.col("n_chars"), "most").otherwise("some").alias("extent"))
 
 
-def p10_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The maximal shared spans of each document."""
+def p10_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What of each document stands elsewhere, as the union of all shared stretches."""
     return _spans(spark, sf_dir).select("doc_id", "n_chars", "shared_chars", F.explode("spans").alias("s")).select("doc_id", "n_chars", "shared_chars", F.col("s.start").alias("span_start"), F.col("s.end").alias("span_end"))
 
 
-QUERIES = {f.__name__: f for f in (p6_found, p6_top, p7_found, p7_estimates, p7_checked, p8_found, p8_pack, p8_checked, p9_found, p9_leaks, p10_found, p10_spans)}
+def p10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The maximal repeats of each document, each with a document that has it whole, and where."""
+    return maximal_repeats(table(spark, sf_dir, "documents"), "doc_id", "text", length=200)
+
+
+def p10_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The maximal repeats alone."""
+    return p10_repeats(spark, sf_dir).select("doc_id", "span_start", "span_end")
+
+
+QUERIES = {f.__name__: f for f in (p6_found, p6_top, p7_found, p7_estimates, p7_checked, p8_found, p8_pack, p8_checked, p9_found, p9_leaks, p10_found, p10_coverage, p10_repeats, p10_spans)}
 
 SEC = "CASE WHEN created_utc > 100000000000 THEN created_utc // 1000 ELSE created_utc END"
 DAY = f"strftime(DATE '1970-01-01' + CAST(({SEC}) // 86400 AS INTEGER), '%Y-%m-%d')"
@@ -204,6 +214,23 @@ WITH i AS (SELECT item_id, {WORDS} AS w FROM heldout_items), d AS (SELECT doc_id
 gi AS (SELECT DISTINCT item_id, array_to_string(w[k:k + 15], ' ') AS g FROM (SELECT item_id, w, unnest(range(1, len(w) - 14)) AS k FROM i)),
 gd AS (SELECT DISTINCT doc_id, array_to_string(w[k:k + 15], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 14)) AS k FROM d))
 SELECT DISTINCT doc_id, item_id FROM gd JOIN gi USING (g)""",
+    "p10_coverage": """
+WITH d AS (SELECT doc_id, text, length(text) AS n FROM documents WHERE length(text) >= 200),
+g AS (SELECT doc_id, n, k, hash(substring(text, k, 200)) AS h FROM (SELECT doc_id, text, n, unnest(range(1, n - 198)) AS k FROM d)),
+b AS (SELECT h FROM g GROUP BY h HAVING min(doc_id) <> max(doc_id)),
+s AS (SELECT doc_id, n, k, CASE WHEN k - lag(k) OVER (PARTITION BY doc_id ORDER BY k) <= 200 THEN 0 ELSE 1 END AS fresh FROM g SEMI JOIN b USING (h)),
+i AS (SELECT *, sum(fresh) OVER (PARTITION BY doc_id ORDER BY k ROWS UNBOUNDED PRECEDING) AS span FROM s),
+u AS (SELECT doc_id, n, min(k) - 1 AS a, max(k) + 199 AS b FROM i GROUP BY doc_id, n, span)
+SELECT doc_id, CAST(n AS INTEGER) AS n_chars, CAST(sum(b - a) OVER (PARTITION BY doc_id) AS INTEGER) AS shared_chars, CAST(a AS INTEGER) AS span_start, CAST(b AS INTEGER) AS span_end FROM u""",
+    "p10_spans": """
+WITH d AS (SELECT doc_id, text, length(text) AS n FROM documents WHERE length(text) >= 200),
+g AS (SELECT doc_id, k, hash(substring(text, k, 200)) AS h FROM (SELECT doc_id, text, unnest(range(1, n - 198)) AS k FROM d)),
+b AS (SELECT h FROM g GROUP BY h HAVING min(doc_id) <> max(doc_id)), c AS (SELECT * FROM g SEMI JOIN b USING (h)),
+p AS (SELECT x.doc_id, y.doc_id AS other, y.k - x.k AS shift, x.k FROM c x JOIN c y ON x.h = y.h AND x.doc_id <> y.doc_id),
+i AS (SELECT *, k - row_number() OVER (PARTITION BY doc_id, other, shift ORDER BY k) AS island FROM p),
+r AS (SELECT DISTINCT doc_id, a, b FROM (SELECT doc_id, min(k) - 1 AS a, max(k) + 199 AS b FROM i GROUP BY doc_id, other, shift, island)),
+m AS (SELECT *, max(b) OVER (PARTITION BY doc_id ORDER BY a, b DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reached FROM r)
+SELECT doc_id, CAST(a AS INTEGER) AS span_start, CAST(b AS INTEGER) AS span_end FROM m WHERE reached IS NULL OR b > reached""",
     "p10_found": """
 WITH d AS (SELECT doc_id, text, length(text) AS n FROM documents WHERE length(text) >= 200),
 g AS (SELECT doc_id, n, k, hash(substring(text, k, 200)) AS h FROM (SELECT doc_id, text, n, unnest(range(1, n - 198)) AS k FROM d)),
