@@ -155,11 +155,12 @@ def profile_history(deltas: DataFrame, load: str, patterns: Mapping[str, str] |
     upto = column.rowsBetween(Window.unboundedPreceding, 0)
     run = step.select(load, "column_name", F.row_number().over(column).alias("_k"), F.col("n_rows").alias("_more"), *[F.sum(c).over(upto).alias(c) for c in ("n_rows", "n_null", "n_distinct", "_nlogn", "n_violations")], F.min("least").over(upto).alias("least"), F.max("most").over(upto).alias("most"))
     run = cut(run.join(passing, [load, "column_name"], "left").withColumns({"least": F.least("least", "_least"), "most": F.greatest("most", "_most")}))
-    # Of the values that a load changes; the others, n in all, differ by n times the difference of one row's share.
-    sizes = run.select(load, "column_name", F.col("n_rows").cast("double").alias("_na"), (F.col("n_rows") - F.col("_more")).cast("double").alias("_nb")).filter("_na > 0 AND _nb > 0")
-    moved = each.join(sizes, [load, "column_name"]).groupBy(load, "column_name").agg(F.sum(F.abs(F.try_divide(now, F.col("_na")) - F.try_divide(before, F.col("_nb")))).alias("_d"), F.sum(before).alias("_b"), F.first("_na").alias("_na"), F.first("_nb").alias("_nb"))
-    same = (F.col("_nb") - F.col("_b")) * F.abs(F.try_divide(F.lit(1.0), F.col("_na")) - F.try_divide(F.lit(1.0), F.col("_nb")))
-    moved = moved.select(load, "column_name", F.round((F.col("_d") + same) / 2, 4).alias("shift"))
+    # The distance in whole numbers, over twice the product of the rows of both loads: of the values that a load changes one
+    # by one, of the others, n in all, n times the difference of the rows.
+    whole = lambda x: x.cast("decimal(19,0)")
+    sizes = run.select(load, "column_name", whole(F.col("n_rows")).alias("_na"), whole(F.col("n_rows") - F.col("_more")).alias("_nb")).filter("_na > 0 AND _nb > 0")
+    moved = each.join(sizes, [load, "column_name"]).groupBy(load, "column_name", "_na", "_nb").agg(F.sum(F.abs(whole(now) * F.col("_nb") - whole(before) * F.col("_na"))).alias("_d"), whole(F.sum(before)).alias("_b"))
+    moved = moved.select(load, "column_name", F.round((F.col("_d") + (F.col("_nb") - F.col("_b")) * F.abs(F.col("_nb") - F.col("_na"))).cast("double") / (F.col("_na") * F.col("_nb") * 2).cast("double"), 4).alias("shift"))
     run = run.join(moved, [load, "column_name"], "left")
     given = F.col("n_rows") - F.col("n_null")
     entropy = F.when(given > 0, F.greatest(F.lit(0.0), F.log(given.cast("double")) - F.col("_nlogn") / given)).otherwise(0.0)

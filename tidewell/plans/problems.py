@@ -119,7 +119,7 @@ def p5_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     moves = F.filter(F.array(move("load", 1), move("until", -1)), lambda x: x.load.isNotNull())
     signed = m.withColumn("until", F.lead("load").over(order)).select(F.explode(moves).alias("_m"), *PROFILED).select("_m.*", *PROFILED)
     store = CountStore(spark, scratch(spark))
-    store.apply_all(value_counts(signed, PROFILED, ["load"], weight="weight").filter("n != 0"))
+    store.apply_all(value_counts(signed, PROFILED, ["load"], weight="weight"))
     nested = [c for c, t in signed.dtypes if t.startswith(("map", "struct"))]
     p = profile_history(store.loads(), "load", PATTERNS, numeric_columns(signed)).withColumnRenamed("load", "month")
     bare = lambda c: F.when(~F.col("column_name").isin(nested), F.col(c)).alias(c)
@@ -185,7 +185,9 @@ v AS (SELECT load, seq, 'filename' AS column_name, filename AS value, NULL AS nu
  UNION ALL SELECT load, seq, 'column_stats', CAST(column_stats AS VARCHAR), NULL FROM s UNION ALL SELECT load, seq, 'conversion_history', CAST(conversion_history AS VARCHAR), NULL FROM s),
 a AS (SELECT load, seq, column_name, value, any_value(number) AS number, count(*) AS n FROM v GROUP BY ALL),
 x AS (SELECT *, sum(n) FILTER (value IS NOT NULL) OVER w AS g, sum(n) OVER w AS total FROM a WINDOW w AS (PARTITION BY load, column_name)),
-d AS (SELECT coalesce(p.seq + 1, q.seq) AS seq, coalesce(p.column_name, q.column_name) AS column_name, sum(abs(coalesce(q.n / q.total, 0) - coalesce(p.n / p.total, 0))) / 2 AS shift FROM x p FULL JOIN x q ON q.seq = p.seq + 1 AND q.column_name = p.column_name AND q.value IS NOT DISTINCT FROM p.value GROUP BY ALL)
+z AS (SELECT DISTINCT seq, column_name, total FROM x),
+d AS (SELECT coalesce(p.seq + 1, q.seq) AS seq, coalesce(p.column_name, q.column_name) AS column_name, sum(abs(coalesce(q.n, 0) * a.total - coalesce(p.n, 0) * b.total)) / any_value(a.total * b.total * 2) AS shift FROM x p FULL JOIN x q ON q.seq = p.seq + 1 AND q.column_name = p.column_name AND q.value IS NOT DISTINCT FROM p.value
+ JOIN z a ON a.seq = coalesce(p.seq, q.seq - 1) AND a.column_name = coalesce(p.column_name, q.column_name) JOIN z b ON b.seq = a.seq + 1 AND b.column_name = a.column_name GROUP BY ALL)
 SELECT load AS month, x.column_name, CAST(sum(n) AS BIGINT) AS n_rows, CAST(coalesce(sum(n) FILTER (value IS NULL), 0) AS BIGINT) AS n_null, round(coalesce(sum(n) FILTER (value IS NULL), 0) / sum(n), 6) AS null_rate, count(value) AS n_distinct,
  CASE WHEN x.column_name IN ('file_size', 'row_count') THEN CAST(min(number) AS VARCHAR) WHEN x.column_name IN ('filename', 'last_modified', 'conversion_method') THEN min(value) END AS least,
  CASE WHEN x.column_name IN ('file_size', 'row_count') THEN CAST(max(number) AS VARCHAR) WHEN x.column_name IN ('filename', 'last_modified', 'conversion_method') THEN max(value) END AS most,
