@@ -69,8 +69,27 @@ def test_small_passes_and_empty(spark, monkeypatch):
         shared_spans(spark.createDataFrame([], SCHEMA), "doc_id", "text", length=10, gram=10)
 
 
+def outermost(docs, length):
+    """All stretches of at least ``length`` that stand in another record and lie within no other such stretch."""
+    out = set()
+    texts = [(d, t) for d, t, *_ in docs if d is not None and t is not None]
+    where = {}
+    for d, t in texts:
+        for k in range(len(t) - length + 1):
+            where.setdefault(t[k : k + length], []).append((d, t, k))
+    for d, t in texts:
+        reached = -1
+        for k in range(len(t) - length + 1):
+            e = max((k + grow(t, u, k, j) for o, u, j in where[t[k : k + length]] if o != d), default=-1)
+            if e > reached:
+                out.add((d, k, e))
+                reached = e
+    return out
+
+
 def check_repeats(got, docs, length):
-    """Each span is verbatim in the other record, can't be extended there, and isn't within another; together they are what is shared."""
+    """The spans are all outermost ones; each is verbatim in the other record and can't be extended there."""
+    assert {(d, s, e) for d, s, e, *_ in got} == outermost(docs, length)
     text = {d: t for d, t, *_ in docs if d is not None and t is not None}
     by = {}
     for d, s, e, o, p in got:
@@ -107,6 +126,18 @@ def test_overlapping_repeats_stay_apart(spark):
         got = rows(maximal_repeats(spark.createDataFrame(docs, SCHEMA), "doc_id", "text").filter("doc_id = 1"), "span_start", "span_end", "other_id", "other_start")
         assert sorted(got) == [(50, 350, 2, 70), (50 + second, 350 + second, 3, 20)]
         check_repeats(rows(maximal_repeats(spark.createDataFrame(docs, SCHEMA), "doc_id", "text"), "doc_id", "span_start", "span_end", "other_id", "other_start"), docs, 200)
+
+
+def test_repeats_behind_others(spark):
+    """A repeat all of whose stretches stand in earlier and later records too, none of which has it whole."""
+    r = random.Random(2)
+    text = lambda k: "".join(r.choice("abcdefgh ") for _ in range(k))
+    a = text(900)
+    part = lambda s, e: f"{text(20)}<{a[s:e]}>{text(20)}"
+    docs = [(50, part(0, 900), 1, 1, ""), (40, part(100, 800), 1, 1, "")]
+    docs += [(k, part(s, e), 1, 1, "") for k, (s, e) in enumerate([(0, 300), (90, 420), (210, 560), (350, 700), (500, 900)])]
+    docs += [(100 + k, part(s, e), 1, 1, "") for k, (s, e) in enumerate([(0, 310), (80, 430), (200, 570), (340, 710), (490, 900)])]
+    check_repeats(rows(maximal_repeats(spark.createDataFrame(docs, SCHEMA), "doc_id", "text"), "doc_id", "span_start", "span_end", "other_id", "other_start"), docs, 200)
     assert maximal_repeats(spark.createDataFrame([], SCHEMA), "doc_id", "text").count() == 0
 
 

@@ -10,8 +10,9 @@
    It takes time in proportion to the occurrences, not to their pairs.
 4. Coverage: adjacent and overlapping stretches join to what of a record is shared.
 5. Maximal repeats: each stretch keeps the first and the last record that has it, and where. Stretches on one diagonal of
-   two records join, and are extended both ways in the two texts themselves, character by character; of what comes out no
-   repeat lies within another of its record.
+   two records join, and are extended both ways in the two texts themselves, character by character; those that lie
+   within others are left out. A repeat that is still missing reaches over the gap between two neighbouring ones: what
+   stands there, from before the second to after the first, is looked up by its anchor until nothing new is found.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -265,8 +267,8 @@ def _exploder(length: int, gram: int):
     return explode
 
 
-def _hits(docs: DataFrame, length: int, gram: int, task_classes: int, partners: bool) -> DataFrame:
-    """doc, n, place, a, b and OCCURRENCES: stretches of ``length`` begin at place + a .. place + b that others have too.
+def _hits(docs: DataFrame, length: int, gram: int, task_classes: int, partners: bool) -> tuple[DataFrame, DataFrame]:
+    """(hits, seeds); hits has doc, n, place, a, b and OCCURRENCES: stretches of ``length`` begin at place + a .. place + b that others have too.
 
     OCCURRENCES are the first and the last record with each of these stretches, one of which may be the record itself, and
     the place there of the anchor that the record has at ``place``; only with ``partners`` are they of any use.
@@ -298,7 +300,7 @@ def _hits(docs: DataFrame, length: int, gram: int, task_classes: int, partners:
         ranges = ranges.unionByName(f.join(single, ["h", "around"], "left_semi"))
     if not partners:
         ranges = ranges.drop(*OCCURRENCES)
-    return join_hot(seeds, ranges, ["h", "around"])
+    return join_hot(seeds, ranges, ["h", "around"]), seeds
 
 
 def _documents(df: DataFrame, id_col: str, text_col: str, length: int, gram: int) -> DataFrame:
@@ -330,7 +332,7 @@ def shared_spans(df: DataFrame, id_col: str, text_col: str, *, length: int = 200
     text is hashed as a whole in one task. Comparisons are by 64-bit hashes of a stretch under a 64-bit hash of its anchor.
     """
     docs = _documents(df, id_col, text_col, length, gram)
-    hits = _hits(docs, length, gram, task_classes, False).select("doc", "n", *_placed(length))
+    hits = _hits(docs, length, gram, task_classes, False)[0].select("doc", "n", *_placed(length))
     return _joined(hits, ["doc"]).groupBy(F.col("doc").alias("doc_id")).agg(F.max("n").alias("n_chars"), F.sum(F.col("end") - F.col("start")).cast("int").alias("shared_chars"), F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans"))
 
 
@@ -376,23 +378,77 @@ def maximal_repeats(df: DataFrame, id_col: str, text_col: str, *, length: int =
 
     Each span [span_start, span_end) of a record stands verbatim in record other_id from other_start on and can't be
     extended there on either side. No span lies within another of the same record, and together the spans of a record are
-    just what :func:`shared_spans` counts. Each stretch of ``length`` characters is followed into the first and the last
-    record that has it, so the pieces to extend grow with the stretches and not with the pairs of records: a repeat all of
-    whose stretches stand in earlier and in later records as well comes out as those records' repeats, which cover it.
-    Of several records with the same span the least is given. Cases as with :func:`shared_spans`; characters are compared
-    themselves here. The texts of a record and of the other are held by one task.
+    just what :func:`shared_spans` counts: every stretch of a record that stands in another lies within one of its spans.
+    Each stretch of ``length`` characters is followed into the first and the last record that has it, and each gap into
+    the first and the last record that has it, so the pieces to extend grow with the stretches and not with the pairs of
+    records. Of several records found for a span the least is given. Cases as with :func:`shared_spans`; characters are
+    compared themselves here. The texts of a record and of the other are held by one task.
     """
     docs = _documents(df, id_col, text_col, length, gram)
     side = lambda s: F.struct(F.col(f"{s}_doc").alias("other"), (F.col(f"{s}_place") - F.col("place")).alias("shift"))
-    hits = _hits(docs, length, gram, task_classes, True).select("doc", *_placed(length), F.explode(F.array(side("low"), side("high"))).alias("o"))
+    hits, seeds = _hits(docs, length, gram, task_classes, True)
+    hits = hits.select("doc", *_placed(length), F.explode(F.array(side("low"), side("high"))).alias("o"))
     pieces = _joined(hits.select("doc", "o.*", "start", "end").filter("other != doc").distinct(), ["doc", "other", "shift"])
+    best = cut(_outermost(_extended(pieces, docs)))
+    tested = None
+    while True:
+        over = Window.partitionBy("doc").orderBy("start")
+        gaps = best.select("doc", (F.col("start") - 1).alias("x"), (F.lag("end").over(over) + 1).alias("y")).filter(F.col("y") - F.col("x") >= length)
+        gaps = cut(gaps if tested is None else gaps.join(tested, ["doc", "x", "y"], "left_anti"))
+        if gaps.isEmpty():
+            break
+        tested = gaps if tested is None else tested.unionByName(gaps)
+        new = cut(_extended(_across(gaps, seeds, docs, length, gram), docs))
+        if new.isEmpty():
+            break
+        best = cut(_outermost(best.select("doc", "start", "end", "o.*").unionByName(new)))
+    return best.select(F.col("doc").alias("doc_id"), F.col("start").alias("span_start"), F.col("end").alias("span_end"), F.col("o.other").alias("other_id"), F.col("o.other_start").alias("other_start"))
+
+
+def _extended(pieces: DataFrame, docs: DataFrame) -> DataFrame:
+    """doc, other, start, end, other_start: pieces (doc, other, shift, start, end) as far as the two texts agree."""
     pairs = cut(pieces.groupBy("doc", "other").agg(F.collect_list(F.struct("start", "end", "shift")).alias("pieces")))
     texts = join_hot(pairs, docs.select(F.col("doc").alias("other"), F.col("text").alias("other_text")), ["other"]).join(docs, "doc")
-    grown = texts.mapInArrow(_repeats, "doc bigint, other bigint, start int, end int, other_start int")
-    best = grown.groupBy("doc", "start", "end").agg(F.min(F.struct("other", "other_start")).alias("o"))
+    return texts.mapInArrow(_repeats, "doc bigint, other bigint, start int, end int, other_start int")
+
+
+def _outermost(repeats: DataFrame) -> DataFrame:
+    """doc, start, end and o (other, other_start) of the repeats that lie within no other of their record."""
+    best = repeats.groupBy("doc", "start", "end").agg(F.min(F.struct("other", "other_start")).alias("o"))
     before = Window.partitionBy("doc").orderBy("start", F.desc("end")).rowsBetween(Window.unboundedPreceding, -1)
-    inside = F.coalesce(F.max("end").over(before) >= F.col("end"), F.lit(False))
-    return best.withColumn("inside", inside).filter("NOT inside").select(F.col("doc").alias("doc_id"), F.col("start").alias("span_start"), F.col("end").alias("span_end"), F.col("o.other").alias("other_id"), F.col("o.other_start").alias("other_start"))
+    return best.withColumn("inside", F.coalesce(F.max("end").over(before) >= F.col("end"), F.lit(False))).filter("NOT inside").drop("inside")
+
+
+def _contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        out: dict[str, list] = {k: [] for k in ("doc", "h", "place", "left", "right", "g")}
+        for doc, text, own in zip(batch["doc"].to_pylist(), batch["text"].to_pylist(), batch["own"].to_pylist(), strict=True):
+            for o in own:
+                part = text[o["place"] - o["left"] : o["place"] + o["right"]].encode("utf-8", "surrogatepass")
+                for k, v in zip(out, (doc, o["h"], o["place"], o["left"], o["right"], xxhash.xxh128_digest(part)), strict=True):
+                    out[k].append(v)
+        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), kinds, strict=True)], names=list(out))
+
+
+def _across(gaps: DataFrame, seeds: DataFrame, docs: DataFrame, length: int, gram: int) -> DataFrame:
+    """Pieces (doc, other, shift, start, end) for the gaps (doc, x, y) that stand in other records.
+
+    The least anchor of a gap's first stretch is one in every record that has the stretch. At each occurrence of such an
+    anchor the content is taken in the shapes (left and right of the anchor) that its gaps have, and grouped.
+    """
+    unsigned = F.expr("h ^ CAST(-9223372036854775808 AS BIGINT)")
+    inside = (F.col("place") >= F.col("x")) & (F.col("place") <= F.col("x") + length - gram)
+    least = seeds.select("doc", "h", "place").join(gaps, "doc").filter(inside).groupBy("doc", "x", "y").agg(F.min(F.struct(unsigned.alias("u"), "h", "place")).alias("s"))
+    wanted = cut(least.select("doc", "s.h", "s.place", (F.col("s.place") - F.col("x")).alias("left"), (F.col("y") - F.col("s.place")).alias("right")))
+    shapes = wanted.select("h", "left", "right").distinct()
+    occurrences = join_hot(seeds.select("doc", "h", "place", "n"), shapes, ["h"]).filter("place >= left AND place + right <= n")
+    texts = occurrences.groupBy("doc").agg(F.collect_list(F.struct("h", "place", "left", "right")).alias("own")).join(docs, "doc")
+    content = cut(texts.select("doc", "text", "own").mapInArrow(_contents, "doc bigint, h bigint, place int, left int, right int, g binary"))
+    at = F.struct("doc", "place")
+    several = content.groupBy("h", "left", "right", "g").agg(F.min(at).alias("low"), F.max(at).alias("high")).filter("low.doc != high.doc")
+    mine = content.join(wanted, ["doc", "h", "place", "left", "right"]).join(several, ["h", "left", "right", "g"])
+    return mine.select("doc", (F.col("place") - F.col("left")).alias("start"), (F.col("place") + F.col("right")).alias("end"), F.col("place"), F.explode(F.array("low", "high")).alias("o")).filter("o.doc != doc").select("doc", F.col("o.doc").alias("other"), (F.col("o.place") - F.col("place")).alias("shift"), "start", "end")
 
 
 def _by_shuffle(parts: DataFrame, length: int, gram: int) -> DataFrame:
