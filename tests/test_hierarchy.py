@@ -116,3 +116,18 @@ def test_descendants_on_and_below_cycles(spark, monkeypatch, how, broadcast):
     assert {("b", "a", 1), ("a", "b", 1), ("b", "c", 2), ("a", "a", 2), ("self", "self", 1)} <= set(pairs)
     for r in got.collect():
         assert r.n_descendants == sum(a == r.id for a, *_ in pairs)
+
+
+def test_paths_are_given_out_in_bounded_batches(monkeypatch):
+    import pyarrow as pa
+
+    import tidewell.operators.hierarchy as h
+
+    monkeypatch.setattr(h, "PATH_STEPS", 100)
+    n = 400
+    ids = pa.array([f"c{k}" for k in range(n)])
+    parent = pa.array([None, *(f"c{k}" for k in range(n - 1))])
+    got = list(h._traverse(ids, parent, ["t3_x"] + [None] * (n - 1), ["t3_x"] * n, ["c0"] * n, True))
+    paths = {r["id"]: r["path"] for b in got for r in b.to_pylist()}
+    assert paths == {f"c{k}": ["t3_x", *(f"c{j}" for j in range(k + 1))] for k in range(n)}
+    assert max(sum(len(p) for p in b["path"].to_pylist()) for b in got) <= 100 + n + 1

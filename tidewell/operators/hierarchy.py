@@ -23,9 +23,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.functions.reading import reference
+from tidewell.operators.skewed import join_hot
 from tidewell.session import cut, parts
 
 LOCAL = "id string, parent string, top string, link string, part_label string, away boolean"
+#: Steps of paths that a task holds at a time; a longer path is held alone.
+PATH_STEPS = 200_000
 #: Cycle nodes sent to every executor at most; more are joined by a shuffle of so many salts.
 BROADCAST_ROWS, SALTS = 50_000, 16
 SCHEMA = "id string, state string, root string, depth int, back_edge boolean, component string"
@@ -83,12 +86,12 @@ def _doubled_labels(edges: DataFrame, n: int) -> DataFrame:
     state = cut(nodes.join(edges, nodes.n == edges.a, "left").select("n", F.coalesce("b", "n").alias("f"), F.least("n", F.coalesce("b", "n")).alias("m")))
     for _ in range(max(1, (2 * n).bit_length())):
         far = state.select(F.col("n").alias("f"), F.col("f").alias("ff"), F.col("m").alias("fm"))
-        new = cut(state.join(far, "f").select("n", F.col("ff").alias("f"), F.least("m", "fm").alias("m"), (F.col("ff") != F.col("f")).alias("moved")))
+        new = cut(join_hot(state, far, ["f"]).select("n", F.col("ff").alias("f"), F.least("m", "fm").alias("m"), (F.col("ff") != F.col("f")).alias("moved")))
         state = new.drop("moved")
         if new.filter("moved").isEmpty():
             break
     end = state.select(F.col("n").alias("f"), F.col("m").alias("component"))
-    return state.join(end, "f").select(F.col("n").alias("part_label"), "component")
+    return join_hot(state, end, ["f"]).select(F.col("n").alias("part_label"), "component")
 
 
 def _traverse(ids: pa.Array, parent: pa.Array, top: list, link: list, comp: list, with_path: bool) -> Iterator[pa.RecordBatch]:
@@ -104,7 +107,6 @@ def _traverse(ids: pa.Array, parent: pa.Array, top: list, link: list, comp: list
     depth, root, state = [None] * n, [None] * n, [None] * n
     back = bytearray(n)
     ring_at: list = [None] * n
-    path: list = [None] * n if with_path else []
     below = [0] * n
     starts = [(i, "tree") for i in range(n) if above[i] < 0]
     for s in range(n):  # the rest: walk up until a grey node closes a cycle
@@ -136,8 +138,6 @@ def _traverse(ids: pa.Array, parent: pa.Array, top: list, link: list, comp: list
             broken, r, d = "lost", names[s], 0
         stack = [s]
         root[s], depth[s] = r, d
-        if with_path:
-            path[s] = [r, names[s]] if broken is None else [names[s]]
         while stack:
             i = stack[-1]
             if not colour[i]:
@@ -148,8 +148,6 @@ def _traverse(ids: pa.Array, parent: pa.Array, top: list, link: list, comp: list
                 for k in order[first[i] : last[i]]:
                     if state[k] != "cycle":
                         root[k], depth[k], ring_at[k] = r, deeper, ring_at[i]
-                        if with_path:
-                            path[k] = [*path[i], names[k]]
                         stack.append(k)
             else:
                 stack.pop()
@@ -166,9 +164,43 @@ def _traverse(ids: pa.Array, parent: pa.Array, top: list, link: list, comp: list
             if state[i] == "cycle":
                 below[i] = ring_size[comp[i]]
     out = {"id": ids, "state": pa.array(state, pa.string()), "root": pa.array(root, pa.string()), "depth": pa.array(depth, pa.int32()), "back_edge": pa.array(np.frombuffer(back, np.uint8).astype(bool)), "component": pa.array(comp, pa.string())}
-    if with_path:
-        out |= {"path": pa.array(path, pa.list_(pa.string())), "n_descendants": pa.array(below, pa.int64()), "ring_at": pa.array(ring_at, pa.int32())}
-    yield from pa.table(out).to_batches(max_chunksize=20_000)
+    if not with_path:
+        yield from pa.table(out).to_batches(max_chunksize=20_000)
+        return
+    whole = pa.table(out | {"n_descendants": pa.array(below, pa.int64()), "ring_at": pa.array(ring_at, pa.int32())})
+    pool = pa.concat_arrays([ids, pa.array(top, pa.string())])  # a root reference has the number of its node, moved on by n
+    heads = [(s, kind != "ring" and top[s] is not None) for s, kind in starts]
+    for nodes, ends, steps in _paths(heads, n, order, first, last, state):
+        t = whole.take(pa.array(nodes))
+        path = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(ends)].astype(np.int32)), pool.take(pa.array(steps)))
+        yield from t.add_column(6, "path", path).combine_chunks().to_batches()
+
+
+def _paths(heads: list[tuple[int, bool]], n: int, order: list, first: list, last: list, state: list) -> Iterator[tuple[list, list, np.ndarray]]:
+    """(nodes, lengths of their paths, the paths one after another), PATH_STEPS steps or one node at a time.
+
+    Only the walk from the head to the node at hand is kept: paths are copied from it as they are given out.
+    """
+    walk = np.zeros(1024, dtype=np.int64)
+    nodes, lengths, steps, held = [], [], [], 0
+    for head, has_root in heads:
+        walk[0] = head + n
+        stack = [(head, int(has_root))]
+        while stack:
+            i, d = stack.pop()
+            if d >= len(walk):
+                walk = np.r_[walk, np.zeros(len(walk), dtype=np.int64)]
+            walk[d] = i
+            nodes.append(i)
+            lengths.append(d + 1)
+            steps.append(walk[: d + 1].copy())
+            held += d + 1
+            if held >= PATH_STEPS:
+                yield nodes, lengths, np.concatenate(steps)
+                nodes, lengths, steps, held = [], [], [], 0
+            stack.extend((k, d + 1) for k in order[first[i] : last[i]] if state[k] != "cycle")
+    if nodes:
+        yield nodes, lengths, np.concatenate(steps)
 
 
 def _walker(with_path: bool):
@@ -190,9 +222,9 @@ def _jumps(nodes: DataFrame, n: int, with_path: bool) -> DataFrame:
     image = -1
     for _ in range(n.bit_length() + 1):
         far = state.select(F.col("id").alias("f"), F.col("f").alias("ff"), F.col("stop").alias("fstop"), F.col("hops").alias("fhops"), F.col("end").alias("fend"), *([F.col("path").alias("fpath")] if with_path else []))
-        go = F.col("f").isNotNull()
+        go = F.col("f").isNotNull()  # nodes whose path has ended have no f, and join_hot keeps their key apart
         path = [F.when(go, F.concat("fpath", "path")).otherwise(F.col("path")).alias("path")] if with_path else []
-        state = cut(state.join(far, "f", "left").select("id", "component", "link", F.coalesce("stop", "fstop").alias("stop"), F.col("ff").alias("f"), F.when(go, F.least(F.col("hops").cast("bigint") + F.col("fhops"), F.lit(2**30)).cast("int")).otherwise(F.col("hops")).alias("hops"), F.coalesce("end", "fend").alias("end"), *path))
+        state = cut(join_hot(state, far, ["f"], "left").select("id", "component", "link", F.coalesce("stop", "fstop").alias("stop"), F.col("ff").alias("f"), F.when(go, F.least(F.col("hops").cast("bigint") + F.col("fhops"), F.lit(2**30)).cast("int")).otherwise(F.col("hops")).alias("hops"), F.coalesce("end", "fend").alias("end"), *path))
         now = state.filter("f IS NOT NULL").agg(F.countDistinct("f")).first()[0]
         if now == 0 or now == image:  # all paths ended, or what is left only turns in its cycles
             break
@@ -203,7 +235,7 @@ def _jumps(nodes: DataFrame, n: int, with_path: bool) -> DataFrame:
 def _large(nodes: DataFrame, n: int, with_path: bool) -> DataFrame:
     """Results for components that are too large for one task."""
     known = nodes.select(F.col("id").alias("parent"), F.lit(True).alias("there"))
-    nodes = cut(nodes.join(known, "parent", "left").withColumn("stop", F.when(F.col("there"), None).otherwise(F.coalesce("top", F.lit("")))).drop("there"))
+    nodes = cut(join_hot(cut(nodes), known, ["parent"], "left").withColumn("stop", F.when(F.col("there"), None).otherwise(F.coalesce("top", F.lit("")))).drop("there"))
     state = _jumps(nodes, n, False)
     ring = cut(state.filter("f IS NOT NULL").select("component", F.col("f").alias("id")).distinct())
     if with_path or not ring.isEmpty():
@@ -254,7 +286,7 @@ def hierarchy(df: DataFrame, id_col: str = "id", parent_col: str = "parent_id",
     nodes = cut(rows.repartitionByRange(spread, "link", "id").mapInArrow(_contract, LOCAL))
 
     away = nodes.filter("away").select(F.col("part_label").alias("a"), F.col("parent").alias("id"))
-    edges = cut(away.join(nodes.select("id", F.col("part_label").alias("b")), "id").select("a", "b"))
+    edges = cut(join_hot(away, nodes.select("id", F.col("part_label").alias("b")), ["id"]).select("a", "b"))
     n_edges = edges.count()
     if n_edges:
         if n_edges <= rows_per_task:

@@ -138,18 +138,35 @@ g AS (SELECT *, CASE WHEN t - lag(t) OVER (PARTITION BY author ORDER BY t) <= 18
 s AS (SELECT *, sum(fresh) OVER (PARTITION BY author ORDER BY t ROWS UNBOUNDED PRECEDING) AS k FROM g)
 SELECT author, min(t) AS session_start, max(t) AS session_end, {{}} CAST(count(*) AS BIGINT) AS n_comments FROM s GROUP BY author, k"""
 
+LINKS = f"""n AS (SELECT id, min({REF.format("parent_id")}) AS p, min({REF.format("link_id")}) AS link FROM master_schema_rc WHERE id IS NOT NULL GROUP BY id),
+e AS (SELECT n.id, CASE WHEN n.p LIKE 't3\\_%' ESCAPE '\\' THEN NULL WHEN n.p LIKE 't1\\_%' ESCAPE '\\' THEN substr(n.p, 4) ELSE n.p END AS up, CASE WHEN n.p LIKE 't3\\_%' ESCAPE '\\' THEN n.p END AS top, n.link FROM n),
+x AS (SELECT e.id, m.id AS up, e.top, e.link FROM e LEFT JOIN n m ON m.id = e.up)"""
+STATES = """ring AS (SELECT src AS id FROM w WHERE src = dst),
+ends AS (SELECT w.src AS id, x.top FROM w JOIN x ON x.id = w.dst WHERE x.up IS NULL UNION ALL SELECT id, top FROM x WHERE up IS NULL),
+states AS (SELECT x.id, CASE WHEN x.id IN (SELECT id FROM ring) THEN 'cycle' WHEN e.id IS NULL THEN 'to_cycle' WHEN e.top IS NULL THEN 'lost' WHEN e.top IS DISTINCT FROM x.link THEN 'wrong_root' END AS state FROM x LEFT JOIN ends e ON e.id = x.id)"""
+
 SQL = {
     "p1_found": f"""
-WITH RECURSIVE n AS (SELECT id, min({REF.format("parent_id")}) AS p, min({REF.format("link_id")}) AS link FROM master_schema_rc WHERE id IS NOT NULL GROUP BY id),
-e AS (SELECT n.id, CASE WHEN n.p LIKE 't3\\_%' ESCAPE '\\' THEN NULL WHEN n.p LIKE 't1\\_%' ESCAPE '\\' THEN substr(n.p, 4) ELSE n.p END AS up, CASE WHEN n.p LIKE 't3\\_%' ESCAPE '\\' THEN n.p END AS top, n.link FROM n),
-x AS (SELECT e.id, m.id AS up, e.top, e.link FROM e LEFT JOIN n m ON m.id = e.up),
+WITH RECURSIVE {LINKS},
+w AS (SELECT id AS src, up AS dst FROM x WHERE up IS NOT NULL UNION SELECT w.src, x.up FROM w JOIN x ON x.id = w.dst WHERE x.up IS NOT NULL),
+{STATES} SELECT id, state FROM states WHERE state IS NOT NULL""",
+    "p1_paths": f"""
+WITH RECURSIVE {LINKS},
 w AS (SELECT id AS src, up AS dst FROM x WHERE up IS NOT NULL UNION SELECT w.src, x.up FROM w JOIN x ON x.id = w.dst WHERE x.up IS NOT NULL),
-ring AS (SELECT src AS id FROM w WHERE src = dst),
-ends AS (SELECT w.src AS id, x.top FROM w JOIN x ON x.id = w.dst WHERE x.up IS NULL UNION ALL SELECT id, top FROM x WHERE up IS NULL)
-SELECT id, 'cycle' AS state FROM ring
-UNION ALL SELECT DISTINCT src, 'to_cycle' FROM w WHERE dst IN (SELECT id FROM ring) AND src NOT IN (SELECT id FROM ring)
-UNION ALL SELECT id, 'lost' FROM ends WHERE top IS NULL
-UNION ALL SELECT ends.id, 'wrong_root' FROM ends JOIN x ON x.id = ends.id WHERE ends.top IS NOT NULL AND ends.top IS DISTINCT FROM x.link""",
+{STATES},
+p AS (SELECT x.id, coalesce(top, x.id) AS root, CASE WHEN top IS NULL THEN 0 ELSE 1 END AS depth, concat_ws('/', top, x.id) AS path FROM x WHERE up IS NULL
+ UNION ALL SELECT id, NULL, NULL, id FROM ring
+ UNION ALL SELECT x.id, p.root, p.depth + 1, p.path || '/' || x.id FROM p JOIN x ON x.up = p.id AND x.id NOT IN (SELECT id FROM ring)),
+b AS (SELECT src AS id, src = min(dst) AS back FROM w WHERE src IN (SELECT id FROM ring) GROUP BY src),
+below AS (SELECT dst AS id, count(*) AS n FROM w GROUP BY dst)
+SELECT p.id, s.state, p.root, CAST(p.depth AS INTEGER) AS depth, coalesce(b.back, FALSE) AS back_edge, p.path, coalesce(below.n, 0) AS n_descendants
+FROM p JOIN states s ON s.id = p.id LEFT JOIN b ON b.id = p.id LEFT JOIN below ON below.id = p.id""",
+    "p1_descendants": f"""
+WITH RECURSIVE {LINKS},
+w AS (SELECT id AS src, up AS dst, 1 AS d, [up] AS seen FROM x WHERE up IS NOT NULL UNION ALL SELECT w.src, x.up, w.d + 1, list_append(w.seen, x.up) FROM w JOIN x ON x.id = w.dst WHERE x.up IS NOT NULL AND NOT list_contains(w.seen, x.up))
+SELECT dst AS ancestor, src AS descendant, CAST(d AS INTEGER) AS distance FROM w
+UNION ALL SELECT x.top, w.src, CAST(w.d + 1 AS INTEGER) FROM w JOIN x ON x.id = w.dst WHERE x.up IS NULL AND x.top IS NOT NULL
+UNION ALL SELECT top, id, 1 FROM x WHERE up IS NULL AND top IS NOT NULL""",
     "p2_found": SESSIONS.format("") + " HAVING count(*) >= 5",
     "p2_sessions": SESSIONS.format("max(t) - min(t) AS duration,"),
     "p3_found": f"""
