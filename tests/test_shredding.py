@@ -3,8 +3,9 @@ import random
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
-from tidewell.operators.shredding import _EL, _parse_deep, assemble, element_objects, flat_table, kind_of, parse, positions, shred, shred_value
+from tidewell.operators.shredding import _EL, _parse_deep, assemble, element_objects, flat_table, kind_of, object_rows, parse, positions, related_tables, shred, shred_value, write_tables
 
 SCHEMA = "id string, extra_json string, path string, kind int"
 
@@ -118,3 +119,27 @@ def test_tables(spark):
     assert rows(flat_table(long, "p", ["id"])) == [("s", "p[0]", "", "1"), ("s", "p[1]", "", "2")]
     assert rows(flat_table(long, "p.o", ["k", "w[1]"])) == [("s", "p[0].o[0]", "p[0]", "a", "2"), ("s", "p[0].o[1]", "p[0]", None, None)]
     assert rows(long.filter("field_path = ''"), "field", "kind", "value") == [("p[2]", "number", "5"), ("t", "string", "x")]
+
+
+def test_chunks_hold_many_records(spark):
+    """A repetition level 0 begins the next record, also where a record's first elements lack the leaf."""
+    texts = ['{"a":[{"b":1},{"b":2}]}', '{"a":[{},{},{"b":3}]}', '{"a":[]}', '{"c":0}', '{"a":[{"b":4}]}']
+    df = spark.createDataFrame([(f"r{k}", t, None, 0) for k, t in enumerate(texts)], SCHEMA).coalesce(1)
+    chunks = shred(df, "id", "extra_json").filter(F.expr("array_join(path, '.', '[]') = 'a.[].b'")).collect()
+    assert len(chunks) == 1 and sorted(chunks[0].ids) == ["r0", "r1", "r4"] and chunks[0].rep.count(0) == 3
+    long = assemble(shred(df, "id", "extra_json"))
+    assert rows(long.filter("field = 'b'"), "id", "node_path", "value") == [("r0", "a[0]", "1"), ("r0", "a[1]", "2"), ("r1", "a[2]", "3"), ("r4", "a[0]", "4")]
+
+
+def test_wide_tables(spark, tmp_path):
+    texts = {"s": '{"t":"x","id":7,"p":[{"id":1,"o":[{"k":"a","K":"b"},{}]},{"id":null}]}', "u": '{"p":[{"q":"r"}]}', "v": "{}"}
+    long = assemble(shred(spark.createDataFrame([(k, v, None, 0) for k, v in texts.items()], SCHEMA), "id", "extra_json"))
+    assert rows(related_tables(long), "field_path", "n_rows", "columns") == [("", 1, ["id", "t"]), ("p", 3, ["id", "q"]), ("p.o", 2, ["K", "k"])]
+    assert sorted(((r.node_path, r.fields) for r in object_rows(long).filter("field_path = 'p'").collect()), key=repr) == [("p[0]", {"id": "1"}), ("p[0]", {"q": "r"}), ("p[1]", {"id": None})]
+    out = write_tables(long, str(tmp_path))
+    p = spark.read.parquet(out["p"])
+    assert p.columns == ["id", "node_path", "parent_path", "_id", "q"] and rows(p) == sorted([("s", "p[0]", "", "1", None), ("s", "p[1]", "", None, None), ("u", "p[0]", "", None, "r")], key=repr)
+    assert rows(spark.read.parquet(out["p.o"]), "id", "node_path", "parent_path", "K", "_k") == sorted([("s", "p[0].o[0]", "p[0]", "b", "a"), ("s", "p[0].o[1]", "p[0]", None, None)], key=repr)
+    same = assemble(shred(spark.createDataFrame([("s", '{"p":[{"a.b":2,"a":{"b":1}},{"a.b":null}]}', None, 0)], SCHEMA), "id", "extra_json"))
+    assert rows(object_rows(same), "node_path", "fields") == [("p[0]", {"a.b": "1"}), ("p[1]", {"a.b": None})]
+    assert write_tables(long.limit(0), str(tmp_path / "none")) == {}

@@ -1,6 +1,7 @@
 """Columnar shredding of irregular JSON, and flat tables rebuilt from it.
 
-A record becomes one column chunk per leaf path, ``[]`` standing for an array's elements. A chunk's entries carry a
+A row group of records becomes one column chunk per leaf path, ``[]`` standing for an array's elements. A chunk has the ids
+of the records that have the leaf; its entries carry a
 repetition level (at which array of the path a new element begins; 0: the record begins), a definition level (how many
 steps of the path are there), a run length, a kind and a value. Elements that lack the leaf are entries of kind
 ``absent``; a run of them is one entry, so a chunk is no longer than what is present. An object that is an array element
@@ -10,6 +11,7 @@ level sequence of the chunk alone, and objects that are array elements form one
 
 from __future__ import annotations
 
+import itertools
 import json
 import re
 from collections.abc import Iterator
@@ -19,6 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 ELEMENT = "[]"
+#: Records and entries of a row group: what a task holds before it gives out chunks.
+GROUP_RECORDS, GROUP_ENTRIES = 2_000, 50_000
 CHUNK = pa.struct([("path", pa.list_(pa.string())), ("rep", pa.list_(pa.int32())), ("def", pa.list_(pa.int32())), ("run", pa.list_(pa.int32())), ("kind", pa.list_(pa.string())), ("value", pa.list_(pa.string()))])
 CHUNK_DDL = "path array<string>, rep array<int>, def array<int>, run array<int>, kind array<string>, value array<string>"
 _TOKEN = re.compile(r'[ \t\r\n]*(?:([\[\]{},:])|("(?:[^"\\\x00-\x1f]|\\.)*")|(-?(?:0|[1-9][0-9]*)(?:\.[0-9]+)?(?:[eE][-+]?[0-9]+)?|true|false|null))')
@@ -197,36 +201,52 @@ def _clean(s: str | None) -> str | None:
 
 
 def _shred(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    group: dict[tuple, tuple[list, list[_Chunk]]] = {}
+    records = entries = 0
+
+    def out(kind: pa.DataType) -> pa.RecordBatch:
+        cols: dict[str, list] = {f.name: [] for f in CHUNK}
+        for path, (_, chunks) in group.items():
+            # A step into an array is null in the stored path: an object's key may read "[]".
+            cols["path"].append([None if s is _EL else _clean(s) for s in path])
+            for name, own in (("rep", "rep"), ("def", "def_"), ("run", "run"), ("kind", "kind")):
+                cols[name].append([x for c in chunks for x in getattr(c, own)])
+            cols["value"].append([_clean(v) for c in chunks for v in c.value])
+        ids = pa.array([own for own, _ in group.values()], pa.list_(kind))
+        return pa.RecordBatch.from_pydict({"ids": ids} | {f.name: pa.array(cols[f.name], f.type) for f in CHUNK})
+
+    kind = None
     for batch in batches:
-        ids, cols = [], {f.name: [] for f in CHUNK}
+        kind = batch["id"].type
         for rid, text in zip(batch["id"].to_pylist(), batch["text"].to_pylist(), strict=True):
             ok, value = parse(text)
             if not ok:
                 continue
+            records += 1
             for c in shred_value(value):
+                ids, chunks = group.setdefault(c.path, ([], []))
                 ids.append(rid)
-                # A step into an array is null in the stored path: an object's key may read "[]".
-                cols["path"].append([None if s is _EL else _clean(s) for s in c.path])
-                for name, own in (("rep", c.rep), ("def", c.def_), ("run", c.run), ("kind", c.kind)):
-                    cols[name].append(own)
-                cols["value"].append([_clean(v) for v in c.value])
-            if len(ids) > 20_000:
-                yield pa.RecordBatch.from_pydict({"id": pa.array(ids, batch["id"].type)} | {f.name: pa.array(cols[f.name], f.type) for f in CHUNK})
-                ids, cols = [], {f.name: [] for f in CHUNK}
-        yield pa.RecordBatch.from_pydict({"id": pa.array(ids, batch["id"].type)} | {f.name: pa.array(cols[f.name], f.type) for f in CHUNK})
+                chunks.append(c)
+                entries += len(c.rep)
+            if records >= GROUP_RECORDS or entries >= GROUP_ENTRIES:
+                yield out(kind)
+                group.clear()
+                records = entries = 0
+    if group:
+        yield out(kind)
 
 
 def shred(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """One row per record and leaf path: id, path (null: a step into an array), rep, def, run, kind, value (arrays).
+    """One row per row group and leaf path: ids, path (null: a step into an array), rep, def, run, kind, value (arrays).
 
-    Repeated rows of an id and text count once. Null, empty and invalid texts give nothing; a text whose top level is a
+    ids are those of the records with the leaf, in order: each repetition level 0 begins the next one. Repeated rows of an id and text count once. Null, empty and invalid texts give nothing; a text whose top level is a
     string is read as the JSON in that string. Of keys repeated in an object the last holds. Numbers keep their writing;
     kinds are object, array, null, boolean, number and string, and the first two have no value. An empty object or
     array is a leaf. Other columns of df are ignored.
     """
     id_type = df.schema[id_col].dataType.simpleString()
     rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).filter("text IS NOT NULL").distinct()
-    return rows.mapInArrow(_shred, f"id {id_type}, {CHUNK_DDL}")
+    return rows.mapInArrow(_shred, f"ids array<{id_type}>, {CHUNK_DDL}")
 
 
 def _spell(path: list, pos: tuple) -> str:
@@ -245,6 +265,7 @@ def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: dict[str, list] = {k: [] for k in ("id", "field_path", "node_path", "parent_path", "field", "kind", "value")}
         for row in batch.to_pylist():
             path, rep, run, kind, value = (row[k] for k in ("path", "rep", "run", "kind", "value"))
+            record = list(itertools.accumulate(int(r == 0) for r in rep))  # of which record, from 1, an entry is
             arrays = [i for i, s in enumerate(path) if s is None]
             # An element whose next step is a key is an object; one whose next step is an element is an array.
             owners = [i for i in arrays if i + 1 < len(path) and path[i + 1] is not None]
@@ -257,14 +278,14 @@ def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     field = _spell(path[cut_at:], pos[sum(i < cut_at for i in arrays) :])
                 above = [i for i in owners if i + 1 < cut_at]
                 up = above[-1] + 1 if above else 0
-                out["id"].append(row["id"])
+                out["id"].append(row["ids"][record[e] - 1])
                 out["field_path"].append(".".join(s for s in path[:cut_at] if s is not None))
                 out["node_path"].append(_spell(path[:cut_at], pos))
                 out["parent_path"].append(_spell(path[:up], pos))
                 out["field"].append(field)
                 out["kind"].append(kind[e])
                 out["value"].append(value[e])
-        yield pa.RecordBatch.from_pydict({"id": pa.array(out["id"], batch["id"].type)} | {k: pa.array(v, pa.string()) for k, v in out.items() if k != "id"})
+        yield pa.RecordBatch.from_pydict({"id": pa.array(out["id"], batch["ids"].type.value_type)} | {k: pa.array(v, pa.string()) for k, v in out.items() if k != "id"})
 
 
 def assemble(chunks: DataFrame) -> DataFrame:
@@ -274,7 +295,7 @@ def assemble(chunks: DataFrame) -> DataFrame:
     belong to the innermost such object around them, or to the submission's own table (empty paths). Everything follows
     from the level sequences, chunk by chunk, without a shuffle.
     """
-    id_type = chunks.schema["id"].dataType.simpleString()
+    id_type = chunks.schema["ids"].dataType.elementType.simpleString()
     return chunks.mapInArrow(_assemble, f"id {id_type}, field_path string, node_path string, parent_path string, field string, kind string, value string")
 
 
@@ -288,3 +309,46 @@ def flat_table(long: DataFrame, field_path: str, fields: list[str]) -> DataFrame
     """One wide table: the objects at ``field_path`` with the given fields as text columns, null where absent."""
     rows = long.filter(F.col("field_path") == field_path)
     return rows.groupBy("id", "node_path", "parent_path").agg(*[F.max(F.when(F.col("field") == f, F.col("value"))).alias(f) for f in fields])
+
+
+def object_rows(long: DataFrame) -> DataFrame:
+    """One row per object that is an array element, and per record with fields of its own: id, field_path, node_path, parent_path, fields.
+
+    fields maps each field to its value as text (null for a null, an empty object or array). A record is a row of the table
+    with an empty path. Of fields that are spelled the same (a key ``a.b``, and b in a) the one with the least value
+    counts. The fields of one object are all that a group holds.
+    """
+    own = F.array_sort(F.collect_list(F.when(F.col("field").isNotNull(), F.struct("field", "value"))))
+    grouped = long.groupBy("id", "field_path", "node_path", "parent_path").agg(own.alias("own"))
+    once = F.filter("own", lambda x, i: ~x.field.eqNullSafe(F.get(F.col("own"), i - 1)["field"]))
+    return grouped.select("id", "field_path", "node_path", "parent_path", F.map_from_entries(once).alias("fields"))
+
+
+def related_tables(long: DataFrame) -> DataFrame:
+    """The tables there are: field_path, n_rows and columns, the fields of their objects in order."""
+    fields = long.groupBy("field_path").agg(F.array_sort(F.collect_set("field")).alias("columns"))
+    rows = long.filter("field IS NULL OR field_path = ''").groupBy("field_path").agg(F.count_distinct("id", "node_path").alias("n_rows"))
+    return fields.join(rows, "field_path", "left").select("field_path", F.coalesce("n_rows", F.lit(0)).alias("n_rows"), "columns")
+
+
+def write_tables(long: DataFrame, folder: str) -> dict[str, str]:
+    """Writes each related table as wide Parquet, one text column per field; gives the folder of each field_path.
+
+    The list of tables and their columns, which follows the shape of the records and not their number, is collected. A
+    table's columns are id, node_path, parent_path and its fields; a field with such a name gets an underscore before it.
+    Other field names than letters, digits and ``_`` are kept as they are: Parquet takes any. ``long`` is read once per table.
+    """
+    out = {}
+    for k, t in enumerate(related_tables(long).orderBy("field_path").collect()):
+        path = f"{folder.rstrip('/')}/table={k:04d}"
+        rows = object_rows(long.filter(F.col("field_path") == t["field_path"]))
+        seen, columns = {"id", "node_path", "parent_path"}, []
+        for f in t["columns"]:
+            name = f
+            while name.lower() in seen:
+                name = "_" + name
+            seen.add(name.lower())
+            columns.append(F.try_element_at("fields", F.lit(f)).alias(name))
+        rows.select("id", "node_path", "parent_path", *columns).write.mode("overwrite").option("compression", "zstd").parquet(path)
+        out[t["field_path"]] = path
+    return out

@@ -9,7 +9,7 @@ from tidewell.functions.reading import known_author, seconds, utc_day
 from tidewell.operators.hierarchy import descendants, hierarchy
 from tidewell.operators.quality import CountStore, load_changes, numeric_columns, profile_history, stated_deltas, value_counts
 from tidewell.operators.sessions import sessions
-from tidewell.operators.shredding import assemble, element_objects, shred
+from tidewell.operators.shredding import assemble, element_objects, object_rows, related_tables, shred
 from tidewell.operators.skewed import key_profile, middle_ids
 from tidewell.session import scratch, tune
 
@@ -75,6 +75,18 @@ def p4_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assemble(shred(table(spark, sf_dir, "master_schema_rs"), "id", "extra_json")).distinct()
 
 
+def p4_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per object of each related table, with its own fields in order as one text."""
+    rows = object_rows(p4_tables(spark, sf_dir))
+    text = F.array_join(F.transform(F.map_entries("fields"), lambda e: F.concat(e.key, F.lit("="), F.coalesce(e.value, F.lit("null")))), "; ")
+    return rows.select("id", "field_path", "node_path", "parent_path", text.alias("fields"))
+
+
+def p4_schemas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The related tables with their numbers of rows and columns."""
+    return related_tables(p4_tables(spark, sf_dir)).select("field_path", "n_rows", F.size("columns").alias("n_columns"))
+
+
 MONTH = r"^new-(R[CS])_(\d{4}-\d{2})_(\d+)\.parquet$"
 
 
@@ -126,7 +138,7 @@ def p5_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.withColumns({c: bare(c) for c in ("least", "most")})
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_paths, p1_descendants, p2_found, p2_sessions, p3_found, p3_profiles, p4_found, p4_tables, p5_found, p5_profile)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_paths, p1_descendants, p2_found, p2_sessions, p3_found, p3_profiles, p4_found, p4_tables, p4_rows, p4_schemas, p5_found, p5_profile)}
 
 SEC = "CASE WHEN created_utc > 100000000000 THEN created_utc // 1000 ELSE created_utc END"
 DAY = "strftime(DATE '1970-01-01' + CAST(t // 86400 AS INTEGER), '%Y-%m-%d')"
@@ -145,6 +157,19 @@ STATES = """ring AS (SELECT src AS id FROM w WHERE src = dst),
 ends AS (SELECT w.src AS id, x.top FROM w JOIN x ON x.id = w.dst WHERE x.up IS NULL UNION ALL SELECT id, top FROM x WHERE up IS NULL),
 states AS (SELECT x.id, CASE WHEN x.id IN (SELECT id FROM ring) THEN 'cycle' WHEN e.id IS NULL THEN 'to_cycle' WHEN e.top IS NULL THEN 'lost' WHEN e.top IS DISTINCT FROM x.link THEN 'wrong_root' END AS state FROM x LEFT JOIN ends e ON e.id = x.id)"""
 
+# Children of objects and arrays, level by level. own is the innermost object around that is an array element (own_fp its
+# field path, above the one around it), rel the path from there, el whether the value is such an object itself.
+NODES = """t AS (SELECT DISTINCT id, CASE WHEN json_type(extra_json) = 'VARCHAR' THEN json_extract_string(extra_json, '$') ELSE extra_json END AS x FROM master_schema_rs WHERE extra_json IS NOT NULL AND json_valid(extra_json)),
+n AS (SELECT id, CAST(x AS JSON) AS j, '' AS fp, '' AS np, '' AS own_fp, '' AS own, '' AS above, '' AS rel, FALSE AS el, 0 AS depth FROM t WHERE json_valid(x)
+ UNION ALL SELECT id, value, nfp, nnp, CASE WHEN isel THEN nfp ELSE own_fp END, CASE WHEN isel THEN nnp ELSE own END, CASE WHEN isel THEN own ELSE above END, CASE WHEN isel THEN '' ELSE nrel END, isel, depth + 1 FROM (
+  SELECT n.*, e.value, arr AND e.type = 'OBJECT' AS isel, CASE WHEN arr THEN fp WHEN fp = '' THEN e.key ELSE fp || '.' || e.key END AS nfp,
+   CASE WHEN arr THEN np || '[' || e.key || ']' WHEN np = '' THEN e.key ELSE np || '.' || e.key END AS nnp, CASE WHEN arr THEN rel || '[' || e.key || ']' WHEN rel = '' THEN e.key ELSE rel || '.' || e.key END AS nrel
+  FROM (SELECT *, json_type(j) = 'ARRAY' AS arr FROM n WHERE json_type(j) IN ('OBJECT', 'ARRAY')) n, json_each(n.j) e)),
+long AS (SELECT DISTINCT id, own_fp AS field_path, own AS node_path, above AS parent_path, CASE WHEN NOT el THEN rel END AS field,
+  CASE json_type(j) WHEN 'OBJECT' THEN 'object' WHEN 'ARRAY' THEN 'array' WHEN 'VARCHAR' THEN 'string' WHEN 'BOOLEAN' THEN 'boolean' WHEN 'NULL' THEN 'null' ELSE 'number' END AS kind,
+  CASE WHEN json_type(j) NOT IN ('OBJECT', 'ARRAY', 'NULL') THEN json_extract_string(j, '$') END AS value
+ FROM n WHERE el OR depth > 0 AND (json_type(j) NOT IN ('OBJECT', 'ARRAY') OR CAST(j AS VARCHAR) IN ('{}', '[]')))"""
+
 SQL = {
     "p1_found": f"""
 WITH RECURSIVE {LINKS},
@@ -180,6 +205,10 @@ WITH r AS (SELECT DISTINCT 'author' AS field, author AS key_value, subreddit AS
 v AS (SELECT field, key_value, other, count(*) AS n FROM r GROUP BY ALL),
 o AS (SELECT *, row_number() OVER (PARTITION BY field, key_value ORDER BY (other IS NULL), n DESC, other) AS k FROM v)
 SELECT field, key_value, CAST(sum(n) AS BIGINT) AS n_rows, count(other) AS n_values, max(CASE WHEN k = 1 THEN other END) AS top_value, max(CASE WHEN k = 1 AND other IS NOT NULL THEN n END) AS top_n FROM o GROUP BY ALL""",
+    "p4_found": f"WITH RECURSIVE {NODES} SELECT DISTINCT id, field_path, node_path, parent_path FROM long WHERE field IS NULL",
+    "p4_tables": f"WITH RECURSIVE {NODES} SELECT * FROM long",
+    "p4_rows": f"WITH RECURSIVE {NODES} SELECT id, field_path, node_path, parent_path, coalesce(string_agg(field || '=' || coalesce(value, 'null'), '; ' ORDER BY field) FILTER (field IS NOT NULL), '') AS fields FROM long GROUP BY ALL",
+    "p4_schemas": f"WITH RECURSIVE {NODES} SELECT field_path, count(DISTINCT struct_pack(id, node_path)) FILTER (field IS NULL OR field_path = '') AS n_rows, CAST(count(DISTINCT field) AS INTEGER) AS n_columns FROM long GROUP BY field_path",
     "p5_found": r"""
 WITH l AS (SELECT filename, row_count, column_stats, row_number() OVER (PARTITION BY filename ORDER BY TRY_CAST(replace(replace(replace(last_modified, 'T', ' '), 'Z', ''), '+00:00', '') AS TIMESTAMP) DESC NULLS LAST) AS k FROM manifest WHERE column_stats IS NOT NULL),
 s AS (SELECT filename, row_count, column_stats, regexp_extract(filename, '^new-(R[CS])_(\d{4}-\d{2})_(\d+)', 1) || regexp_extract(filename, '^new-(R[CS])_(\d{4}-\d{2})_(\d+)', 3) AS series, regexp_extract(filename, '^new-(R[CS])_(\d{4}-\d{2})_(\d+)', 2) AS month FROM l WHERE k = 1),
