@@ -6,6 +6,8 @@ from conftest import rows
 
 from tidewell import api
 from tidewell.__main__ import main
+from tidewell.sources import store
+from tidewell.sources.archives import read_zstd, write_zstd
 
 
 def test_tasks(spark, tmp_path):
@@ -41,4 +43,69 @@ def test_command_line(spark, capsys, tmp_path):
     (tmp_path / "a.toml").write_text('[paths]\na = 1\nb = 2\n')
     (tmp_path / "b.toml").write_text('[paths]\nb = 3\n[more]\nc = 4\n')
     assert api.settings(str(tmp_path / "a.toml"), str(tmp_path / "b.toml"), str(tmp_path / "none.toml")) == {"paths": {"a": 1, "b": 3}, "more": {"c": 4}}
-    assert api.write_text(spark, str(tmp_path / "c"), "1") and not api.write_text(spark, str(tmp_path / "c"), "2", replace=False) and (tmp_path / "c").read_text() == "1"
+    assert store.write_text(spark, str(tmp_path / "c"), "1") and not store.write_text(spark, str(tmp_path / "c"), "2", replace=False) and (tmp_path / "c").read_text() == "1"
+    assert store.write_text(spark, str(tmp_path / "c"), "3") and store.read_text(spark, str(tmp_path / "c")) == "3" and [p.name for p in tmp_path.glob("c*")] == ["c"] and store.read_text(spark, str(tmp_path / "none")) is None
+
+
+def test_one_claim_of_many(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(8) as pool:
+        got = list(pool.map(lambda k: store.claim(spark, str(tmp_path / "x.claim.json"), str(k)), range(16)))
+    assert got.count(True) == 1 and (tmp_path / "x.claim.json").read_text() == str(got.index(True))
+
+
+def test_paths_stay_inside(tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "link").symlink_to(tmp_path)
+    base = str(tmp_path / "in")
+    assert store.contained(base, "/a/../b") == f"{base}/b" and store.contained(base, "") == base and store.contained("hdfs://h/x", "y/z") == "hdfs://h/x/y/z"
+    for bad in ("..", "a/../../b", "/../x", "link/x"):
+        with pytest.raises(ValueError):
+            store.contained(base, bad)
+    with pytest.raises(ValueError):
+        store.contained("hdfs://h/x", "../y")
+
+
+def test_archives_written_and_read(spark, tmp_path):
+    lines = [(f"RC_2005-0{k % 3 + 1}.zst", f"line {k} é") for k in range(500)]
+    wrote = write_zstd(spark.createDataFrame(lines, "name string, value string").repartition(4), str(tmp_path))
+    assert rows(wrote) == [("RC_2005-01.zst", 167), ("RC_2005-02.zst", 167), ("RC_2005-03.zst", 166)] and sorted(p.name for p in tmp_path.iterdir()) == [n for n, _ in rows(wrote)]
+    files = spark.createDataFrame([(str(p),) for p in tmp_path.iterdir()], "path string")
+    assert sorted(r.value for r in read_zstd(files).collect()) == sorted(v for _, v in lines)
+    assert read_zstd(files, first_lines=2).count() == 6
+
+
+def test_conversion_of_many_archives(spark, tmp_path, monkeypatch):
+    """Each archive is decoded once; empty and all-bad ones become empty tables; a test run takes the first lines."""
+    src = tmp_path / "in"
+    line = lambda k: json.dumps({"id": f"i{k}", "author": f"a{k % 3}", "created_utc": k})
+    data = [("RC_2005-01.zst", line(k)) for k in range(30)] + [("RC_2005-02.zst", "bad"), ("RC_2005-02.zst", "[1]")] + [("RS_2005-01.zst", line(k)) for k in range(5)]
+    write_zstd(spark.createDataFrame(data, "name string, value string"), str(src))
+    write_zstd(spark.createDataFrame([("RC_2005-03.zst", "")], "name string, value string"), str(src))
+    calls, stored = [], []
+    real, real_cut = api.read_zstd, api.cut
+    monkeypatch.setattr(api, "read_zstd", lambda files, **k: calls.append(sorted(r.path.split("/")[-1] for r in files.collect())) or real(files, **k))
+    monkeypatch.setattr(api, "cut", lambda df: stored.append(df) or real_cut(df))
+    got = api.convert(spark, str(src), str(tmp_path / "out"))
+    assert sorted((s["table"], s["rows"], s["bad"]) for s in got) == [("new-RC_2005-01.parquet", 30, 0), ("new-RC_2005-02.parquet", 0, 2), ("new-RC_2005-03.parquet", 0, 0), ("new-RS_2005-01.parquet", 5, 0)]
+    assert calls == [["RC_2005-01.zst", "RC_2005-02.zst", "RC_2005-03.zst"], ["RS_2005-01.zst"]] and len(stored) == 2
+    assert sorted(p.name for p in (tmp_path / "out").iterdir() if not p.name.endswith(".json")) == ["new-RC_2005-01.parquet", "new-RC_2005-02.parquet", "new-RC_2005-02.parquet.bad", "new-RC_2005-03.parquet", "new-RS_2005-01.parquet"]
+    assert rows(api.verify(spark, str(tmp_path / "out")), "status") == [("ok",)] * 4
+    t = spark.read.parquet(str(tmp_path / "out" / "new-RC_2005-01.parquet")).select("author", "created_utc").collect()
+    assert [tuple(r) for r in t] == sorted((f"a{k % 3}", k) for k in range(30))
+    assert api.convert(spark, str(src), str(tmp_path / "test"), only="RC_2005-01.zst", first_lines=4)[0]["rows"] == 4
+
+
+def test_types_that_differ_between_files(spark, tmp_path):
+    """A table whose files have two types of a column, or lack one, fails, every time."""
+    from tidewell.schema import master_schema
+
+    table = tmp_path / "new-RC_2005-01.parquet"
+    whole = spark.createDataFrame([], master_schema("rc"))
+    whole.coalesce(1).write.parquet(str(table / "a"))
+    whole.withColumn("score", whole["score"].cast("string")).drop("body").coalesce(1).write.parquet(str(table / "b"))
+    store.write_text(spark, f"{table}.manifest.json", json.dumps({"filename": table.name, "schema": {f.name: f.dataType.simpleString() for f in whole.schema}}))
+    for _ in range(2):
+        got = api.verify(spark, str(tmp_path)).first()
+        assert got.status == "failed" and "several types: score" in got.errors and "not in all files: body" in got.errors

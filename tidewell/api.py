@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 import tomllib
+import uuid
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,68 +13,83 @@ from pyspark.sql import functions as F
 
 from tidewell.functions import formats as fm
 from tidewell.operators import audit, fleet, layout, profiling
-from tidewell.operators.normalize import normalize, parse, quarantine
+from tidewell.operators.normalize import BAD, split
 from tidewell.schema import master_schema
-from tidewell.session import tune
+from tidewell.session import cut, tune
+from tidewell.sources import store
 from tidewell.sources.archives import CLAIM, MANIFEST, catalog, footers, read_json_files, read_lines, read_zstd, spread
 
 
-def _file_system(spark: SparkSession, path: str):
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
-
-
-def write_text(spark: SparkSession, path: str, text: str, *, replace: bool = True) -> bool:
-    """Writes a small file beside the tables, at once: under another name first, then renamed. False if it may not be replaced."""
-    fs, where = _file_system(spark, path)
-    if not replace and fs.exists(where):
-        return False
-    part = spark._jvm.org.apache.hadoop.fs.Path(path + ".part")
-    out = fs.create(part, True)
-    out.write(bytearray(text.encode()))
-    out.close()
-    if fs.exists(where):
-        fs.delete(where, False)
-    return bool(fs.rename(part, where))
-
-
-def convert(spark: SparkSession, source: str, out: str, *, only: str | None = None, force: bool = False, partitions: int | None = None) -> list[dict]:
+def convert(spark: SparkSession, source: str, out: str, *, only: str | None = None, force: bool = False, partitions: int | None = None, first_lines: int | None = None) -> list[dict]:
     """Brings every archive of a folder to a sorted wide table with a manifest; returns a summary of each.
 
     Archives that have a manifest are left out unless ``force``, which needs ``only``, the name of one archive. Lines that
-    hold no JSON object go to ``<table>.bad``; good and bad ones together must be the archive's lines that aren't blank.
-    The list of archives is small; the rows of each stay in the executors. Reading plain or gzip text works as well.
+    hold no JSON object go to ``<table>.bad``, where there are any; good and bad ones together must be the archive's lines
+    that aren't blank. ``first_lines`` makes a test run of the first lines of each archive. All archives of a kind are
+    decoded and parsed at once and once, into a stored table from which the sorted tables, the bad lines and the column
+    counts are made; what reaches the driver are names and counts, a row for each archive. Plain and gzip text works too.
     """
     if force and not only:
         raise ValueError("force needs the name of one archive")
     tune(spark)
-    done = {r["name"] for r in catalog(spark, out).filter("group = 'manifest'").collect()} if _file_system(spark, out)[0].exists(_file_system(spark, out)[1]) else set()
+    done = {r["name"] for r in catalog(spark, out).filter("group = 'manifest'").collect()} if store.exists(spark, out) else set()
     files = catalog(spark, source).filter("kind IS NOT NULL AND (group = 'archive' OR name RLIKE '[.](json|jsonl|txt)([.]gz)?$')").orderBy("size", "name").collect()
+    todo = [f.asDict() | {"table": f"new-{f['name'].split('.')[0]}.parquet"} for f in files]
+    todo = [f for f in todo if (not only or f["name"] == only) and (force or f"{f['table']}.manifest.json" not in done)]
+    twice = {f["table"] for f in todo if sum(g["table"] == f["table"] for g in todo) > 1}
+    if twice:
+        raise ValueError(f"several archives would become {', '.join(sorted(twice))}")
+    return [s for kind in ("rc", "rs") for s in _convert_kind(spark, [f for f in todo if f["kind"] == kind], kind, out.rstrip("/"), partitions, first_lines)]
+
+
+def _convert_kind(spark: SparkSession, files: list[dict], kind: str, out: str, partitions: int | None, first_lines: int | None) -> list[dict]:
+    if not files:
+        return []
+    zstd, plain = ([f for f in files if (f["group"] == "archive") == z] for z in (True, False))
+    names = spark.createDataFrame([(f["path"], f["table"]) for f in files], "path string, _table string")
+    lines = read_zstd(names.filter(F.col("path").isin([f["path"] for f in zstd])), first_lines=first_lines) if zstd else None
+    for f in plain:
+        text = read_lines(spark, f["path"]).select(F.lit(f["path"]).alias("path"), "value")
+        text = text if first_lines is None else text.limit(first_lines)
+        lines = text if lines is None else lines.unionByName(text)
+    lines = (lines.repartition(partitions) if partitions else spread(lines)).join(F.broadcast(names), "path")
+    staged = cut(split(lines, kind, ["_table"]))
+    good, schema = staged.filter(f"{BAD} IS NULL").drop(BAD), master_schema(kind)
+    counts = staged.groupBy("_table").agg(F.count("*").alias("n_lines"), F.count(BAD).alias("n_bad"), *[F.count(c).alias(f"_{i}") for i, c in enumerate(schema.names)])
+    counts = {r["_table"]: r for r in counts.collect()}
+    part = f"{out}/.part-{uuid.uuid4().hex}"
+    order = [F.col("_table"), *layout.order()]
+    layout.write_table(good.repartitionByRange(*order).sortWithinPartitions(*order), f"{part}/rows", partition_by=["_table"])
+    staged.filter(f"{BAD} IS NOT NULL").select(F.col(BAD).alias("value"), "_table").write.partitionBy("_table").text(f"{part}/bad")
     summaries = []
     for f in files:
-        table = f"new-{f['name'].split('.')[0]}.parquet"
-        if only and f["name"] != only or not force and f"{table}.manifest.json" in done:
-            continue
-        one = spark.createDataFrame([(f["path"],)], "path string")
-        lines = read_zstd(one).select("value") if f["group"] == "archive" else read_lines(spark, f["path"])
-        lines = lines.repartition(partitions) if partitions else spread(lines)
-        path = f"{out.rstrip('/')}/{table}"
-        layout.write_table(layout.sort_global(normalize(lines, f["kind"])), path, mode="overwrite")
-        quarantine(parse(lines, master_schema(f["kind"]))).write.mode("overwrite").text(f"{path}.bad")
-        wide = spark.read.parquet(path)
-        n_lines = lines.filter(F.trim("value") != "").count()
-        stats = audit.full_manifest(wide).first()
-        bad = spark.read.text(f"{path}.bad").count()
-        if stats["row_count"] + bad != n_lines:
-            raise ValueError(f"{f['name']}: {n_lines} lines gave {stats['row_count']} rows and {bad} bad lines")
-        size = catalog(spark, path, "*.parquet").agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+        table, c = f["table"], counts.get(f["table"])
+        path = store.contained(out, table)
+        for was, now in ((f"{part}/rows/_table={table}", path), (f"{part}/bad/_table={table}", f"{path}.bad")):
+            if store.exists(spark, was):
+                store.move_folder(spark, was, now)
+        if c is None or c["n_lines"] == c["n_bad"]:
+            layout.write_table(spark.createDataFrame([], schema), path, mode="overwrite")
+        summaries.append({"archive": f["name"], "table": table, "path": path, "counts": c})
+    fs, where = store.file_system(spark, part)
+    fs.delete(where, True)
+    have = catalog(spark, [s["path"] for s in summaries], "*.parquet")
+    read = footers(have).join(have.select("path", "size"), "path").select("path", "n_rows", "size").distinct().withColumn("_table", F.regexp_extract("path", r"/(new-[^/]*\.parquet)/", 1))
+    read = {r["_table"]: r for r in read.groupBy("_table").agg(F.sum("n_rows").alias("n"), F.sum("size").alias("size")).collect()}
+    rows = []
+    for s in summaries:
+        c, r = s.pop("counts"), read[s["table"]]
+        n, bad = (c["n_lines"], c["n_bad"]) if c else (0, 0)
+        if r["n"] + bad != n:
+            raise ValueError(f"{s['archive']}: {n} lines gave {r['n']} rows and {bad} bad lines")
+        stats = {x: {"count": c[f"_{i}"] if c else 0, "usage_ratio": round(c[f"_{i}"] / r["n"], 4) if r["n"] else 0.0} for i, x in enumerate(schema.names)}
         manifest = {
-            "filename": table, "file_size": size, "last_modified": dt.datetime.now(dt.UTC).strftime("%Y-%m-%dT%H:%M:%SZ"), "row_count": stats["row_count"], "conversion_method": "spark",
-            "schema": {x.name: x.dataType.simpleString() for x in wide.schema}, "column_stats": {k: v.asDict() for k, v in stats["column_stats"].items()},
+            "filename": s["table"], "file_size": r["size"], "last_modified": dt.datetime.now(dt.UTC).strftime("%Y-%m-%dT%H:%M:%SZ"), "row_count": r["n"], "conversion_method": "spark",
+            "schema": {x.name: x.dataType.simpleString() for x in schema}, "column_stats": stats,
         }
-        write_text(spark, f"{path}.manifest.json", json.dumps(manifest))
-        summaries.append({"archive": f["name"], "table": table, "rows": stats["row_count"], "bad": bad})
-    return summaries
+        store.write_text(spark, f"{s.pop('path')}.manifest.json", json.dumps(manifest))
+        rows.append(s | {"rows": r["n"], "bad": bad})
+    return rows
 
 
 def _table_files(spark: SparkSession, folder: str) -> DataFrame:
@@ -92,8 +108,7 @@ def verify(spark: SparkSession, folder: str, *, offset: int = 0, limit: int | No
     page = files.select("table").distinct().orderBy("table").offset(offset)
     page = page if limit is None else page.limit(limit)
     chosen = files.join(page, "table")
-    rows = footers(chosen).join(chosen.select("path", "table"), "path").drop("path").withColumn("path", F.concat(F.lit("/"), "table"))
-    types = audit.table_types(rows.dropDuplicates(["path", "column_name"]))
+    types = audit.table_types(footers(chosen).join(chosen.select("path", "table"), "path"), "table")
     m = read_json_files(spark, f"{folder.rstrip('/')}/*.manifest.json", MANIFEST)
     named = F.coalesce("schema", F.map_from_arrays("columns", F.transform("columns", lambda _: F.lit(""))), F.transform_values("column_stats", lambda _k, _v: F.lit("")))
     arrow = F.transform_values(named, lambda _k, t: F.when(t == "bigint", "int64").when(t == "boolean", "bool").otherwise(t))

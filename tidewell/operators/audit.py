@@ -38,8 +38,11 @@ def verify(tables: DataFrame, manifests: DataFrame) -> DataFrame:
 
     ``tables`` has filename and types, a map of column to type from its footer, or null where that couldn't be read;
     ``manifests`` has filename and types as stated, of types null where a manifest knows only names. Tables of no known
-    kind are skipped. A table without a manifest fails, and one with neither footer nor manifest as well.
+    kind are skipped. A table without a manifest fails, and one with neither footer nor manifest as well. conflicts and
+    partial (see :func:`table_types`), where ``tables`` has them, are errors.
     """
+    for c in ("conflicts", "partial"):
+        tables = tables if c in tables.columns else tables.withColumn(c, F.array().cast("array<string>"))
     m = manifests.select("filename", F.col("types").alias("stated"), F.lit(True).alias("has"))
     t = tables.join(m, "filename", "left").withColumn("kind", record_kind(F.col("filename")))
     columns, stated, master = F.map_keys("types"), F.map_keys("stated"), master_columns(F.col("kind"))
@@ -58,6 +61,8 @@ def verify(tables: DataFrame, manifests: DataFrame) -> DataFrame:
             F.when(footer, _missing(F.array_sort(F.array_except(columns, stated)), "not in the manifest")),
             F.when(footer, _missing(F.array_sort(F.array_except(stated, columns)), "only in the manifest")),
             F.when(footer, _missing(differing, "other types in the manifest")),
+            F.when(footer, _missing(F.col("conflicts"), "several types")),
+            F.when(footer, _missing(F.col("partial"), "not in all files")),
             F.when(footer & (F.col("types")["edited"] != "int64"), F.concat(F.lit("edited must be int64, is "), F.col("types")["edited"])),
         )
     )
@@ -71,10 +76,19 @@ def tally(verified: DataFrame) -> DataFrame:
     return verified.groupBy("status").agg(F.count("*").alias("n")).unionByName(verified.agg(F.lit("total").alias("status"), F.count("*").alias("n")))
 
 
-def table_types(footers: DataFrame) -> DataFrame:
-    """filename and types (null if the footer couldn't be read) from rows of footers."""
-    pairs = F.collect_list(F.when(F.col("column_name").isNotNull(), F.struct("column_name", "type")))
-    return footers.groupBy("path").agg(pairs.alias("p"), F.max("error").alias("e")).select(F.element_at(F.split("path", "/"), -1).alias("filename"), F.when(F.col("e").isNull(), F.map_from_entries("p")).alias("types"))
+def table_types(footers: DataFrame, by: str = "path") -> DataFrame:
+    """filename, types (null if a footer couldn't be read), conflicts and partial from rows of footers.
+
+    A table is one file or, with ``by``, all files of one name in that column. conflicts are the columns that have several
+    types in its files, of which types gives all; partial those that some of its files lack.
+    """
+    each = footers.groupBy(by, "column_name").agg(F.array_sort(F.collect_set("type")).alias("kinds"), F.count_distinct("path").alias("n"), F.max("error").alias("e"))
+    files = footers.groupBy(by).agg(F.count_distinct("path").alias("n_files"))
+    there = F.col("column_name").isNotNull()
+    names = lambda c: F.array_sort(F.collect_list(F.when(there & c, F.col("column_name"))))
+    pairs = F.collect_list(F.when(there, F.struct("column_name", F.array_join("kinds", " and ").alias("type"))))
+    one = each.join(files, by).groupBy(by).agg(pairs.alias("p"), F.max("e").alias("e"), names(F.size("kinds") > 1).alias("conflicts"), names(F.col("n") < F.col("n_files")).alias("partial"))
+    return one.select(F.element_at(F.split(by, "/"), -1).alias("filename"), F.when(F.col("e").isNull(), F.map_from_entries("p")).alias("types"), "conflicts", "partial")
 
 
 def build_manifests(footers: DataFrame, sizes: DataFrame) -> DataFrame:

@@ -23,8 +23,8 @@ def _read_as(f: T.StructField) -> T.DataType:
     return T.StringType() if f.name != "edited" and isinstance(f.dataType, (T.StringType, T.LongType, T.BooleanType)) else T.VariantType()
 
 
-def parse(lines: DataFrame, schema: T.StructType, text: str = "value") -> DataFrame:
-    """text, record and rest of lines, for tables of the given schema.
+def parse(lines: DataFrame, schema: T.StructType, text: str = "value", keep: list[str] | None = None) -> DataFrame:
+    """text, record and rest of lines, for tables of the given schema, after the columns to ``keep``.
 
     record has the schema's fields as they are read and is null for lines that hold no JSON object; rest names the fields
     that the schema doesn't have. Blank and null lines are skipped. Of repeated keys the last holds.
@@ -34,9 +34,9 @@ def parse(lines: DataFrame, schema: T.StructType, text: str = "value") -> DataFr
     raw = F.from_json(text, T.StructType([*fields, T.StructField(BAD, T.StringType())]), {"columnNameOfCorruptRecord": BAD})
     # A filter on the outcome would be pushed below the parse and repeat it; a generator keeps it in one place.
     once = F.explode(F.array(F.struct(raw.alias("r"), F.array_except(F.json_object_keys(text), known).alias("rest")))).alias("p")
-    rows = lines.filter(F.trim(F.col(text)) != "").select(F.col(text).alias("text"), once)
+    rows = lines.filter(F.trim(F.col(text)) != "").select(*(keep or []), F.col(text).alias("text"), once)
     good = F.col("p.rest").isNotNull() & F.col(f"p.r.{BAD}").isNull()
-    return rows.select("text", F.when(good, F.col("p.r")).alias("record"), F.col("p.rest").alias("rest"))
+    return rows.select(*(keep or []), "text", F.when(good, F.col("p.r")).alias("record"), F.col("p.rest").alias("rest"))
 
 
 def quarantine(parsed: DataFrame) -> DataFrame:
@@ -63,11 +63,8 @@ def _flat(s: Column, f: T.StructField) -> Column:
     return F.when(s.isNull(), None).otherwise(F.coalesce(s.try_cast("bigint"), again))
 
 
-def promote(parsed: DataFrame, schema: T.StructType, *, edited_mode: str = "record") -> DataFrame:
-    """The columns of the schema, in its order, from parsed lines; its last may be the overflow column.
-
-    Absent fields and JSON nulls are null. Lines that are no object give no row (see :func:`quarantine`).
-    """
+def promoted(schema: T.StructType, edited_mode: str = "record") -> list[Column]:
+    """The columns of the schema from those of :func:`parse`; all null for a line that is no object."""
     columns = []
     for f in schema:
         v = F.col(f"record.`{f.name}`")
@@ -78,7 +75,25 @@ def promote(parsed: DataFrame, schema: T.StructType, *, edited_mode: str = "reco
         else:
             c = F.when(v.isNotNull(), edited(v, edited_mode) if f.name == "edited" else coerce(v, f.dataType))
         columns.append(c.alias(f.name))
-    return parsed.filter("record IS NOT NULL").select(*columns)
+    return columns
+
+
+def promote(parsed: DataFrame, schema: T.StructType, *, edited_mode: str = "record") -> DataFrame:
+    """The columns of the schema, in its order, from parsed lines; its last may be the overflow column.
+
+    Absent fields and JSON nulls are null. Lines that are no object give no row (see :func:`quarantine`).
+    """
+    return parsed.filter("record IS NOT NULL").select(*promoted(schema, edited_mode))
+
+
+def split(lines: DataFrame, kind: str, keep: list[str] | None = None, text: str = "value") -> DataFrame:
+    """Every line that isn't blank as one row, in one parse: the columns to keep, _bad and the wide columns.
+
+    _bad is the line itself where it is no JSON object, and the wide columns are null there; else it is null.
+    """
+    schema = master_schema(kind)
+    parsed = parse(lines, schema, text, keep)
+    return parsed.select(*(keep or []), F.when(F.col("record").isNull(), F.col("text")).alias(BAD), *promoted(schema))
 
 
 def normalize(lines: DataFrame, kind: str, text: str = "value", *, edited_mode: str = "record") -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import itertools
 from collections.abc import Iterator
 from urllib.parse import unquote
 
@@ -54,32 +55,73 @@ def _place(path: str):
     return (fs.LocalFileSystem(), "/" + unquote(local).lstrip("/")) if "://" not in local else fs.FileSystem.from_uri(path)
 
 
-def _decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    import zstandard
-
-    for batch in batches:
-        for path in batch["path"].to_pylist():
-            system, where = _place(path)
-            with system.open_input_stream(where, compression=None) as raw, zstandard.ZstdDecompressor(max_window_size=MAX_WINDOW).stream_reader(raw, read_across_frames=True) as plain:
-                lines, size = [], 0
-                for line in io.TextIOWrapper(io.BufferedReader(plain, 1 << 20), encoding="utf-8", errors="replace", newline="\n"):
-                    lines.append(line.rstrip("\r\n"))
-                    size += len(line)
-                    if size > 4_000_000:
+def _decoder(first_lines: int | None):
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        for batch in batches:
+            for path in batch["path"].to_pylist():
+                system, where = _place(path)
+                with system.open_input_stream(where, compression=None) as raw, zstandard.ZstdDecompressor(max_window_size=MAX_WINDOW).stream_reader(raw, read_across_frames=True) as plain:
+                    lines, size = [], 0
+                    text = io.TextIOWrapper(io.BufferedReader(plain, 1 << 20), encoding="utf-8", errors="replace", newline="\n")
+                    for line in itertools.islice(text, first_lines):
+                        lines.append(line.rstrip("\r\n"))
+                        size += len(line)
+                        if size > 4_000_000:
+                            yield pa.RecordBatch.from_pydict({"path": [path] * len(lines), "value": lines})
+                            lines, size = [], 0
+                    if lines:
                         yield pa.RecordBatch.from_pydict({"path": [path] * len(lines), "value": lines})
-                        lines, size = [], 0
-                if lines:
-                    yield pa.RecordBatch.from_pydict({"path": [path] * len(lines), "value": lines})
+
+    return decode
 
 
-def read_zstd(files: DataFrame) -> DataFrame:
+def read_zstd(files: DataFrame, *, first_lines: int | None = None) -> DataFrame:
     """path and value: the lines of the zstd files of a catalog, long windows included; invalid UTF-8 becomes U+FFFD.
 
     A file is one task, since a frame can't be split: repartition the lines before they are parsed. A damaged or cut-off
-    file is an error, never a short result.
+    file is an error, never a short result. With ``first_lines`` a test run reads no more of each file.
     """
     n = max(1, files.count())
-    return files.select("path").repartition(n).mapInArrow(_decode, "path string, value string")
+    return files.select("path").repartition(n).mapInArrow(_decoder(first_lines), "path string, value string")
+
+
+def write_zstd(lines: DataFrame, folder: str) -> DataFrame:
+    """Writes rows (name, value) as one zstd file of lines for each name; gives name and n_lines of what was written.
+
+    The lines of a name stream through one task into its file, in any order; no more than a buffer is held. A file
+    appears under its name when it is whole, so a repeated task replaces it. The result is a stored table.
+    """
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import uuid
+
+        import zstandard
+
+        system, base = _place(folder)
+        system.create_dir(base, recursive=True)
+        name, out, n, part = None, None, 0, ""
+
+        def close() -> pa.RecordBatch:
+            out.close()
+            system.move(part, f"{base}/{name}")
+            return pa.RecordBatch.from_pydict({"name": [name], "n_lines": [n]})
+
+        for batch in batches:
+            for own, line in zip(batch["name"].to_pylist(), batch["value"].to_pylist(), strict=True):
+                if own != name:
+                    if out is not None:
+                        yield close()
+                    name, n, part = own, 0, f"{base}/.{own}.{uuid.uuid4().hex}"
+                    out = zstandard.ZstdCompressor().stream_writer(system.open_output_stream(part))
+                out.write(line.encode() + b"\n")
+                n += 1
+        if out is not None:
+            yield close()
+
+    names = max(1, lines.select("name").distinct().count())
+    return cut(lines.select("name", "value").repartition(names, "name").sortWithinPartitions("name").mapInArrow(write, "name string, n_lines bigint"))
 
 
 def _footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

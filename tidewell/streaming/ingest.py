@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tidewell.operators.layout import sort_global, write_table
-from tidewell.operators.normalize import normalize, parse, quarantine
-from tidewell.schema import master_schema
+from tidewell.operators.normalize import BAD, split
+from tidewell.session import cut
 
 
 def ingest(spark: SparkSession, source: str, kind: str, out: str, state: str, *, bad: str | None = None, glob: str = "*") -> StreamingQuery:
@@ -18,9 +18,10 @@ def ingest(spark: SparkSession, source: str, kind: str, out: str, state: str, *,
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        write_table(sort_global(normalize(batch, kind)), f"{out}/batch={number}", mode="overwrite")
+        rows = cut(split(batch, kind))  # parsed once
+        write_table(sort_global(rows.filter(f"{BAD} IS NULL").drop(BAD)), f"{out}/batch={number}", mode="overwrite")
         if bad:
-            quarantine(parse(batch, master_schema(kind))).write.mode("overwrite").text(f"{bad}/batch={number}")
+            rows.filter(f"{BAD} IS NOT NULL").select(BAD).write.mode("overwrite").text(f"{bad}/batch={number}")
 
     lines = spark.readStream.option("pathGlobFilter", glob).text(source)
     return lines.writeStream.foreachBatch(write).option("checkpointLocation", state).trigger(availableNow=True).start()
