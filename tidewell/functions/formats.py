@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The forms of archive, table and metadata names.
@@ -123,3 +123,29 @@ def stamp(text: Column) -> Column:
 def redact(key: Column, value: Column) -> Column:
     """Hides non-empty values of keys that name secrets."""
     return F.when(F.lower(key).rlike("password|token|secret|key") & value.isNotNull() & (value != ""), "<redacted>").otherwise(value)
+
+
+def host_name(candidates: Column) -> Column:
+    """The best of an array of host names: those that are whole come first, then those with other characters than ASCII, then
+    those with replacement characters, which are cut to ASCII; of equals the first. Without any it is unknown-node."""
+    names = F.filter(candidates, lambda c: c.isNotNull() & (c != ""))
+    plain = lambda c: ~c.rlike(r"[^\x00-\x7F]")
+    broken = lambda c: c.contains("\ufffd")
+    first = lambda ok: F.get(F.filter(names, ok), 0)
+    best = F.coalesce(first(plain), first(lambda c: ~broken(c)), F.regexp_replace(first(broken), r"[^\x00-\x7F]", ""))
+    return F.coalesce(best, F.lit("unknown-node"))
+
+
+def text_table(df: DataFrame, columns: list[str]) -> DataFrame:
+    """A table of text as lines: place and line, in the order of df's column ``place``; one row of widths is collected.
+
+    Cells are padded to the longest of their column, the header's included; a null cell is empty. For reports.
+    """
+    cell = lambda c: F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(""))
+    widths = df.agg(*[F.coalesce(F.max(F.length(cell(c))), F.lit(0)) for c in columns]).first()
+    widths = [max(len(c), w) for c, w in zip(columns, widths, strict=True)]
+    line = lambda cells: F.concat(F.lit("| "), F.concat_ws(" | ", *cells), F.lit(" |"))
+    border = F.lit("+" + "+".join("-" * (w + 2) for w in widths) + "+")
+    head = line([F.lit(c.ljust(w)) for c, w in zip(columns, widths, strict=True)])
+    frame = df.sparkSession.range(1).select(F.explode(F.array(F.struct(F.lit(-2).cast("bigint").alias("place"), border.alias("line")), F.struct(F.lit(-1).cast("bigint").alias("place"), head.alias("line")), F.struct(F.lit(0).cast("bigint").alias("place"), border.alias("line")), F.struct(F.lit(2**62).alias("place"), border.alias("line")))).alias("x")).select("x.*")
+    return frame.unionByName(df.select(F.col("place").cast("bigint").alias("place"), line([F.rpad(cell(c), w, " ") for c, w in zip(columns, widths, strict=True)]).alias("line")))

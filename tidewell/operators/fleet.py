@@ -82,6 +82,48 @@ def claim_ages(claims: DataFrame, now: dt.datetime, stale_after: str = "4 hours"
     return claims.withColumn("at", at).withColumn("stale", F.coalesce(F.lit(now).cast("timestamp") - F.expr(f"INTERVAL {stale_after}") > F.col("at"), F.lit(False)))
 
 
+def expired(claims: DataFrame, now: dt.datetime, after: str = "24 hours") -> DataFrame:
+    """Adds expired: the claim began longer ago than that, or its start can't be read. A claim without a start is not expired."""
+    given = F.col("started_at").isNotNull() & (F.col("started_at") != "")
+    old = F.lit(now).cast("timestamp") - F.expr(f"INTERVAL {after}") > stamp(F.col("started_at"))
+    return claims.withColumn("expired", F.coalesce(given & F.coalesce(old, F.lit(True)), F.lit(False)))
+
+
+def own_claims(claims: DataFrame, machine: str | None, ip: str | None) -> DataFrame:
+    """Adds own: both machine and ip are these; a null is equal to a null."""
+    return claims.withColumn("own", F.col("machine").eqNullSafe(F.lit(machine)) & F.col("ip").eqNullSafe(F.lit(ip)))
+
+
+def with_unlogged(log: DataFrame, listing: DataFrame) -> DataFrame:
+    """The log (filename, status, last_update, error) with a pending row for each file of the listing (name) that it lacks."""
+    new = listing.select(F.col("name").alias("filename")).distinct().join(log.select("filename"), "filename", "left_anti")
+    return log.select("filename", "status", "last_update", "error").unionByName(new.withColumns({"status": F.lit("pending"), "last_update": F.lit(None).cast("string"), "error": F.lit(None).cast("string")}))
+
+
+def work_table(log: DataFrame, listing: DataFrame, claims: DataFrame) -> DataFrame:
+    """Each logged file with what is known of it: filename, status, size and listed (is it in the listing), machine, ip, at.
+
+    ``listing`` has name and size; ``claims`` zst_filename, machine, ip and at, of which a file's latest counts (null times
+    come last, then the least machine and ip). These are lists of files; Spark broadcasts what is small by its own measure.
+    """
+    names = listing.groupBy(F.col("name").alias("filename")).agg(F.max("size").alias("size")).withColumn("listed", F.lit(True))
+    order = Window.partitionBy("zst_filename").orderBy(F.col("at").desc_nulls_last(), F.asc_nulls_last("machine"), F.asc_nulls_last("ip"))
+    latest = claims.withColumn("_k", F.row_number().over(order)).filter("_k = 1").select(F.col("zst_filename").alias("filename"), "machine", "ip", "at")
+    joined = log.select("filename", "status").join(names, "filename", "left").join(latest, "filename", "left")
+    return joined.select("filename", "status", "size", F.coalesce("listed", F.lit(False)).alias("listed"), "machine", "ip", "at")
+
+
+def orphan_folders(folders: DataFrame, log: DataFrame, now: dt.datetime, *, suffix: str = "_parquet_tmp", after: str = "24 hours") -> DataFrame:
+    """The folders (name, modified) of temporary work that no running job owns, with the status of their file.
+
+    They end in ``suffix``, and their file is neither downloading nor converting, or they are older than that.
+    """
+    own = folders.filter(F.col("name").endswith(suffix)).withColumn("filename", F.expr(f"substring(name, 1, length(name) - {len(suffix)})"))
+    known = own.join(log.groupBy("filename").agg(F.max_by("status", "last_update").alias("status")), "filename", "left")
+    old = F.coalesce(F.lit(now).cast("timestamp") - F.expr(f"INTERVAL {after}") > F.col("modified"), F.lit(False))
+    return known.filter(old | ~F.coalesce(F.col("status").isin("downloading", "converting"), F.lit(False))).select("name", "status", "modified")
+
+
 def latest_per_key(df: DataFrame, key: str, at: str, tie: str) -> DataFrame:
     """Adds place: 1 for the row with the latest time of its key, which stays; the others are ghosts. Null times come last."""
     return df.withColumn("place", F.row_number().over(Window.partitionBy(key).orderBy(F.col(at).desc_nulls_last(), F.col(tie))))

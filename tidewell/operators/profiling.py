@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewell.operators.layout import rank_global
+
 
 def column_profile(df: DataFrame) -> DataFrame:
     """column_name, non_null, n_rows, usage_ratio (4 decimals; 0 for an empty table) of every column, in one pass."""
@@ -50,3 +52,21 @@ def contiguity(df: DataFrame, group: str, number: str) -> DataFrame:
     g = df.groupBy(group).agg(F.max(number).cast("bigint").alias("greatest"), F.count_distinct(number).alias("n_distinct"), F.sort_array(F.collect_set(F.col(number).cast("bigint"))).alias("_have"))
     missing = F.array_except(F.when(F.col("greatest") >= 1, F.sequence(F.lit(1).cast("bigint"), F.col("greatest"))).otherwise(F.array().cast("array<bigint>")), F.col("_have"))
     return g.select(group, "greatest", "n_distinct", (F.size(missing) == 0).alias("contiguous"), F.array_join(missing.cast("array<string>"), ",").alias("missing"))
+
+
+def preview(df: DataFrame, group: str, name: str, first: int = 10) -> DataFrame:
+    """group, n and preview: the first names in order, and how many more there are. A null name doesn't count.
+
+    Each partition gives on its first names only, so a group's window never holds more than so many of each.
+    """
+    named = df.filter(F.col(name).isNotNull()).select(F.col(group).alias("_g"), F.col(name).cast("string").alias("_name"))
+    top = named.withColumn("_k", F.row_number().over(Window.partitionBy("_g").orderBy("_name"))).filter(F.col("_k") <= first)
+    names = top.groupBy("_g").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_k", "_name"))), lambda x: x._name), ", ").alias("_names"))
+    both = named.groupBy("_g").agg(F.count("*").alias("n")).join(names.withColumnRenamed("_g", "_h"), F.col("_g").eqNullSafe(F.col("_h")))
+    more = F.when(F.col("n") > first, F.concat(F.lit(", ...and "), (F.col("n") - first).cast("string"), F.lit(" more"))).otherwise("")
+    return both.select(F.col("_g").alias(group), "n", F.concat("_names", more).alias("preview"))
+
+
+def by_frequency(df: DataFrame, n: str, ties: list[str]) -> DataFrame:
+    """Adds place: 1 for the rarest, equals in order of ``ties``, ranked across range partitions."""
+    return rank_global(df, [n, *ties])

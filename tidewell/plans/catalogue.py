@@ -14,7 +14,7 @@ from tidewell.operators import audit, fleet, layout, profiling
 from tidewell.operators.normalize import normalize, parse, promote, rebuild
 from tidewell.schema import BIGINT, BOOLEAN, CORE, MASTER, RC, RS, USAGE, keep_simple, kept_fields
 from tidewell.session import tune
-from tidewell.sources.archives import catalog, footers, spread
+from tidewell.sources.archives import spread
 
 #: The clock of the queries that measure ages: results don't depend on when they run.
 NOW = dt.datetime(2016, 1, 1)
@@ -273,7 +273,7 @@ DONE = "SELECT DISTINCT filename AS name FROM job_log WHERE status = 'done'"
 STAMP = "TRY_CAST(replace(replace(replace({}, 'T', ' '), 'Z', ''), '+00:00', '') AS TIMESTAMP)"
 
 
-def _archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+def archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "manifest").groupBy(fm.archive_name(F.col("filename")).alias("name")).agg(F.max("file_size").alias("size"))
 
 
@@ -283,19 +283,19 @@ def _done(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH a AS ({SIZES}), d AS ({DONE}), s AS (SELECT CAST(sum(size) AS BIGINT) AS total_bytes, CAST(sum(size) FILTER (d.name IS NOT NULL) AS BIGINT) AS done_bytes, count(*) AS total_files, count(d.name) AS done_files FROM a LEFT JOIN d USING (name)) SELECT total_bytes, done_bytes, total_bytes - done_bytes AS pending_bytes, round(done_bytes * 100.0 / total_bytes, 1) AS done_share, total_files, done_files, round(done_files * 100.0 / total_files, 1) AS file_share FROM s")
 def archive_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fleet.status(_archives(spark, sf_dir), _done(spark, sf_dir))
+    return fleet.status(archives(spark, sf_dir), _done(spark, sf_dir))
 
 
 @query(f"SELECT filename FROM job_log WHERE filename NOT IN (SELECT {ARCHIVED} FROM manifest)")
 def missing_manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
     j = table(spark, sf_dir, "job_log").select("filename")
-    return j.join(_archives(spark, sf_dir).select(F.col("name").alias("filename")), "filename", "left_anti")
+    return j.join(archives(spark, sf_dir).select(F.col("name").alias("filename")), "filename", "left_anti")
 
 
 @query(f"WITH a AS ({SIZES}) SELECT zst_filename, coalesce(size, 0) AS size FROM claims LEFT JOIN a ON a.name = zst_filename")
 def size_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "claims").select("zst_filename")
-    return c.join(_archives(spark, sf_dir).withColumnRenamed("name", "zst_filename"), "zst_filename", "left").withColumn("size", F.coalesce("size", F.lit(0)))
+    return c.join(archives(spark, sf_dir).withColumnRenamed("name", "zst_filename"), "zst_filename", "left").withColumn("size", F.coalesce("size", F.lit(0)))
 
 
 MONTHS = "regexp_extract(filename, '^new-(R[CS])_(\\d\\d\\d\\d)-(\\d\\d)_', {})"
@@ -309,7 +309,7 @@ MONTHS = "regexp_extract(filename, '^new-(R[CS])_(\\d\\d\\d\\d)-(\\d\\d)_', {})"
 )
 def timeline_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = lambda i: F.regexp_extract("name", r"^(R[CS])_(\d{4})-(\d{2})_", i)
-    a = _archives(spark, sf_dir).join(_done(spark, sf_dir).distinct().withColumn("done", F.lit(True)), "name", "left")
+    a = archives(spark, sf_dir).join(_done(spark, sf_dir).distinct().withColumn("done", F.lit(True)), "name", "left")
     return fleet.timeline(a.select(part(1).alias("kind"), part(2).cast("int").alias("year"), part(3).cast("int").alias("month"), F.coalesce("done", F.lit(False)).alias("done")))
 
 
@@ -321,14 +321,14 @@ r AS (SELECT h.*, coalesce(a.size, 0) AS ab FROM h LEFT JOIN ({SIZES}) a USING (
 @query(f"""WITH {RUNS}, s AS (SELECT machine, count(*) AS n, sum(dl) FILTER (dl > 0) AS dl_s, sum(ab) FILTER (dl > 0) AS dl_b, sum(up) FILTER (up > 0) AS up_s, sum(tb) FILTER (up > 0) AS up_b, sum(conv) FILTER (conv <> 0 AND ab > 0) AS c_s, sum(ab) FILTER (conv <> 0 AND ab > 0) AS c_b, sum(dl + conv + up) AS t FROM r GROUP BY machine)
 SELECT machine, n, CAST(coalesce(dl_b, 0) AS BIGINT) AS dl_bytes, CAST(coalesce(up_b, 0) AS BIGINT) AS up_bytes, CAST(coalesce(c_b, 0) AS BIGINT) AS conv_bytes, round(coalesce(t, 0), 2) AS total_s, round(CASE WHEN c_b > 0 AND c_s > 0 THEN c_b / 1048576 / c_s ELSE 0 END, 2) AS conv_mib_per_s, round(CASE WHEN up_b > 0 AND up_s > 0 THEN up_b / 1048576 / up_s ELSE 0 END, 2) AS up_mib_per_s FROM s""")
 def machine_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = fleet.machine_stats(fleet.runs(table(spark, sf_dir, "manifest"), _archives(spark, sf_dir)))
+    s = fleet.machine_stats(fleet.runs(table(spark, sf_dir, "manifest"), archives(spark, sf_dir)))
     return s.select("machine", "n", F.col("dl_bytes").cast("bigint").alias("dl_bytes"), F.col("up_bytes").cast("bigint").alias("up_bytes"), F.col("conv_bytes").cast("bigint").alias("conv_bytes"), F.round("total_s", 2).alias("total_s"), F.round("conv_mib_per_s", 2).alias("conv_mib_per_s"), F.round("up_mib_per_s", 2).alias("up_mib_per_s"))
 
 
 CLAIMS = f"SELECT zst_filename, machine_meta.machine AS machine, coalesce({STAMP.format('updated_at')}, CASE WHEN updated_at IS NULL THEN {STAMP.format('started_at')} END) AS seen FROM claims"
 
 
-def _claims(spark: SparkSession, sf_dir: str) -> DataFrame:
+def claims(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "claims")
     return c.select("zst_filename", F.col("machine_meta.machine").alias("machine"), F.col("machine_meta.ip").alias("ip"), "started_at", "updated_at")
 
@@ -336,37 +336,37 @@ def _claims(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"WITH c AS ({CLAIMS}) SELECT zst_filename, machine, row_number() OVER (PARTITION BY machine ORDER BY seen DESC NULLS LAST, zst_filename) AS place FROM c")
 def latest_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
     """place 1: the latest claim of a machine; above: ghosts."""
-    aged = fleet.claim_ages(_claims(spark, sf_dir), NOW)
+    aged = fleet.claim_ages(claims(spark, sf_dir), NOW)
     return fleet.latest_per_key(aged, "machine", "at", "zst_filename").select("zst_filename", "machine", F.col("place").cast("bigint").alias("place"))
 
 
 @query(f"WITH c AS ({CLAIMS}) SELECT zst_filename, coalesce(seen < TIMESTAMP '2016-01-01' - INTERVAL 4 HOUR, false) AS stale FROM c")
 def stale_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fleet.claim_ages(_claims(spark, sf_dir), NOW).select("zst_filename", "stale")
+    return fleet.claim_ages(claims(spark, sf_dir), NOW).select("zst_filename", "stale")
 
 
 @query(f"WITH {RUNS}, m AS (SELECT sum(ab) FILTER (conv <> 0 AND ab > 0) AS b, sum(dl + conv + up) AS t FROM r GROUP BY machine), v AS (SELECT coalesce(sum(CASE WHEN t > 0 THEN coalesce(b, 0) / 1048576 / t ELSE 0 END), 0) AS v FROM m) SELECT round(CASE WHEN v > 0 THEN v * 60 ELSE 1536 END, 2) AS mb_per_min, CASE WHEN v > 0 THEN 'observed' ELSE 'static' END AS source FROM v")
 def fleet_speed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = fleet.machine_stats(fleet.runs(table(spark, sf_dir, "manifest"), _archives(spark, sf_dir)))
+    s = fleet.machine_stats(fleet.runs(table(spark, sf_dir, "manifest"), archives(spark, sf_dir)))
     return fleet.completion(2**30, s).select(F.round("mb_per_min", 2).alias("mb_per_min"), "source")
 
 
 @query(f"WITH a AS ({SIZES}) SELECT name, row_number() OVER (ORDER BY name) AS position, count(*) OVER () AS of_n, CAST(sum(size) OVER (ORDER BY name ROWS UNBOUNDED PRECEDING) AS BIGINT) AS running_bytes FROM a")
 def running_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fleet.running_progress(_archives(spark, sf_dir), "name", "size").select("name", "position", "of_n", "running_bytes")
+    return fleet.running_progress(archives(spark, sf_dir), "name", "size").select("name", "position", "of_n", "running_bytes")
 
 
 @query(f"WITH {RUNS}, m AS (SELECT sum(ab) FILTER (conv <> 0 AND ab > 0) AS b, sum(dl + conv + up) AS t FROM r GROUP BY machine), v AS (SELECT coalesce(sum(CASE WHEN t > 0 THEN coalesce(b, 0) / 1048576 / t ELSE 0 END), 0) AS v FROM m), s AS (SELECT CASE WHEN v > 0 THEN v * 60 ELSE 1536 END AS x, CASE WHEN v > 0 THEN 'observed' ELSE 'static' END AS source FROM v) SELECT round(x, 2) AS mb_per_min, source, round(1024 / x, 4) AS raw_minutes, round(1024 / x * 1.25, 4) AS cautious_minutes FROM s")
 def fleet_estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As fleet_speed, with the minutes for 1 GiB."""
-    s = fleet.machine_stats(fleet.runs(table(spark, sf_dir, "manifest"), _archives(spark, sf_dir)))
+    s = fleet.machine_stats(fleet.runs(table(spark, sf_dir, "manifest"), archives(spark, sf_dir)))
     return fleet.completion(2**30, s).withColumn("mb_per_min", F.round("mb_per_min", 2))
 
 
 @query(f"WITH a AS ({SIZES}), r AS (SELECT name, size, row_number() OVER (ORDER BY name) AS position, count(*) OVER () AS of_n, CAST(sum(size) OVER (ORDER BY name ROWS UNBOUNDED PRECEDING) AS BIGINT) AS running_bytes FROM a) SELECT name, position, of_n, running_bytes, least(100.0, round(CAST(running_bytes AS DOUBLE) * 100 / (16 * size), 2)) AS percent FROM r")
 def running_percent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As running_progress, with the percentage of 16 times the archive's compressed size."""
-    a = _archives(spark, sf_dir).withColumn("expected", F.col("size") * 16)
+    a = archives(spark, sf_dir).withColumn("expected", F.col("size") * 16)
     return fleet.running_progress(a, "name", "size").select("name", "position", "of_n", "running_bytes", "percent")
 
 
@@ -395,17 +395,3 @@ def type_mismatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     real = spark.createDataFrame(kinds, "column_name string, type string")
     a = m.select("filename", "column_name", F.col("type").alias("stated_type"))
     return a.join(real.withColumnRenamed("type", "real_type"), "column_name").filter("stated_type != real_type")
-
-
-@query()
-def footer_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every Parquet file of the folder: rows, row groups and columns from its footer alone."""
-    tune(spark)
-    return footers(catalog(spark, sf_dir, "*.parquet")).select(F.element_at(F.split("path", "/"), -1).alias("file"), "n_rows", "n_row_groups", "position", "column_name", "type", "error")
-
-
-@query()
-def regenerated_manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tune(spark)
-    files = catalog(spark, sf_dir, "*.parquet")
-    return audit.build_manifests(footers(files), files).drop("last_modified")
