@@ -105,3 +105,29 @@ def test_percent_and_minutes_are_registered(spark):
     assert got[0] == 6.25 and max(got) <= 100
     one = QUERIES["fleet_estimate"](spark, sf).first()
     assert one.raw_minutes > 0 and abs(one.cautious_minutes - 1.25 * one.raw_minutes) < 2e-4
+
+
+def test_claims_logs_and_listings(spark):
+    now = dt.datetime(2020, 1, 2)
+    c = spark.createDataFrame([("a", "m", "1", "2020-01-01T01:00:00"), ("b", "m", None, "2019-12-31T23:00:00"), ("c", None, None, "junk"), ("d", "n", "1", None), ("e", "n", "1", "")], "zst_filename string, machine string, ip string, started_at string")
+    assert rows(fleet.expired(c, now).filter("expired"), "zst_filename") == [("b",), ("c",)]
+    assert rows(fleet.own_claims(c, "m", None).filter("own"), "zst_filename") == [("b",)] and rows(fleet.own_claims(c, None, None).filter("own"), "zst_filename") == [("c",)]
+    log = spark.createDataFrame([("a", "done", "1", None), ("x", "pending", None, "e")], "filename string, status string, last_update string, error string")
+    names = spark.createDataFrame([("a", 5), ("b", 6), ("b", 7)], "name string, size bigint")
+    assert rows(fleet.with_unlogged(log, names), "filename", "status") == [("a", "done"), ("b", "pending"), ("x", "pending")]
+    at = c.withColumn("at", F.col("started_at").try_cast("timestamp")).unionByName(spark.createDataFrame([("a", "later", "9", "", dt.datetime(2021, 1, 1))], "zst_filename string, machine string, ip string, started_at string, at timestamp"))
+    assert rows(fleet.work_table(log, names, at), "filename", "status", "size", "listed", "machine") == [("a", "done", 5, True, "later"), ("x", "pending", None, False, None)]
+    folders = spark.createDataFrame([("a_parquet_tmp", now), ("b_parquet_tmp", now), ("c_parquet_tmp", dt.datetime(2019, 1, 1)), ("other", now), ("d_parquet_tmp", None)], "name string, modified timestamp")
+    jobs = spark.createDataFrame([("a", "done", "1"), ("b", "converting", "1"), ("c", "converting", "1")], "filename string, status string, last_update string")
+    assert rows(fleet.orphan_folders(folders, jobs, now), "name", "status") == [("a_parquet_tmp", "done"), ("c_parquet_tmp", "converting"), ("d_parquet_tmp", None)]
+    assert fleet.orphan_folders(folders.limit(0), jobs, now).count() == 0
+
+
+def test_previews_and_text_tables(spark):
+    df = spark.createDataFrame([("a", f"f{k:02}") for k in range(12)] + [("b", "x"), (None, "y"), ("b", None)], "status string, name string")
+    assert rows(profiling.preview(df, "status", "name")) == sorted([("a", 12, ", ".join(f"f{k:02}" for k in range(10)) + ", ...and 2 more"), ("b", 1, "x"), (None, 1, "y")], key=repr)
+    assert [r.k for r in profiling.by_frequency(spark.createDataFrame([("b", 2), ("a", 2), ("c", 1)], "k string, n int"), "n", ["k"]).orderBy("place").collect()] == ["c", "a", "b"]
+    t = fm.text_table(spark.createDataFrame([(1, "x", "1"), (2, "longer", None)], "place int, Name string, N string"), ["Name", "N"])
+    assert [r.line for r in t.orderBy("place").collect()] == ["+--------+---+", "| Name   | N |", "+--------+---+", "| x      | 1 |", "| longer |   |", "+--------+---+"]
+    for names, want in ((["b\ufffdd", "good"], "good"), ([None, ""], "unknown-node"), (["é", "b\ufffd"], "é"), (["b\ufffdé"], "b"), ([], "unknown-node")):
+        assert one(spark, fm.host_name(F.array(*[F.lit(n).cast("string") for n in names]).cast("array<string>"))) == want

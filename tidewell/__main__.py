@@ -20,6 +20,7 @@ def main(argv: list[str] | None = None) -> int:
     c.add_argument("out")
     c.add_argument("--only")
     c.add_argument("--force", action="store_true")
+    c.add_argument("--first-lines", type=int, help="a test run of so many lines of each archive")
     m = sub.add_parser("merge", help="tables of one kind to one")
     m.add_argument("kind", choices=["rc", "rs"])
     m.add_argument("out")
@@ -35,6 +36,10 @@ def main(argv: list[str] | None = None) -> int:
     r.add_argument("folder")
     d = sub.add_parser("drift", help="columns and types over files")
     d.add_argument("paths", nargs="+")
+    d.add_argument("--out", help="also write a JSON file, the rarest first")
+    f = sub.add_parser("config", help="settings in layers, secrets hidden")
+    f.add_argument("paths", nargs="+")
+    f.add_argument("--validate", action="store_true")
     sub.add_parser("precheck", help="whether Spark and the shared folder work")
     a = p.parse_args(argv)
     if a.command == "convert" and a.force and not a.only:
@@ -47,7 +52,7 @@ def main(argv: list[str] | None = None) -> int:
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     if a.command == "convert":
-        print(json.dumps(api.convert(spark, a.source, a.out, only=a.only, force=a.force), indent=1))
+        print(json.dumps(api.convert(spark, a.source, a.out, only=a.only, force=a.force, first_lines=a.first_lines), indent=1))
     elif a.command == "merge":
         print(json.dumps(layout.merge(spark, a.paths, a.kind, a.out)))
     elif a.command == "verify":
@@ -63,7 +68,14 @@ def main(argv: list[str] | None = None) -> int:
             print(name)
             df.show(1000, truncate=False)
     elif a.command == "drift":
-        api.drift(spark, a.paths).show(1000, truncate=False)
+        api.drift(spark, a.paths, out=a.out).show(1000, truncate=False)
+    elif a.command == "config":
+        found = api.settings(*a.paths)
+        api.shown(spark, found).show(1000, truncate=False)
+        wrong = api.problems_of(found) if a.validate else []
+        for problem in wrong:
+            print(problem)
+        return int(bool(wrong))
     else:
         from tidewell.session import cut
 

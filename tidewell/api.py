@@ -6,13 +6,14 @@ import datetime as dt
 import json
 import tomllib
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.functions import formats as fm
-from tidewell.operators import audit, fleet, layout, profiling
+from tidewell.operators import audit, fleet, layout, profiling, quality
 from tidewell.operators.normalize import BAD, split
 from tidewell.schema import master_schema
 from tidewell.session import cut, tune
@@ -39,7 +40,9 @@ def convert(spark: SparkSession, source: str, out: str, *, only: str | None = No
     twice = {f["table"] for f in todo if sum(g["table"] == f["table"] for g in todo) > 1}
     if twice:
         raise ValueError(f"several archives would become {', '.join(sorted(twice))}")
-    return [s for kind in ("rc", "rs") for s in _convert_kind(spark, [f for f in todo if f["kind"] == kind], kind, out.rstrip("/"), partitions, first_lines)]
+    with ThreadPoolExecutor(2) as pool:  # both kinds at once: the executors needn't wait for one's last task
+        made = pool.map(lambda kind: _convert_kind(spark, [f for f in todo if f["kind"] == kind], kind, out.rstrip("/"), partitions, first_lines), ("rc", "rs"))
+        return [s for summaries in made for s in summaries]
 
 
 def _convert_kind(spark: SparkSession, files: list[dict], kind: str, out: str, partitions: int | None, first_lines: int | None) -> list[dict]:
@@ -116,17 +119,51 @@ def verify(spark: SparkSession, folder: str, *, offset: int = 0, limit: int | No
 
 
 def manifests(spark: SparkSession, folder: str, *, full: bool = False) -> DataFrame:
-    """Manifests of the Parquet files of a folder from their footers; ``full`` reads the tables and adds column_stats."""
+    """Manifests of the Parquet files of a folder from their footers; ``full`` adds column_stats.
+
+    Footers state the nulls of flat columns, so nothing else is read for those. Only files with other columns are read
+    themselves, all files of the same columns at once.
+    """
     tune(spark)
     files = catalog(spark, folder, "*.parquet")
-    made = audit.build_manifests(footers(files), files)
+    read = cut(footers(files))
+    made = audit.build_manifests(read, files)
     if not full:
-        return made
-    stats = None
-    for r in files.select("path", "name").collect():
-        one = audit.full_manifest(spark.read.parquet(r["path"])).select(F.lit(r["name"]).alias("filename"), "column_stats")
-        stats = one if stats is None else stats.unionByName(one)
-    return made if stats is None else made.join(stats, "filename", "left")
+        return made.drop("path")
+    stat = lambda given: F.struct(given.alias("count"), F.when(F.col("n_rows") > 0, F.round(given / F.col("n_rows"), 4)).otherwise(0.0).alias("usage_ratio"))
+    named = read.filter("column_name IS NOT NULL")
+    unknown = named.filter("n_null IS NULL").select("path").distinct()
+    stated = named.join(unknown, "path", "left_anti").select("path", "column_name", stat(F.col("n_rows") - F.col("n_null")).alias("s"))
+    for paths in _same_columns(named.join(unknown, "path", "left_semi")):
+        t = spark.read.parquet(*paths)
+        counts = t.groupBy(F.input_file_name().alias("path")).agg(F.count("*").alias("n_rows"), *[F.count(F.col(f"`{c}`")).alias(f"_{i}") for i, c in enumerate(t.columns)])
+        each = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"_{i}").alias("n")) for i, c in enumerate(t.columns)]))
+        counted = counts.select("path", "n_rows", each.alias("c"))
+        stated = stated.unionByName(counted.select(F.url_decode("path").alias("path"), "c.column_name", stat(F.col("c.n")).alias("s")))
+    place = F.regexp_replace("path", "^file:/+", "/")
+    stats = stated.groupBy(place.alias("_place")).agg(F.map_from_entries(F.collect_list(F.struct("column_name", "s"))).alias("column_stats"))
+    return made.withColumn("_place", place).join(stats, "_place", "left").drop("_place", "path")
+
+
+def _same_columns(rows: DataFrame) -> list[list[str]]:
+    """The files of rows of footers, grouped by their columns and types: as many groups as there are different ones."""
+    signature = rows.groupBy("path").agg(F.sort_array(F.collect_list(F.struct("position", "column_name", "type"))).alias("s"))
+    return [r["paths"] for r in signature.groupBy(F.xxhash64("s")).agg(F.collect_list("path").alias("paths")).select("paths").collect()]
+
+
+def profile_load(spark: SparkSession, folder: str, load: str, new: DataFrame, old: DataFrame | None = None, *, columns: list[str] | None = None, patterns: dict[str, str] | None = None) -> DataFrame:
+    """Adds a load to the value counts kept in ``folder`` and gives the profile of each column after each load.
+
+    ``new`` are the rows that the load brings, ``old`` those that it replaces or removes. Loads are in order of name; a
+    load applied again takes its own place.
+    """
+    names = columns or new.columns
+    delta = quality.value_counts(new, names)
+    if old is not None:
+        delta = quality.merge_counts(delta, quality.value_counts(old, names, sign=-1))
+    kept = quality.CountStore(spark, folder)
+    kept.apply(load, delta)
+    return quality.profile_history(kept.loads(), "load", patterns, quality.numeric_columns(new))
 
 
 def report(spark: SparkSession, folder: str, now: dt.datetime) -> dict[str, DataFrame]:
@@ -145,10 +182,18 @@ def report(spark: SparkSession, folder: str, now: dt.datetime) -> dict[str, Data
     return {"status": status, "timeline": fleet.timeline(fleet.archive_months(archives, done)), "machines": machines, "claims": placed, "estimate": fleet.completion(status.first()["pending_bytes"], active)}
 
 
-def drift(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Columns and types over Parquet files: in how many and in which."""
-    rows = footers(catalog(spark, paths, "*.parquet")).filter("column_name IS NOT NULL")
-    return profiling.schema_drift(rows.select(F.col("path").alias("source"), "column_name", "type"))
+def drift(spark: SparkSession, paths: list[str], *, out: str | None = None) -> DataFrame:
+    """Columns and types over Parquet files: in how many and in which. ``out``: also a JSON file, the rarest first.
+
+    The JSON has the number of files, of unreadable ones, and each column and type with its number of files.
+    """
+    read = footers(catalog(spark, paths, "*.parquet"))
+    found = profiling.schema_drift(read.filter("column_name IS NOT NULL").select(F.col("path").alias("source"), "column_name", "type"))
+    if out:
+        n = read.agg(F.count_distinct("path").alias("files"), F.count_distinct(F.when(F.col("error").isNotNull(), F.col("path"))).alias("errors")).first()
+        rarest = found.select("column_name", "type", "n_sources").orderBy("n_sources", "column_name", "type").collect()
+        store.write_text(spark, out, json.dumps({"files": n["files"], "errors": n["errors"], "column_frequencies": {f"{r['column_name']} ({r['type']})": r["n_sources"] for r in rarest}}, indent=1))
+    return found
 
 
 def settings(*paths: str) -> dict[str, dict]:
@@ -159,3 +204,18 @@ def settings(*paths: str) -> dict[str, dict]:
             for section, values in tomllib.loads(Path(p).read_text()).items():
                 out.setdefault(section, {}).update(values)
     return out
+
+
+def problems_of(found: dict[str, dict]) -> list[str]:
+    """What is wrong with settings for a session: a missing folder for shared tables, values that aren't of their kind."""
+    spark = found.get("spark", {})
+    out = [] if spark.get("checkpoint_dir") or str(spark.get("master", "local")).startswith("local") else ["spark.checkpoint_dir is missing: a cluster needs a folder that all executors share"]
+    out += [f"spark.{k} must be a positive whole number" for k in ("shuffle_partitions", "cores") if k in spark and not (isinstance(spark[k], int) and not isinstance(spark[k], bool) and spark[k] > 0)]
+    out += [f"paths.{k} must be a text" for k, v in found.get("paths", {}).items() if not isinstance(v, str) or not v]
+    return out
+
+
+def shown(spark: SparkSession, found: dict[str, dict]) -> DataFrame:
+    """section, key and value of settings, secrets hidden."""
+    rows = [(s, k, str(v)) for s, values in found.items() for k, v in values.items()]
+    return spark.createDataFrame(rows, "section string, key string, value string").withColumn("value", fm.redact(F.col("key"), F.col("value")))

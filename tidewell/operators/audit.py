@@ -92,7 +92,7 @@ def table_types(footers: DataFrame, by: str = "path") -> DataFrame:
 
 
 def build_manifests(footers: DataFrame, sizes: DataFrame) -> DataFrame:
-    """Manifests from footers alone: filename, file_size, row_count, conversion_method, columns in order, schema.
+    """Manifests from footers alone: path, filename, file_size, row_count, conversion_method, columns in order, schema.
 
     ``sizes`` has path, size and modified; unreadable files get no manifest.
     """
@@ -100,7 +100,7 @@ def build_manifests(footers: DataFrame, sizes: DataFrame) -> DataFrame:
     pairs = F.sort_array(F.collect_list(F.when(F.col("column_name").isNotNull(), F.struct("position", "column_name", "type"))))
     each = ok.groupBy("path").agg(F.max("n_rows").alias("row_count"), pairs.alias("p")).join(sizes.select("path", "size", "modified"), "path")
     return each.select(
-        F.element_at(F.split("path", "/"), -1).alias("filename"), F.col("size").alias("file_size"), F.date_format("modified", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("last_modified"), "row_count", F.lit("regenerated").alias("conversion_method"),
+        "path", F.element_at(F.split("path", "/"), -1).alias("filename"), F.col("size").alias("file_size"), F.date_format("modified", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("last_modified"), "row_count", F.lit("regenerated").alias("conversion_method"),
         F.transform("p", lambda x: x.column_name).alias("columns"), F.map_from_entries(F.transform("p", lambda x: F.struct(x.column_name, x.type))).alias("schema"),
     )
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidewell.operators.normalize import pad
 from tidewell.schema import SORT_KEYS, master_schema
 from tidewell.session import cut
+from tidewell.sources.archives import catalog, footers
 
 ROW_GROUP = 100_000
 
@@ -55,10 +56,18 @@ def union_by_name(frames: list[DataFrame]) -> DataFrame:
 
 
 def read_union(spark: SparkSession, paths: list[str], kind: str | None = None) -> DataFrame:
-    """Parquet files of different columns as one table; with a kind, each is first brought to its schema, types included."""
+    """Parquet files of different columns as one table; with a kind, each is first brought to its schema, types included.
+
+    Files of the same columns are read together, so the plan grows with the different schemas and not with the files.
+    """
     if kind is None:
         return spark.read.option("mergeSchema", "true").parquet(*paths)
-    return union_by_name([pad(spark.read.parquet(p), master_schema(kind)) for p in paths])
+    alike: dict[str, list[str]] = {}
+    files = [r["path"] for r in catalog(spark, paths, "*.parquet").select("path").collect()]
+    rows = footers(spark.createDataFrame([(p,) for p in files], "path string")).filter("error IS NULL")
+    for r in rows.groupBy("path").agg(F.to_json(F.sort_array(F.collect_list(F.struct("position", "column_name", "type")))).alias("s")).collect():
+        alike.setdefault(r["s"], []).append(r["path"])
+    return union_by_name([pad(spark.read.parquet(*p), master_schema(kind)) for p in alike.values()])
 
 
 def merge(spark: SparkSession, paths: list[str], kind: str, out: str) -> dict[str, int]:

@@ -135,21 +135,35 @@ def _footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 with system.open_input_file(where) as f:
                     meta = pq.read_metadata(f)
                     schema = meta.schema.to_arrow_schema()
-                rows += [(path, meta.num_rows, meta.num_row_groups, i, c.name, str(c.type), None) for i, c in enumerate(schema)] or [(path, meta.num_rows, meta.num_row_groups, None, None, None, None)]
+                nulls = _nulls(meta)
+                rows += [(path, meta.num_rows, meta.num_row_groups, i, c.name, str(c.type), nulls.get(c.name), None) for i, c in enumerate(schema)] or [(path, meta.num_rows, meta.num_row_groups, None, None, None, None, None)]
             except (OSError, pa.ArrowInvalid) as x:
-                rows.append((path, None, None, None, None, None, str(x)[:200]))
-        cols = list(zip(*rows, strict=True)) if rows else [()] * 7
-        kinds = (pa.string(), pa.int64(), pa.int32(), pa.int32(), pa.string(), pa.string(), pa.string())
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["path", "n_rows", "n_row_groups", "position", "column_name", "type", "error"])
+                rows.append((path, None, None, None, None, None, None, str(x)[:200]))
+        cols = list(zip(*rows, strict=True)) if rows else [()] * 8
+        kinds = (pa.string(), pa.int64(), pa.int32(), pa.int32(), pa.string(), pa.string(), pa.int64(), pa.string())
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["path", "n_rows", "n_row_groups", "position", "column_name", "type", "n_null", "error"])
+
+
+def _nulls(meta) -> dict[str, int]:
+    """The nulls of each flat column of which every row group states them."""
+    out: dict[str, int] = {}
+    for j in range(meta.num_columns):
+        column = meta.schema.column(j)
+        if column.max_repetition_level or column.path != column.name:
+            continue
+        stated = [(s.null_count if s is not None and s.has_null_count else None) for s in (meta.row_group(g).column(j).statistics for g in range(meta.num_row_groups))]
+        if None not in stated:
+            out[column.name] = sum(stated)
+    return out
 
 
 def footers(files: DataFrame, *, files_per_task: int = 200) -> DataFrame:
-    """One row per file and column: path, n_rows, n_row_groups, position, column_name, type and error, from footers alone.
+    """One row per file and column: path, n_rows, n_row_groups, position, column_name, type, n_null and error, from footers alone.
 
-    A file that is no Parquet gives one row with an error.
+    n_null is null where the footer doesn't state it: for nested columns, and for files without statistics. A file that is no Parquet gives one row with an error.
     """
     n = files.count()
-    return files.select("path").repartition(max(1, min(n, -(-n // files_per_task) if n > 1000 else n))).mapInArrow(_footers, "path string, n_rows bigint, n_row_groups int, position int, column_name string, type string, error string")
+    return files.select("path").repartition(max(1, min(n, -(-n // files_per_task) if n > 1000 else n))).mapInArrow(_footers, "path string, n_rows bigint, n_row_groups int, position int, column_name string, type string, n_null bigint, error string")
 
 
 def read_json_files(spark: SparkSession, paths: str | list[str], schema: str) -> DataFrame:
