@@ -78,6 +78,22 @@ def normalize_rs_overflow(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize(spread(_whole_lines(table(spark, sf_dir, "master_schema_rs"), RS)), "rs")
 
 
+_KEYS = "SELECT id, created_utc, CASE WHEN extra_json IS NULL THEN NULL WHEN NOT json_valid(extra_json) THEN 'extra_json' WHEN json_type(extra_json) <> 'OBJECT' THEN 'extra_json' ELSE nullif(array_to_string(list_sort(list_distinct(json_keys(extra_json))), ' | '), '') END AS keys FROM {}"
+
+
+@query(_KEYS.format("master_schema_rc"))
+def overflow_keys_rc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The unknown fields that came back in extra_json of each comment."""
+    n = normalize_rc_overflow(spark, sf_dir)
+    return n.select("id", "created_utc", F.array_join(F.array_sort(F.json_object_keys("extra_json")), " | ").alias("keys"))
+
+
+@query(_KEYS.format("master_schema_rs"))
+def overflow_keys_rs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = normalize_rs_overflow(spark, sf_dir)
+    return n.select("id", "created_utc", F.array_join(F.array_sort(F.json_object_keys("extra_json")), " | ").alias("keys"))
+
+
 EVENT = T.StructType.fromJson({"type": "struct", "fields": [{"name": n, "type": t, "nullable": True, "metadata": {}} for n, t in (("event_id", "long"), ("absent", "long"), ("event_type", "string"), ("value", "double"), ("extra_json", "string"))]})
 
 
