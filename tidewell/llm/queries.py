@@ -161,7 +161,7 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p9_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Also passages with one word inserted, lost or changed."""
-    return _leaks(spark, sf_dir)
+    return _leaks(spark, sf_dir).select("doc_id", "item_id", "distance")
 
 
 def _spans(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -214,6 +214,17 @@ WITH i AS (SELECT item_id, {WORDS} AS w FROM heldout_items), d AS (SELECT doc_id
 gi AS (SELECT DISTINCT item_id, array_to_string(w[k:k + 15], ' ') AS g FROM (SELECT item_id, w, unnest(range(1, len(w) - 14)) AS k FROM i)),
 gd AS (SELECT DISTINCT doc_id, array_to_string(w[k:k + 15], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 14)) AS k FROM d))
 SELECT DISTINCT doc_id, item_id FROM gd JOIN gi USING (g)""",
+    # An item's 16 words as they are, with a word left out, or with one of the words left out on both sides; a document's 17 with an inner one left out.
+    "p9_leaks": f"""
+WITH i AS (SELECT item_id, {WORDS} AS w FROM heldout_items WHERE text IS NOT NULL), d AS (SELECT doc_id, {WORDS} AS w FROM documents WHERE text IS NOT NULL),
+wi AS (SELECT DISTINCT item_id, w[k:k + 15] AS g FROM (SELECT item_id, w, unnest(range(1, len(w) - 14)) AS k FROM i)),
+wd AS (SELECT doc_id, len(w) AS n, k, w FROM (SELECT doc_id, w, unnest(range(1, len(w) - 13)) AS k FROM d)),
+m AS (SELECT item_id, array_to_string(g, ' ') AS whole, p, array_to_string(g[1:p - 1] || g[p + 1:16], ' ') AS less FROM wi, range(1, 17) r(p)),
+x AS (SELECT DISTINCT doc_id, item_id, 0 AS distance FROM wd JOIN (SELECT DISTINCT item_id, whole FROM m) q ON array_to_string(wd.w[k:k + 15], ' ') = q.whole WHERE k + 15 <= n
+ UNION ALL SELECT DISTINCT doc_id, item_id, 1 FROM wd JOIN m ON array_to_string(wd.w[k:k + 14], ' ') = m.less
+ UNION ALL SELECT DISTINCT doc_id, item_id, 1 FROM (SELECT doc_id, r.p, array_to_string(w[k:k + r.p - 2] || w[k + r.p:k + 15], ' ') AS less FROM wd, range(1, 17) r(p) WHERE k + 15 <= n) q JOIN m ON m.p = q.p AND m.less = q.less
+ UNION ALL SELECT DISTINCT doc_id, item_id, 1 FROM (SELECT doc_id, array_to_string(w[k:k + r.p - 2] || w[k + r.p:k + 16], ' ') AS whole FROM wd, range(2, 17) r(p) WHERE k + 16 <= n) q JOIN (SELECT DISTINCT item_id, whole FROM m) h ON h.whole = q.whole)
+SELECT doc_id, item_id, CAST(min(distance) AS INTEGER) AS distance FROM x GROUP BY ALL""",
     "p10_coverage": """
 WITH d AS (SELECT doc_id, text, length(text) AS n FROM documents WHERE length(text) >= 200),
 g AS (SELECT doc_id, n, k, hash(substring(text, k, 200)) AS h FROM (SELECT doc_id, text, n, unnest(range(1, n - 198)) AS k FROM d)),
