@@ -183,7 +183,7 @@ def shift(before: DataFrame, after: DataFrame) -> DataFrame:
 #: Values that stated loads are counted by, besides null: rows in which a column is given, loads that state it, loads whose
 #: statement lacks the count, and loads without a row_count.
 GIVEN, STATED, UNCOUNTED, UNBOUNDED = "given", "stated", "uncounted", "unbounded"
-_STATES = "map<string,struct<count:bigint,usage_ratio:double>>"
+_ENTRY = "struct<name:string,sign:int,given:bigint,rest:bigint,stated:bigint,uncounted:bigint,unbounded:bigint,usage_ratio:double>"
 
 
 def stated_deltas(loads: DataFrame, series: str, load: str) -> DataFrame:
@@ -195,29 +195,33 @@ def stated_deltas(loads: DataFrame, series: str, load: str) -> DataFrame:
     that a load states has a row for ``given`` even where the count stays. usage_ratio is the load's own, as stated.
     """
     own = Window.partitionBy(series).orderBy(load)
-    stats = F.coalesce("column_stats", F.create_map().cast(_STATES))
-    side = F.struct(F.col("row_count").alias("rows"), stats.alias("stats"))
+    side = F.struct(F.col("row_count").alias("rows"), F.map_entries("column_stats").alias("stats"))
     both = loads.select(F.col(series).alias("series"), F.col(load).alias("load"), side.alias("now"), F.lag(side).over(own).alias("was"))
-    names = F.array_union(F.map_keys("now.stats"), F.coalesce(F.map_keys("was.stats"), F.array().cast("array<string>")))
-
-    def counts(at: str, name: Column) -> Column:
-        s, n = F.col(at)["stats"][name], F.col(at)["rows"]
-        there, counted = F.coalesce(F.map_contains_key(F.col(at)["stats"], name), F.lit(False)), s["count"].isNotNull()
-        flag = lambda c: F.when(there & c, 1).otherwise(0).cast("bigint")
-        zero = F.lit(0).cast("bigint")
-        return F.struct(F.coalesce(s["count"], zero).alias("given"), F.when(there & counted, F.coalesce(n - s["count"], zero)).otherwise(zero).alias("rest"), flag(F.lit(True)).alias("stated"), flag(~counted).alias("uncounted"), flag(n.isNull()).alias("unbounded"))
-
-    def whole(at: str) -> Column:
-        n, there = F.col(at)["rows"], F.col(at).isNotNull()
-        zero = F.lit(0).cast("bigint")
-        return F.struct(F.coalesce(n, zero).alias("given"), zero.alias("rest"), there.cast("bigint").alias("stated"), zero.alias("uncounted"), (there & n.isNull()).cast("bigint").alias("unbounded"))
-
-    column = F.transform(names, lambda c: F.struct(c.alias("column_name"), counts("now", c).alias("a"), counts("was", c).alias("b"), F.col("now.stats")[c]["usage_ratio"].alias("usage_ratio")))
-    all_ = F.struct(F.lit(None).cast("string").alias("column_name"), whole("now").alias("a"), whole("was").alias("b"), F.lit(None).cast("double").alias("usage_ratio"))
-    each = both.select("series", "load", F.explode(F.concat(F.array(all_), column)).alias("c")).select("series", "load", "c.*")
-    change = lambda v, f, always=False: F.when(F.lit(always) | (F.col(f"a.{f}") != F.col(f"b.{f}")), F.struct(F.lit(v).cast("string").alias("value"), (F.col(f"a.{f}") - F.col(f"b.{f}")).alias("n")))
-    moves = F.array_compact(F.array(change(GIVEN, "given", True), change(None, "rest"), change(STATED, "stated"), change(UNCOUNTED, "uncounted"), change(UNBOUNDED, "unbounded")))
-    return each.select("series", "load", "column_name", "usage_ratio", F.explode(moves).alias("m")).select("series", "load", "column_name", "m.value", "m.n", "usage_ratio")
+    zero, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
+
+    def entry(at: str, sign: int, name: Column, given: Column, counted: Column, ratio: Column) -> Column:
+        """What one side states of one column: how many rows by GIVEN, null, STATED, UNCOUNTED and UNBOUNDED."""
+        n = F.col(at)["rows"]
+        rest = F.when(name.isNull() | ~counted | n.isNull(), zero).otherwise(n - given)
+        flag = lambda c: F.when(c, one).otherwise(zero)
+        return F.struct(name.alias("name"), F.lit(sign).alias("sign"), F.coalesce(given, zero).alias("given"), rest.alias("rest"), one.alias("stated"), flag(~counted).alias("uncounted"), flag(n.isNull()).alias("unbounded"), ratio.alias("usage_ratio"))
+
+    def entries(at: str, sign: int) -> Column:
+        whole = entry(at, sign, F.lit(None).cast("string"), F.col(at)["rows"], F.lit(True), F.lit(None).cast("double"))
+        stats = F.transform(F.col(at)["stats"], lambda e: entry(at, sign, e.key, e.value["count"], e.value["count"].isNotNull(), e.value.usage_ratio))
+        empty = F.array().cast(f"array<{_ENTRY}>")
+        return F.when(F.col(at).isNull(), empty).otherwise(F.concat(F.array(whole), F.coalesce(stats, empty)))
+
+    # By name, the load before (-1) in front: what both sides state of a column lies side by side.
+    ordered = both.select("series", "load", F.array_sort(F.concat(entries("was", -1), entries("now", 1))).alias("s"))
+    at = lambda i: F.get(F.col("s"), i)
+    pair = lambda x, i: F.struct(x.alias("x"), F.when(at(i + 1)["name"].eqNullSafe(x["name"]), at(i + 1)).alias("y"), ((i > 0) & at(i - 1)["name"].eqNullSafe(x["name"])).alias("second"))
+    each = ordered.select("series", "load", F.explode(F.transform("s", pair)).alias("p")).filter("NOT p.second").select("series", "load", F.col("p.x.name").alias("column_name"), "p.x", "p.y")
+    change = lambda f: F.col(f"x.{f}") * F.col("x.sign") + F.coalesce(F.col(f"y.{f}"), zero)
+    move = lambda v, f, always=False: F.when(F.lit(always) | (change(f) != 0), F.struct(F.lit(v).cast("string").alias("value"), change(f).alias("n")))
+    moves = F.array_compact(F.array(move(GIVEN, "given", True), move(None, "rest"), move(STATED, "stated"), move(UNCOUNTED, "uncounted"), move(UNBOUNDED, "unbounded")))
+    ratio = F.when(F.col("x.sign") == 1, F.col("x.usage_ratio")).otherwise(F.col("y.usage_ratio"))
+    return each.select("series", "load", "column_name", ratio.alias("usage_ratio"), F.explode(moves).alias("m")).select("series", "load", "column_name", "m.value", "m.n", "usage_ratio")
 
 
 def load_changes(store: CountStore) -> DataFrame:
