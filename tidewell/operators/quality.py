@@ -183,7 +183,6 @@ def shift(before: DataFrame, after: DataFrame) -> DataFrame:
 #: Values that stated loads are counted by, besides null: rows in which a column is given, loads that state it, loads whose
 #: statement lacks the count, and loads without a row_count.
 GIVEN, STATED, UNCOUNTED, UNBOUNDED = "given", "stated", "uncounted", "unbounded"
-_ENTRY = "struct<name:string,sign:int,given:bigint,rest:bigint,stated:bigint,uncounted:bigint,unbounded:bigint,usage_ratio:double>"
 
 
 def stated_deltas(loads: DataFrame, series: str, load: str) -> DataFrame:
@@ -194,34 +193,26 @@ def stated_deltas(loads: DataFrame, series: str, load: str) -> DataFrame:
     what says whether and how it is stated; the load as a whole is the null column_name, with its rows as given. A column
     that a load states has a row for ``given`` even where the count stays. usage_ratio is the load's own, as stated.
     """
-    own = Window.partitionBy(series).orderBy(load)
-    side = F.struct(F.col("row_count").alias("rows"), F.map_entries("column_stats").alias("stats"))
-    both = loads.select(F.col(series).alias("series"), F.col(load).alias("load"), side.alias("now"), F.lag(side).over(own).alias("was"))
-    zero, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
-
-    def entry(at: str, sign: int, name: Column, given: Column, counted: Column, ratio: Column) -> Column:
-        """What one side states of one column: how many rows by GIVEN, null, STATED, UNCOUNTED and UNBOUNDED."""
-        n = F.col(at)["rows"]
-        rest = F.when(name.isNull() | ~counted | n.isNull(), zero).otherwise(n - given)
-        flag = lambda c: F.when(c, one).otherwise(zero)
-        return F.struct(name.alias("name"), F.lit(sign).alias("sign"), F.coalesce(given, zero).alias("given"), rest.alias("rest"), one.alias("stated"), flag(~counted).alias("uncounted"), flag(n.isNull()).alias("unbounded"), ratio.alias("usage_ratio"))
-
-    def entries(at: str, sign: int) -> Column:
-        whole = entry(at, sign, F.lit(None).cast("string"), F.col(at)["rows"], F.lit(True), F.lit(None).cast("double"))
-        stats = F.transform(F.col(at)["stats"], lambda e: entry(at, sign, e.key, e.value["count"], e.value["count"].isNotNull(), e.value.usage_ratio))
-        empty = F.array().cast(f"array<{_ENTRY}>")
-        return F.when(F.col(at).isNull(), empty).otherwise(F.concat(F.array(whole), F.coalesce(stats, empty)))
-
-    # By name, the load before (-1) in front: what both sides state of a column lies side by side.
-    ordered = both.select("series", "load", F.array_sort(F.concat(entries("was", -1), entries("now", 1))).alias("s"))
-    at = lambda i: F.get(F.col("s"), i)
-    pair = lambda x, i: F.struct(x.alias("x"), F.when(at(i + 1)["name"].eqNullSafe(x["name"]), at(i + 1)).alias("y"), ((i > 0) & at(i - 1)["name"].eqNullSafe(x["name"])).alias("second"))
-    each = ordered.select("series", "load", F.explode(F.transform("s", pair)).alias("p")).filter("NOT p.second").select("series", "load", F.col("p.x.name").alias("column_name"), "p.x", "p.y")
-    change = lambda f: F.col(f"x.{f}") * F.col("x.sign") + F.coalesce(F.col(f"y.{f}"), zero)
-    move = lambda v, f, always=False: F.when(F.lit(always) | (change(f) != 0), F.struct(F.lit(v).cast("string").alias("value"), change(f).alias("n")))
-    moves = F.array_compact(F.array(move(GIVEN, "given", True), move(None, "rest"), move(STATED, "stated"), move(UNCOUNTED, "uncounted"), move(UNBOUNDED, "unbounded")))
-    ratio = F.when(F.col("x.sign") == 1, F.col("x.usage_ratio")).otherwise(F.col("y.usage_ratio"))
-    return each.select("series", "load", "column_name", ratio.alias("usage_ratio"), F.explode(moves).alias("m")).select("series", "load", "column_name", "m.value", "m.n", "usage_ratio")
+    following = F.lead(load).over(Window.partitionBy(series).orderBy(load))
+    move = lambda at, sign: F.struct(F.col(at).alias("load"), F.lit(sign).cast("bigint").alias("sign"))
+    moves = F.filter(F.array(move("load", 1), move("following", -1)), lambda m: m["load"].isNotNull())
+    whole = F.struct(F.lit(None).cast("string").alias("column_name"), F.col("row_count").alias("count"), F.lit(None).cast("double").alias("usage_ratio"))
+    stats = F.transform(F.map_entries("column_stats"), lambda e: F.struct(e["key"].alias("column_name"), e["value"]["count"].alias("count"), e["value"]["usage_ratio"].alias("usage_ratio")))
+    cells = F.concat(F.array(whole), F.coalesce(stats, F.array().cast("array<struct<column_name:string,count:bigint,usage_ratio:double>>")))
+    # A statement counts at its own load and against it at the following one. All of a series is in one partition by now,
+    # so the sums need no shuffle. Neither array is ever empty, and the outer form spares a filter that makes them twice.
+    each = loads.select(F.col(series).alias("series"), F.col(load).alias("load"), "row_count", "column_stats", following.alias("following")).select("series", "row_count", cells.alias("cells"), F.explode_outer(moves).alias("m"))
+    each = each.select("series", "m.load", "m.sign", "row_count", F.explode_outer("cells").alias("c")).select("series", "load", "sign", "row_count", "c.*")
+    column, counted, bounded = F.col("column_name").isNotNull(), F.col("count").isNotNull(), F.col("row_count").isNotNull()
+    total = lambda c: F.sum(c * F.col("sign"))
+    flag = lambda c: F.when(c, 1).otherwise(0)
+    sums = each.groupBy("series", "load", "column_name").agg(
+        total(F.coalesce("count", F.lit(0))).alias(GIVEN), total(F.when(column & counted & bounded, F.col("row_count") - F.col("count")).otherwise(0)).alias("rest"), total(F.lit(1)).alias(STATED), total(flag(column & ~counted)).alias(UNCOUNTED), total(flag(~bounded)).alias(UNBOUNDED),
+        F.max(F.when(F.col("sign") == 1, F.col("usage_ratio"))).alias("usage_ratio"),
+    )
+    value = lambda v, c, always=False: F.when(F.lit(always) | (F.col(c) != 0), F.struct(F.lit(v).cast("string").alias("value"), F.col(c).alias("n")))
+    values = F.array_compact(F.array(value(GIVEN, GIVEN, True), value(None, "rest"), *[value(v, v) for v in (STATED, UNCOUNTED, UNBOUNDED)]))
+    return sums.select("series", "load", "column_name", "usage_ratio", F.explode(values).alias("v")).select("series", "load", "column_name", "v.value", "v.n", "usage_ratio")
 
 
 def load_changes(store: CountStore) -> DataFrame:
