@@ -229,6 +229,8 @@ def contiguity(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Order and layout
 
 ORDERED = ["author", "subreddit", "created_utc", "id", "retrieved_on"]
+#: All columns, so that only equal rows share a place in the order.
+WIDE = [*ORDERED, *(c for c in [*RC, "extra_json"] if c not in ORDERED)]
 
 
 @query(f"SELECT {', '.join(ORDERED)}, row_number() OVER (ORDER BY {', '.join(c + ' ASC NULLS LAST' for c in ORDERED)}) AS place FROM master_schema_rc")
@@ -236,6 +238,12 @@ def global_sort_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layout.rank_global(table(spark, sf_dir, "master_schema_rc").select(*ORDERED), ORDERED)
 
 
+@query(f"SELECT * EXCLUDE (extra_json), md5(extra_json) AS extra_json, row_number() OVER (ORDER BY {', '.join(c + ' ASC NULLS LAST' for c in WIDE)}) AS place FROM master_schema_rc")
+def global_sort_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole table of 58 columns in global order with places; of the overflow a digest is shown."""
+    return layout.rank_global(table(spark, sf_dir, "master_schema_rc"), WIDE).withColumn("extra_json", F.md5("extra_json"))
+
+
 @query("SELECT doc_id, n_chars, row_number() OVER (ORDER BY n_chars NULLS LAST, doc_id) AS place FROM (SELECT doc_id, n_chars FROM documents ORDER BY n_chars NULLS LAST, doc_id LIMIT 20 OFFSET 10)")
 def smallest_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A page of the documents by size."""
