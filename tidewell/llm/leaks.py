@@ -90,13 +90,9 @@ class Pieces:
         known = self._known
         if len(known) > KNOWN_WORDS:
             known.clear()
-        try:
-            return np.array([known[w] for w in words], dtype=np.uint64)
-        except KeyError:
-            for w in {*words}:
-                if w not in known:
-                    known[w] = xxhash.xxh64_intdigest(w)
-            return np.array([known[w] for w in words], dtype=np.uint64)
+        for w in {*words}.difference(known):
+            known[w] = xxhash.xxh64_intdigest(w) >> 1
+        return np.fromiter(map(known.__getitem__, words), np.int64, len(words)).view(np.uint64)
 
     def roll(self, x: np.ndarray, size: int) -> np.ndarray:
         """The hash of the ``size`` words from each place on."""
@@ -107,21 +103,21 @@ class Pieces:
             h ^= h >> np.uint64(29)
         return h * MULT
 
-    def keys(self, h: np.ndarray, beside: np.ndarray, at: np.ndarray, lo: np.ndarray, hi: np.ndarray, moves: int) -> list[np.ndarray]:
-        """The keys of the pieces ``h`` at ``at`` with each neighbour that lies within lo .. hi, moved by up to ``moves``."""
+    def keys(self, h: np.ndarray, beside: np.ndarray, at: np.ndarray, lo: np.ndarray, hi: np.ndarray, moves: int) -> tuple[np.ndarray, np.ndarray]:
+        """The keys of the pieces ``h`` at ``at`` with each neighbour, moved by up to ``moves``, and which lie within lo .. hi."""
         if not self.sides:
-            return [h.view(np.int64)[k : k + 1] for k in range(len(h))]
+            return h.view(np.int64)[:, None], np.ones((len(h), 1), dtype=bool)
         cols, valid = [], []
         for k, (side, j) in enumerate(self.sides):
             base = at + self.piece + j * self.beside if side else at - (j + 1) * self.beside
+            own = (h ^ np.uint64(k + 1)) * MULT
             for s in range(-moves, moves + 1):
                 place = base + s
                 ok = (place >= lo) & (place + self.beside <= hi) & ((place >= at + self.piece) if side else (place + self.beside <= at))
-                mixed = (h ^ np.uint64(k + 1)) * MULT + beside[np.where(ok, place, 0)] if len(beside) else h
+                mixed = own + beside[np.where(ok, place, 0)] if len(beside) else own
                 cols.append(((mixed ^ (mixed >> np.uint64(31))) * MULT).view(np.int64))
                 valid.append(ok)
-        table, there = np.stack(cols, axis=1), np.stack(valid, axis=1)
-        return [row[t] for row, t in zip(table, there, strict=True)]
+        return np.stack(cols, axis=1), np.stack(valid, axis=1)
 
     def cut_items(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The aligned pieces of items, with the words that a passage with the piece can reach."""
@@ -136,8 +132,9 @@ class Pieces:
                 at = np.arange(0, len(words) - p + 1, p)
                 h = self.roll(x, p)[at]
                 n = np.full(len(at), len(words))
-                for a, k, own in zip(at.tolist(), h.view(np.int64).tolist(), self.keys(h, self.roll(x, self.beside), at, np.maximum(at - reach, 0), np.minimum(at + p + reach, n), 0), strict=True):
-                    rows.append((k, item, a, " ".join(words[max(0, a - reach) : a]), " ".join(words[a : a + p + reach]), own))
+                keys, there = self.keys(h, self.roll(x, self.beside), at, np.maximum(at - reach, 0), np.minimum(at + p + reach, n), 0)
+                for a, k, own, ok in zip(at.tolist(), h.view(np.int64).tolist(), keys, there, strict=True):
+                    rows.append((k, item, a, " ".join(words[max(0, a - reach) : a]), " ".join(words[a : a + p + reach]), own[ok]))
                 if len(rows) > 5_000:
                     yield _batch(rows, PLACES)
                     rows = []
@@ -165,14 +162,15 @@ class Pieces:
             at, owner = at[inside], owner[inside]
             lo, hi = start[owner], start[owner + 1]
             beside = self.roll(x, self.beside)
-            for k in range(0, len(at), 2_000):
-                part = slice(k, k + 2_000)
-                own = self.keys(h[at[part]], beside, at[part], np.maximum(lo[part], at[part] - reach), np.minimum(hi[part], at[part] + p + reach), self.budget)
+            for k in range(0, len(at), 20_000):
+                a, o = at[k : k + 20_000], owner[k : k + 20_000]
+                keys, there = self.keys(h[a], beside, a, np.maximum(lo[k : k + 20_000], a - reach), np.minimum(hi[k : k + 20_000], a + p + reach), self.budget)
+                there &= _marked(keys.view(np.uint64), pairs)
+                some = np.flatnonzero(there.any(axis=1))
+                a, o = a[some], o[some]
                 rows = []
-                for a, o, first, last, hashed, keys in zip(at[part].tolist(), owner[part].tolist(), lo[part].tolist(), hi[part].tolist(), h[at[part]].view(np.int64).tolist(), own, strict=True):
-                    keys = keys[_marked(keys.view(np.uint64), pairs)]
-                    if len(keys):
-                        rows.append((hashed, ids[o], a - first, " ".join(words[max(first, a - reach) : a]), " ".join(words[a : min(last, a + p + reach)]), np.unique(keys)))
+                for place, doc, hashed, first, last, own, ok in zip(a.tolist(), o.tolist(), h[a].view(np.int64).tolist(), start[o].tolist(), start[o + 1].tolist(), keys[some].tolist(), there[some].tolist(), strict=True):
+                    rows.append((hashed, ids[doc], place - first, " ".join(words[max(first, place - reach) : place]), " ".join(words[place : min(last, place + p + reach)]), list({x for x, y in zip(own, ok, strict=True) if y})))
                 if rows:
                     yield _batch(rows, HITS)
 
