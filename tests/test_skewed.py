@@ -4,7 +4,7 @@ from collections import Counter, defaultdict
 from conftest import rows
 
 import tidewell.operators.skewed as skewed
-from tidewell.operators.skewed import join_hot, key_profile, middle_ids
+from tidewell.operators.skewed import join_hot, key_profile, middle_ids, percentiles
 
 SCHEMA = "k string, day int, v bigint, id string, n int, middle string"
 
@@ -69,3 +69,15 @@ def test_join_hot(spark, monkeypatch):
         assert rows(join_hot(left, right, ["k"], how, hot_least=1), "k", "a", "b") == want
         monkeypatch.undo()
     assert join_hot(left.limit(0), right, ["k"]).count() == 0
+
+
+def test_percentiles(spark):
+    t = [*table(5, 40), ("nulls", 1, None, "a", 1, ""), ("one", 1, 7, "a", 1, "")]
+    want = []
+    for k in {r[0] for r in t}:
+        v = sorted(r[2] for r in t if r[0] == k and r[2] is not None)
+        if v:
+            want.append((k, len(v), *(v[max(1, -(-len(v) * p // 100)) - 1] for p in (0, 25, 50, 99, 100))))
+    got = percentiles(spark.createDataFrame(t, SCHEMA).repartition(3), ["k"], "v", [0, 25, 50, 99, 100])
+    assert rows(got, "k", "n", "p0", "p25", "p50", "p99", "p100") == sorted(want, key=repr)
+    assert percentiles(spark.createDataFrame([], SCHEMA), ["k"], "v", [50]).count() == 0

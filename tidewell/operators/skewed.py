@@ -61,6 +61,19 @@ def key_profile(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     return out.select(*keys, "n_rows", "n_values", F.col("best.v").alias("top_value"), (-F.col("best.n")).alias("top_n"))
 
 
+def percentiles(df: DataFrame, keys: list[str], value: str, percents: list[int]) -> DataFrame:
+    """keys, n and p<percent>: of a key's n non-null values in order that at place n * percent / 100, rounded up, 1 at least.
+
+    A key's window holds its distinct values with their weights, however many rows they stand for, and spills. Keys whose
+    values are all null give no row; null is a key like others; an empty table gives an empty result.
+    """
+    weights = key_values(df.filter(F.col(value).isNotNull()), keys, value)
+    own = Window.partitionBy(*keys)
+    summed = weights.withColumn("_sum", F.sum("n").over(own.orderBy(value).rowsBetween(Window.unboundedPreceding, 0))).withColumn("_all", F.sum("n").over(own))
+    at = lambda p: F.greatest(F.lit(1), F.floor((F.col("_all") * p + 99) / 100))
+    return summed.groupBy(*keys).agg(F.max("_all").alias("n"), *[F.min(F.when(F.col("_sum") >= at(p), F.col(value))).alias(f"p{p}") for p in percents])
+
+
 def middle_ids(df: DataFrame, keys: list[str], slot: str, value: str, id_col: str, *, least: int = 20, window_ids: int = 100_000) -> DataFrame:
     """keys, slot, n, middle: the id at place (n + 1) / 2, rounded down, among a slot's n distinct ids by value, then id.
 

@@ -10,7 +10,7 @@ from tidewell.operators.hierarchy import descendants, hierarchy
 from tidewell.operators.quality import CountStore, load_changes, numeric_columns, profile_history, stated_deltas, value_counts
 from tidewell.operators.sessions import sessions
 from tidewell.operators.shredding import assemble, element_objects, object_rows, related_tables, shred
-from tidewell.operators.skewed import key_profile, middle_ids
+from tidewell.operators.skewed import key_profile, middle_ids, percentiles
 from tidewell.session import scratch, tune
 
 
@@ -67,6 +67,14 @@ def p3_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return key_profile(rows.distinct().drop("id"), ["field", "key_value"], "other")
 
 
+def p3_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each author and each subreddit: quartiles and the 99th percentile of the scores of its comment rows."""
+    rc = table(spark, sf_dir, "master_schema_rc").filter("created_utc IS NOT NULL")
+    both = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("key_value")) for f in ("author", "subreddit")]))
+    rows = rc.select(both.alias("k"), "score").select("k.*", "score").filter("key_value IS NOT NULL")
+    return percentiles(rows, ["field", "key_value"], "score", [25, 50, 75, 99])
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return element_objects(shred(table(spark, sf_dir, "master_schema_rs"), "id", "extra_json")).distinct()
 
@@ -138,7 +146,7 @@ def p5_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.withColumns({c: bare(c) for c in ("least", "most")})
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_paths, p1_descendants, p2_found, p2_sessions, p3_found, p3_profiles, p4_found, p4_tables, p4_rows, p4_schemas, p5_found, p5_profile)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_paths, p1_descendants, p2_found, p2_sessions, p3_found, p3_profiles, p3_percentiles, p4_found, p4_tables, p4_rows, p4_schemas, p5_found, p5_profile)}
 
 SEC = "CASE WHEN created_utc > 100000000000 THEN created_utc // 1000 ELSE created_utc END"
 DAY = "strftime(DATE '1970-01-01' + CAST(t // 86400 AS INTEGER), '%Y-%m-%d')"
@@ -205,6 +213,11 @@ WITH r AS (SELECT DISTINCT 'author' AS field, author AS key_value, subreddit AS
 v AS (SELECT field, key_value, other, count(*) AS n FROM r GROUP BY ALL),
 o AS (SELECT *, row_number() OVER (PARTITION BY field, key_value ORDER BY (other IS NULL), n DESC, other) AS k FROM v)
 SELECT field, key_value, CAST(sum(n) AS BIGINT) AS n_rows, count(other) AS n_values, max(CASE WHEN k = 1 THEN other END) AS top_value, max(CASE WHEN k = 1 AND other IS NOT NULL THEN n END) AS top_n FROM o GROUP BY ALL""",
+    "p3_percentiles": """
+WITH r AS (SELECT 'author' AS field, author AS key_value, score FROM master_schema_rc WHERE author IS NOT NULL AND created_utc IS NOT NULL AND score IS NOT NULL
+ UNION ALL SELECT 'subreddit', subreddit, score FROM master_schema_rc WHERE subreddit IS NOT NULL AND created_utc IS NOT NULL AND score IS NOT NULL),
+o AS (SELECT *, row_number() OVER (PARTITION BY field, key_value ORDER BY score) AS k, count(*) OVER (PARTITION BY field, key_value) AS n FROM r)
+SELECT field, key_value, any_value(n) AS n, """ + ", ".join(f"max(CASE WHEN k = (n * {p} + 99) // 100 THEN score END) AS p{p}" for p in (25, 50, 75, 99)) + " FROM o GROUP BY field, key_value",
     "p4_found": f"WITH RECURSIVE {NODES} SELECT DISTINCT id, field_path, node_path, parent_path FROM long WHERE field IS NULL",
     "p4_tables": f"WITH RECURSIVE {NODES} SELECT * FROM long",
     "p4_rows": f"WITH RECURSIVE {NODES} SELECT id, field_path, node_path, parent_path, coalesce(string_agg(field || '=' || coalesce(value, 'null'), '; ' ORDER BY field) FILTER (field IS NOT NULL), '') AS fields FROM long GROUP BY ALL",
