@@ -78,12 +78,12 @@ def promoted(schema: T.StructType, edited_mode: str = "record") -> list[Column]:
     return columns
 
 
-def promote(parsed: DataFrame, schema: T.StructType, *, edited_mode: str = "record") -> DataFrame:
-    """The columns of the schema, in its order, from parsed lines; its last may be the overflow column.
+def promote(parsed: DataFrame, schema: T.StructType, *, edited_mode: str = "record", keep: list[str] | None = None) -> DataFrame:
+    """The columns of the schema, in its order, from parsed lines, after the columns to ``keep``; its last may be the overflow column.
 
     Absent fields and JSON nulls are null. Lines that are no object give no row (see :func:`quarantine`).
     """
-    return parsed.filter("record IS NOT NULL").select(*promoted(schema, edited_mode))
+    return parsed.filter("record IS NOT NULL").select(*(keep or []), *promoted(schema, edited_mode))
 
 
 def split(lines: DataFrame, kind: str, keep: list[str] | None = None, text: str = "value") -> DataFrame:
@@ -118,11 +118,12 @@ def pad(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*columns)
 
 
-def rebuild(df: DataFrame) -> DataFrame:
-    """Adds ``record_json``: the promoted fields that aren't null and the overflow, as one JSON object."""
-    known = [c for c in df.columns if c != EXTRA]
-    own = F.to_json(F.struct(*[F.col(f"`{c}`") for c in known]))
+def rebuild(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """Adds ``record_json``: the promoted fields that aren't null and the overflow, as one JSON object, without the columns in ``keep``."""
+    known = [c for c in df.columns if c not in (EXTRA, *(keep or []))]
+    own = F.col("_own")  # a column, so that it is made once
     inner = lambda s: F.substring(s, F.lit(2), F.length(s) - 2)
     more = F.coalesce(F.col(EXTRA), F.lit("{}"))
     joined = F.concat_ws(",", F.when(own != "{}", inner(own)), F.when(more != "{}", inner(more)))
-    return df.withColumn("record_json", F.concat(F.lit("{"), joined, F.lit("}")))
+    told = df.withColumn("_own", F.to_json(F.struct(*[F.col(f"`{c}`") for c in known])))
+    return told.withColumn("record_json", F.concat(F.lit("{"), joined, F.lit("}"))).drop("_own")
